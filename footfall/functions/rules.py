@@ -99,7 +99,8 @@ PAGE_RULES = (
 # Page templates report the first two voting groups only.
 PAGE_STATE_GROUPS = STATE_GROUPS[:2]
 
-# Default channel rules over lower-cased inputs; conditions are this library's choice and meant to be replaced.
+# Default channel rules, SQL conditions over the columns of ``with_channel_inputs``: lower case, empty when
+# missing. The conditions are this library's choice and meant to be replaced.
 CHANNEL_RULES = (
     ("Paid Search", "utm_medium = 'cpc' or publisher = 'google'"),
     ("Display", "utm_medium = 'display'"),
@@ -108,18 +109,19 @@ CHANNEL_RULES = (
     ("Paid Social", "publisher in ('facebook', 'instagram')"),
     ("Email", "utm_medium = 'email' or startswith(source, 'em-')"),
     ("Affiliate", "utm_medium = 'affiliate'"),
-    ("Organic Search", r"referrer_host rlike '(^|[.])(google|bing)[.]'"),
+    (
+        "Organic Search",
+        "startswith(referrer_host, 'google.') or contains(referrer_host, '.google.') "
+        "or startswith(referrer_host, 'bing.') or contains(referrer_host, '.bing.')",
+    ),
     (
         "Organic Social",
-        r"utm_medium = 'social' or referrer_host rlike '(^|[.])(facebook[.]com|t[.]co)$' or startswith(source, 'soc-')",
+        "utm_medium = 'social' or referrer_host in ('t.co', 'facebook.com') "
+        "or endswith(referrer_host, '.facebook.com') or startswith(source, 'soc-')",
     ),
     ("SMS", "utm_medium = 'sms' or startswith(source, 'sms-')"),
     ("Unknown Channel", "source <> ''"),
-    (
-        "Direct",
-        "coalesce(referrer, '') = '' and coalesce(source, '') = '' "
-        "and coalesce(utm_medium, '') = '' and coalesce(utm_source, '') = ''",
-    ),
+    ("Direct", "referrer = '' and utm_medium = '' and utm_source = ''"),
     ("Internal Transfer", "referrer_host in ('secure.actblue.com', 'shop.elizabethwarren.com')"),
 )
 
@@ -138,51 +140,72 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(or_, conditions)
 
 
-def state_group(region: Column, groups: Sequence = STATE_GROUPS) -> Column:
-    return first_match(((region.isin(*states), label) for label, states in groups), OTHER)
+def sql_text(value: str | None) -> str:
+    """Spark SQL literal."""
+    if value is None:
+        return "cast(null as string)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_array(values: Iterable[str | None]) -> str:
+    return f"array({', '.join(map(sql_text, values))})"
+
 
+# Rule sets of any length become one SQL expression each: building the same expression Column by
+# Column costs the driver a round trip to the JVM per condition.
 
-def _path_test(path: Column, tests: Mapping[str, Sequence[str]]) -> Column | None:
-    checks = {
-        "equals": lambda p: path == p,
-        "prefix": lambda p: path.startswith(p),
-        "prefix_any_case": lambda p: F.lower(path).startswith(p.lower()),
-        "contains": lambda p: path.contains(p),
-    }
-    found = [checks[kind](p) for kind, patterns in tests.items() for p in patterns]
-    return any_of(found) if found else None
 
+def state_group(region: str = "region", groups: Sequence = STATE_GROUPS) -> Column:
+    """Group of a region; a region listed twice belongs to the earlier group."""
+    group_of: dict[str, str] = {}
+    for label, regions in groups:
+        for name in regions:
+            group_of.setdefault(name, label)
+    entries = ", ".join(f"{sql_text(name)}, {sql_text(label)}" for name, label in group_of.items())
+    return F.expr(f"coalesce(element_at(map({entries}), {region}), {sql_text(OTHER)})")
 
-def page_rule_no(domain: Column, path: Column, rules: Sequence = PAGE_RULES) -> Column:
-    """1-based number of the first page rule that matches, 0 for none.
+
+_PATH_TESTS = {
+    "equals": "{path} = {pattern}",
+    "prefix": "startswith({path}, {pattern})",
+    "prefix_any_case": "startswith(lower({path}), lower({pattern}))",
+    "contains": "contains({path}, {pattern})",
+}
+
+
+def _path_test(path: str, tests: Mapping[str, Sequence[str]]) -> str:
+    checks = [
+        _PATH_TESTS[kind].format(path=path, pattern=sql_text(p)) for kind, patterns in tests.items() for p in patterns
+    ]
+    return " or ".join(checks) or "true"
+
+
+def page_rule_no(domain: str = "domain", path: str = "path", rules: Sequence = PAGE_RULES) -> Column:
+    """1-based number of the first page rule that matches, 0 for none. A NULL path meets no path test.
 
     Rules of different domains exclude each other, so the chain is split by domain first: a row is
     compared with the paths of its own domain only.
     """
-    by_domain: dict[str, list[tuple[Column | None, int]]] = {}
+    by_domain: dict[str, list[str]] = {}
     for number, (rule_domain, tests, _, _) in enumerate(rules, start=1):
-        by_domain.setdefault(rule_domain, []).append((_path_test(path, tests), number))
-    return first_match(
-        (
-            (domain == name, first_match(((F.lit(True) if c is None else c, F.lit(n)) for c, n in tests), F.lit(0)))
-            for name, tests in by_domain.items()
-        ),
-        F.lit(0),
-    )
+        by_domain.setdefault(rule_domain, []).append(f"when {_path_test(path, tests)} then {number}")
+    arms = [f"when {sql_text(name)} then case {' '.join(tests)} else 0 end" for name, tests in by_domain.items()]
+    return F.expr(f"case {domain} {' '.join(arms)} else 0 end")
 
 
-def _label(rule_no: Column, labels: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in (UNCLASSIFIED, *labels)]), rule_no + 1)
+def _label(rule_no: str, labels: Sequence[str]) -> Column:
+    return F.expr(f"get({sql_array([UNCLASSIFIED, *labels])}, {rule_no})")
 
 
-def page_name(rule_no: Column, rules: Sequence = PAGE_RULES) -> Column:
+def page_name(rule_no: str = "page_rule_no", rules: Sequence = PAGE_RULES) -> Column:
     return _label(rule_no, [r[2] for r in rules])
 
 
-def page_job(rule_no: Column, rules: Sequence = PAGE_RULES) -> Column:
+def page_job(rule_no: str = "page_rule_no", rules: Sequence = PAGE_RULES) -> Column:
     return _label(rule_no, [r[3] for r in rules])
 
 
 def channel(rules: Sequence = CHANNEL_RULES) -> Column:
     """Marketing channel from the columns that ``with_channel_inputs`` prepares."""
-    return first_match(((F.expr(condition), label) for label, condition in rules), OTHER)
+    arms = [f"when {condition} then {sql_text(label)}" for label, condition in rules]
+    return F.expr(f"case {' '.join(arms)} else {sql_text(OTHER)} end")

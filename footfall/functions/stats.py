@@ -29,24 +29,23 @@ SQRT_TWO_PI = 2.506628274631
 # --- End of fixed values ----------------------------------------------------------------------------------------
 
 
-def _polynomial(z: Column, coefficients: Sequence[float]) -> Column:
-    return reduce(lambda total, c: total * z + F.lit(c), coefficients[1:], F.lit(coefficients[0]))
+def _polynomial(z: str, coefficients: Sequence[float]) -> str:
+    return reduce(lambda total, c: f"({total} * {z} + {c!r}D)", coefficients[1:], f"{coefficients[0]!r}D")
 
 
-def lower_tail(z: Column) -> Column:
+def _lower_tail(z: str) -> str:
     """P(Z <= -z) for z >= 0."""
-    density = F.exp(-z * z / 2)
-    fraction = reduce(lambda below, k: z + F.lit(float(k)) / below, (4, 3, 2, 1), z + F.lit(0.65))
-    return (
-        F.when(z > 37, F.lit(0.0))
-        .when(z < TAIL_SWITCH, density * _polynomial(z, TAIL_NUMERATOR) / _polynomial(z, TAIL_DENOMINATOR))
-        .otherwise(density / fraction / F.lit(SQRT_TWO_PI))
-    )
-
-
-def two_sided_p(statistic: Column) -> Column:
-    """Two-tailed p-value of a z statistic. NaN stays NaN, infinity gives 0, NULL stays NULL."""
-    return (
-        F.when(F.isnan(statistic), statistic)
-        .when(statistic.isNotNull(), 2 * lower_tail(F.abs(statistic)))
-    )
+    density = f"exp(-{z} * {z} / 2)"
+    fraction = reduce(lambda below, k: f"({z} + {k} / {below})", (4, 3, 2, 1), f"({z} + 0.65D)")
+    return f"""case
+        when {z} > 37 then 0D
+        when {z} < {TAIL_SWITCH}D
+            then {density} * {_polynomial(z, TAIL_NUMERATOR)} / {_polynomial(z, TAIL_DENOMINATOR)}
+        else {density} / {fraction} / {SQRT_TWO_PI}D end"""
+
+
+def two_sided_p(statistic: str) -> Column:
+    """Two-tailed p-value of a z statistic column. NaN stays NaN, infinity gives 0, NULL stays NULL."""
+    return F.expr(f"""case
+        when isnan({statistic}) then {statistic}
+        when {statistic} is not null then 2 * {_lower_tail(f"abs({statistic})")} end""")

@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 
 def _after(text: Column, marker: str) -> Column:
-    """Text between the first ``marker`` and the next ``&``; empty when the marker is absent, NULL for NULL."""
+    """Text between the first ``marker`` and the next ``&``; NULL when the marker is absent."""
     at = F.instr(text, marker)
-    value = F.substring_index(F.substring(text, at + len(marker), F.length(text)), "&", 1)
-    return F.when(at > 0, F.replace(value, F.lit(marker))).when(text.isNotNull(), F.lit(""))
+    value = F.substring_index(F.substr(text, at + len(marker)), "&", 1)
+    return F.when(at > 0, F.replace(value, F.lit(marker)))
 
 
 def traffic_source(query: Column) -> Column:
     """``source`` parameter of a URL query: the leading parameter if it has a value, else a later one.
 
-    Case sensitive; the fragment is kept; a repeated marker inside the value is dropped.
+    Case sensitive; the fragment is kept; a repeated marker inside the value is dropped. Empty when
+    there is no such parameter, NULL for a NULL query.
     """
-    leading = _after(query, "?source=")
-    return F.when(leading != "", leading).otherwise(_after(query, "&source="))
+    return F.coalesce(
+        F.nullif(_after(query, "?source="), F.lit("")),
+        _after(query, "&source="),
+        F.when(query.isNotNull(), ""),
+    )
 
 
 def url_host(url: Column) -> Column:
-    """Host of a lower-case absolute URL; empty when there is none, NULL for NULL."""
+    """Host of a lower-case absolute URL; empty when there is none."""
     return F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://([^/?#:]+)", 1)

@@ -24,20 +24,17 @@ def rows_in_window(logs: DataFrame, window: DateWindow | None, where: Column | N
 
 
 def with_channel_inputs(rows: DataFrame, *, publisher: Column | None = None) -> DataFrame:
-    """Lower-case the columns that channel rules read and add ``referrer_host``.
+    """Prepare the columns that channel rules read: lower case, empty when missing.
 
-    ``source`` is taken from the query unless the rows already carry it. Without ad metadata the
-    publisher is NULL.
+    ``source`` is taken from the query unless the rows already carry it; ``referrer_host`` is added.
+    Without ad metadata the publisher is empty.
     """
-    source = F.col("source") if "source" in rows.columns else traffic_source(F.col("query"))
-    publisher = F.lit(None).cast("string") if publisher is None else publisher
-    lowered = rows.withColumns(
-        {
-            "source": F.lower(source),
-            "publisher": F.lower(publisher),
-            **{c: F.lower(c) for c in ("utm_medium", "utm_source", "query", "referrer")},
-        }
-    )
+    inputs = {
+        "source": F.col("source") if "source" in rows.columns else traffic_source(F.col("query")),
+        "publisher": F.lit("") if publisher is None else publisher,
+        **{c: F.col(c) for c in ("utm_medium", "utm_source", "query", "referrer")},
+    }
+    lowered = rows.withColumns({name: F.coalesce(F.lower(c), F.lit("")) for name, c in inputs.items()})
     return lowered.withColumn("referrer_host", url_host(F.col("referrer")))
 
 
@@ -47,11 +44,14 @@ def with_channel(rows: DataFrame, channel_rules: Sequence = rules.CHANNEL_RULES,
 
 def with_pages(rows: DataFrame, page_rules: Sequence = rules.PAGE_RULES) -> DataFrame:
     """Page name and page job from one pass over the page rules."""
-    numbered = rows.withColumn("page_rule_no", rules.page_rule_no(F.col("domain"), F.col("path"), page_rules))
+    tested = rows.withColumns(
+        {"page_domain": F.coalesce("domain", F.lit("")), "page_path": F.coalesce("path", F.lit(""))}
+    )
+    numbered = tested.withColumn("page_rule_no", rules.page_rule_no("page_domain", "page_path", page_rules))
     return numbered.withColumns(
         {
-            "page_name": rules.page_name(F.col("page_rule_no"), page_rules),
-            "page_job": rules.page_job(F.col("page_rule_no"), page_rules),
+            "page_name": rules.page_name("page_rule_no", page_rules),
+            "page_job": rules.page_job("page_rule_no", page_rules),
         }
     )
 
@@ -67,7 +67,7 @@ def classify_pageviews(
 ) -> DataFrame:
     """Page views of the window with every reporting dimension; ``window=None`` classifies all history."""
     rows = rows_in_window(pageviews, window, where).withColumns(
-        {"date": F.to_date("time"), "state_group": rules.state_group(F.col("region"), state_groups)}
+        {"date": F.to_date("time"), "state_group": rules.state_group("region", state_groups)}
     )
     return with_channel(with_pages(rows, page_rules), channel_rules).select(*REACH_COLUMNS)
 
@@ -115,7 +115,7 @@ def classify_conversions(
     rows = rows_in_window(events, window, where).withColumns(
         {
             "date": F.to_date("time"),
-            "state_group": rules.state_group(F.col("region"), state_groups),
+            "state_group": rules.state_group("region", state_groups),
             "source": traffic_source(F.col("query")),
         }
     )

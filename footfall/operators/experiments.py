@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow
@@ -167,78 +167,58 @@ def cumulative_counts(conversions: DataFrame, test: Experiment, as_of: date) ->
     ``flags`` is the number of 0/1 values behind the variance: views without a user id form one more
     member of the variant there, but are not a user in ``n``.
     """
-    last = F.lit(test.last_report(as_of))
-    members = conversions.select(
-        *USER_KEY, F.to_date("first_exposure_time").alias("exposed"), F.explode("metrics").alias("m")
-    )
-    by_days = members.groupBy(*VARIANT_KEY, "exposed", "m.metric_name", "m.first_date").agg(
+    last = test.last_report(as_of)
+    members = conversions.selectExpr(
+        *USER_KEY, "to_date(first_exposure_time) as exposed", "explode(metrics) as m"
+    ).select(*USER_KEY, "exposed", "m.*")
+    by_days = members.groupBy(*VARIANT_KEY, "metric_name", "exposed", "first_date").agg(
         F.count("user_id").alias("users"), F.count("*").alias("members")
     )
-    none = F.lit(0).cast("bigint")
-    changes = (
-        by_days.select(
-            *VARIANT_KEY,
-            "metric_name",
-            F.explode(
-                F.array(
-                    F.struct(F.greatest("exposed", F.lit(test.start)).alias("date"),
-                             F.col("users").alias("n"), F.col("members").alias("flags"), none.alias("x")),
-                    F.struct(F.col("first_date").alias("date"),
-                             none.alias("n"), none.alias("flags"), F.col("members").alias("x")),
-                )
-            ).alias("c"),
-        )
-        .select(*VARIANT_KEY, "metric_name", "c.*")
-        .filter(F.col("date") <= last)
+    changes = by_days.selectExpr(
+        *VARIANT_KEY,
+        "metric_name",
+        f"""inline(array(
+            struct(greatest(exposed, date '{test.start}') as date, users as n, members as flags, 0L as x),
+            struct(first_date as date, 0L as n, 0L as flags, members as x)))""",
+    )
+    daily = (
+        changes.filter(F.col("date") <= F.lit(last))
         .groupBy(*VARIANT_KEY, "metric_name", "date")
         .agg(F.sum("n").alias("n"), F.sum("flags").alias("flags"), F.sum("x").alias("x"))
     )
-    in_order = Window.partitionBy(*VARIANT_KEY, "metric_name").orderBy("date")
-    running = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = changes.select(
+    in_order = "(partition by testname, variation, metric_name order by date)"
+    running = in_order.replace("order by date", "order by date rows between unbounded preceding and current row")
+    totals = daily.selectExpr(
         *VARIANT_KEY,
         "metric_name",
         "date",
-        F.sum("n").over(running).alias("n"),
-        F.sum("flags").over(running).alias("flags"),
-        F.sum("x").over(running).alias("x"),
-        F.lead("date").over(in_order).alias("next_date"),
+        *[f"sum({c}) over {running} as {c}" for c in ("n", "flags", "x")],
+        f"coalesce(date_sub(lead(date) over {in_order}, 1), date '{last}') as until",
     )
-    until = F.coalesce(F.date_sub("next_date", 1), last)
-    return totals.withColumn("reporting_date", F.explode(F.sequence("date", until))).select(
-        *VARIANT_KEY, "metric_name", "reporting_date", "n", "flags", "x"
+    return totals.selectExpr(
+        *VARIANT_KEY, "metric_name", "explode(sequence(date, until)) as reporting_date", "n", "flags", "x"
     )
 
 
 def _is_control(test: Experiment) -> Column:
-    return F.coalesce(F.col("variation") == test.control_variation, F.lit(False))
+    return F.coalesce(F.col("variation") == test.control_variation, F.lit(False)).alias("is_control")
 
 
-def _variance() -> Column:
-    """Sample variance of ``x`` ones among the 0/1 flags; NULL for a single flag."""
-    n, x = F.col("flags").cast("double"), F.col("x").cast("double")
-    return F.when(F.col("flags") > 1, x * (n - x) / (n * (n - 1)))
+# Sample variance of x ones among the 0/1 flags; NULL for a single flag.
+_VARIANCE = "if(flags > 1, double(x) * (flags - x) / (double(flags) * (flags - 1)), null) as variance"
 
 
 def variant_stats(counts: DataFrame, test: Experiment) -> DataFrame:
     return counts.select(
-        *VARIANT_KEY,
-        "reporting_date",
-        _is_control(test).alias("is_control"),
-        "metric_name",
-        F.col("x").alias("metric_value"),
-        _variance().alias("variance"),
+        *VARIANT_KEY, "reporting_date", _is_control(test), "metric_name", F.col("x").alias("metric_value"),
+        F.expr(_VARIANCE),
     )
 
 
 def variant_n(exposed: DataFrame, test: Experiment, as_of: date) -> DataFrame:
     """Exposed users per variant as of each reported day; needs no metric events."""
-    everyone = exposed.withColumn(
-        "metrics", F.array(F.struct(F.lit("").alias("metric_name"), F.lit(None).cast("date").alias("first_date")))
-    )
-    return cumulative_counts(everyone, test, as_of).select(
-        *VARIANT_KEY, "reporting_date", _is_control(test).alias("is_control"), "n"
-    )
+    everyone = exposed.selectExpr("*", "array(struct('' as metric_name, cast(null as date) as first_date)) as metrics")
+    return cumulative_counts(everyone, test, as_of).select(*VARIANT_KEY, "reporting_date", _is_control(test), "n")
 
 
 def compare_with_control(counts: DataFrame, test: Experiment) -> DataFrame:
@@ -247,34 +227,30 @@ def compare_with_control(counts: DataFrame, test: Experiment) -> DataFrame:
     The control is picked up by a window over the small table of counts. A self join would run the
     whole upstream plan a second time.
     """
-    stats = counts.withColumns({"variance": _variance(), "is_control": _is_control(test)})
-    same_day = Window.partitionBy("testname", "reporting_date", "metric_name")
-
-    def control(column: str) -> Column:
-        return F.max(F.when(F.col("is_control"), F.col(column))).over(same_day)
-
-    paired = (
-        stats.withColumns({"n_con": control("n"), "x_con": control("x"), "variance_con": control("variance")})
-        .filter(~F.col("is_control") & F.col("variation").isNotNull() & F.col("n_con").isNotNull())
-        .withColumns(
-            {
-                "metric_total_tre": F.col("x").cast("double"),
-                "metric_total_con": F.col("x_con").cast("double"),
-                "metric_normalized_tre": F.try_divide("x", "n"),
-                "metric_normalized_con": F.try_divide("x_con", "n_con"),
-            }
-        )
+    stats = counts.select("*", F.expr(_VARIANCE), _is_control(test))
+    control = "max(if(is_control, {0}, null)) over (partition by testname, reporting_date, metric_name) as {0}_con"
+    paired = stats.selectExpr("*", *[control.format(c) for c in ("n", "x", "variance")]).filter(
+        "not is_control and variation is not null and n_con is not null"
+    )
+    rates = paired.selectExpr(
+        *VARIANT_KEY,
+        "reporting_date",
+        "metric_name",
+        "n as n_tre",
+        "n_con",
+        "double(x) as metric_total_tre",
+        "double(x_con) as metric_total_con",
+        "try_divide(x, n) as metric_normalized_tre",
+        "try_divide(x_con, n_con) as metric_normalized_con",
+        "variance as variance_tre",
+        "variance_con",
+    )
+    compared = rates.selectExpr(
+        "*",
+        "metric_normalized_tre - metric_normalized_con as diff",
+        "if(metric_normalized_con > 0, metric_normalized_tre / metric_normalized_con - 1, null) as diff_pct",
     )
-    tre, con = F.col("metric_normalized_tre"), F.col("metric_normalized_con")
-    return paired.withColumns(
-        {
-            "control_description": F.lit(test.control_variation),
-            "n_tre": F.col("n"),
-            "variance_tre": F.col("variance"),
-            "diff": tre - con,
-            "diff_pct": F.when(con > 0, tre / con - 1),
-        }
-    ).select(*RESULT_COLUMNS)
+    return compared.withColumn("control_description", F.lit(test.control_variation)).select(*RESULT_COLUMNS)
 
 
 def ab_variant_results(

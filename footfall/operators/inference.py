@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from footfall.functions.stats import Z_975, Z_POWER, two_sided_p
 
@@ -14,27 +13,22 @@ def ab_variant_inference(results: DataFrame) -> DataFrame:
     A zero standard error gives what floating point division gives: NaN for no difference, else a
     signed infinity. A NULL variance leaves every statistic NULL.
     """
-    error, diff = F.col("standard_error"), F.col("diff")
-    nan, infinity = F.lit(float("nan")), F.lit(float("inf"))
-    statistic = (
-        F.when(error != 0, diff / error)
-        .when(error.isNotNull() & (diff == 0), nan)
-        .when(error.isNotNull() & (diff > 0), infinity)
-        .when(error.isNotNull() & (diff < 0), -infinity)
+    with_error = results.selectExpr("*", "sqrt(variance_tre / n_tre + variance_con / n_con) as standard_error")
+    with_statistic = with_error.selectExpr(
+        "*",
+        f"{Z_975}D * standard_error as margin_of_error",
+        """case
+            when standard_error <> 0 then diff / standard_error
+            when standard_error = 0 and diff = 0 then double('NaN')
+            when standard_error = 0 then sign(diff) * double('Infinity') end as test_statistic""",
     )
-    with_error = results.withColumn(
-        "standard_error",
-        F.sqrt(F.col("variance_tre") / F.col("n_tre") + F.col("variance_con") / F.col("n_con")),
-    )
-    with_statistic = with_error.withColumns({"margin_of_error": Z_975 * error, "test_statistic": statistic})
-    margin = F.col("margin_of_error")
     return with_statistic.select(
         *results.columns,
         "standard_error",
         "margin_of_error",
-        (diff - margin).alias("confidence_interval_lower"),
-        (diff + margin).alias("confidence_interval_upper"),
+        (with_statistic.diff - with_statistic.margin_of_error).alias("confidence_interval_lower"),
+        (with_statistic.diff + with_statistic.margin_of_error).alias("confidence_interval_upper"),
         "test_statistic",
-        two_sided_p(F.col("test_statistic")).alias("p_value"),
-        *[(error * (Z_975 + z)).alias(f"mde_{power}") for power, z in Z_POWER.items()],
+        two_sided_p("test_statistic").alias("p_value"),
+        *[(with_statistic.standard_error * (Z_975 + z)).alias(f"mde_{power}") for power, z in Z_POWER.items()],
     )

@@ -32,7 +32,7 @@ def page_views(
 ) -> DataFrame:
     """Classified views of one page. ``keep`` carries further columns, such as a tie-break for equal times."""
     rows = rows_in_window(pageviews, window, page).withColumns(
-        {"date": F.to_date("time"), "state_group": rules.state_group(F.col("region"), state_groups)}
+        {"date": F.to_date("time"), "state_group": rules.state_group("region", state_groups)}
     )
     return with_channel(rows, channel_rules).select(*PAGE_VIEW_COLUMNS, *keep)
 

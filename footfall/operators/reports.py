@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.rules import any_of
+from footfall.functions.rules import sql_text
 
 SIGNIFICANCE_LEVEL = 0.05
 
@@ -31,45 +31,46 @@ RESULT_KEY = ("testname", "variation", "control_description", "reporting_date",
 
 def with_significance(inference: DataFrame) -> DataFrame:
     """``is_significant`` at 95%, and the colour class of the cumulative table."""
-    significant = F.col("is_significant")
-    return inference.withColumn("is_significant", F.col("p_value") < SIGNIFICANCE_LEVEL).withColumn(
-        "color_class",
-        F.when(significant & (F.col("diff") > 0), "positive")
-        .when(significant & (F.col("diff") < 0), "negative")
-        .otherwise("neither"),
+    return inference.selectExpr(
+        "*",
+        f"p_value < {SIGNIFICANCE_LEVEL}D as is_significant",
+        f"""case
+            when p_value < {SIGNIFICANCE_LEVEL}D and diff > 0 then 'positive'
+            when p_value < {SIGNIFICANCE_LEVEL}D and diff < 0 then 'negative'
+            else 'neither' end as color_class""",
     )
 
 
-def plain_number(value: Column, places: int) -> Column:
-    """Rounded number without exponent or trailing zeros."""
-    digits = F.round(value, places).cast(f"decimal(18,{places})").cast("string")
-    return F.regexp_replace(F.regexp_replace(digits, "0+$", ""), "[.]$", "")
+def plain_number(value: str, places: int) -> str:
+    """SQL for a rounded number without exponent or trailing zeros."""
+    digits = f"string(cast(round({value}, {places}) as decimal(18, {places})))"
+    return f"regexp_replace({digits}, '[.]?0+$', '')"
 
 
-def _fill(template: str, values: dict[str, Column]) -> Column:
+def _sentence(template: str, values: dict[str, str]) -> str:
+    """SQL that fills the template; NULL when a value is NULL."""
     pieces, rest = [], template
     while "{" in rest:
         text, _, rest = rest.partition("{")
         name, _, rest = rest.partition("}")
-        pieces += [F.lit(text), values[name]]
-    return F.concat(*pieces, F.lit(rest))
+        pieces += [sql_text(text), values[name]]
+    return f"concat({', '.join([*pieces, sql_text(rest)])})"
 
 
 def with_interpretation(inference: DataFrame) -> DataFrame:
     """Sentence that explains each result; NULL when significance is unknown."""
     values = {
-        "lower": plain_number(F.col("confidence_interval_lower"), 4),
-        "upper": plain_number(F.col("confidence_interval_upper"), 4),
-        "diff": plain_number(F.col("diff"), 4),
-        "percent": plain_number(F.col("diff_pct") * 100, 2),
-        "mde": plain_number(F.col("mde_80"), 4),
+        "lower": plain_number("confidence_interval_lower", 4),
+        "upper": plain_number("confidence_interval_upper", 4),
+        "diff": plain_number("diff", 4),
+        "percent": plain_number("diff_pct * 100", 2),
+        "mde": plain_number("mde_80", 4),
     }
-    rows = inference if "is_significant" in inference.columns else with_significance(inference)
-    return rows.withColumn(
-        "interpretation",
-        F.when(F.col("is_significant"), _fill(SIGNIFICANT_TEXT, values)).when(
-            ~F.col("is_significant"), _fill(NOT_SIGNIFICANT_TEXT, values)
-        ),
+    return with_significance(inference).selectExpr(
+        "*",
+        f"""case
+            when is_significant then {_sentence(SIGNIFICANT_TEXT, values)}
+            when not is_significant then {_sentence(NOT_SIGNIFICANT_TEXT, values)} end as interpretation""",
     )
 
 
@@ -77,10 +78,9 @@ def report_slice(
     inference: DataFrame, testname: str, reporting_date: date, metrics: Sequence[str] | None = None
 ) -> DataFrame:
     """Cumulative table of one test as of one date: one row per metric and treatment."""
-    chosen = [F.col("testname") == testname, F.col("reporting_date") == F.lit(reporting_date)]
-    rows = inference.filter(chosen[0] & chosen[1])
+    rows = inference.filter((F.col("testname") == testname) & (F.col("reporting_date") == F.lit(reporting_date)))
     if metrics is not None:
-        rows = rows.filter(any_of(F.col("metric_name") == m for m in metrics))
+        rows = rows.filter(F.col("metric_name").isin(*metrics))
     return with_interpretation(rows).select(
         *RESULT_KEY, "p_value", "diff", "diff_pct", "confidence_interval_lower", "confidence_interval_upper", "mde_80",
         "metric_normalized_tre", "metric_normalized_con", "is_significant", "color_class", "interpretation",
@@ -94,12 +94,12 @@ def variant_counts(inference: DataFrame) -> DataFrame:
 
 def daily_series(inference: DataFrame) -> DataFrame:
     """Daily graphs in long form: p-value, cumulative users and cumulative value of both arms."""
-    series = {
-        "p_value": F.col("p_value"),
-        "users_treatment": F.col("n_tre").cast("double"),
-        "users_control": F.col("n_con").cast("double"),
-        "value_treatment": F.col("metric_normalized_tre"),
-        "value_control": F.col("metric_normalized_con"),
-    }
-    wide = inference.select(*RESULT_KEY, *[c.alias(name) for name, c in series.items()])
-    return wide.unpivot(list(RESULT_KEY), list(series), "series", "value")
+    return inference.selectExpr(
+        *RESULT_KEY,
+        """stack(5,
+            'p_value', p_value,
+            'users_treatment', double(n_tre),
+            'users_control', double(n_con),
+            'value_treatment', metric_normalized_tre,
+            'value_control', metric_normalized_con) as (series, value)""",
+    )

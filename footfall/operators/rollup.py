@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow, calendar_columns, reporting_year, sunday_week
+from footfall.functions.rules import sql_text
 from footfall.operators.classify import SEGMENTS
 
 GRAINS = ("Daily", "Weekly", "Monthly")
@@ -42,36 +43,10 @@ class Analysis:
 ALL_ANALYSES = tuple(Analysis(g, s) for g in GRAINS for s in SUMMARIES)
 
 
-def _pick(code: Column, choices: dict[int, Column]) -> Column:
-    chain = None
-    for value, column in choices.items():
-        chain = F.when(code == value, column) if chain is None else chain.when(code == value, column)
-    return chain if chain is not None else F.lit(None)
-
-
-def _period(grain: Column) -> Column:
-    """One integer per reporting period: day number, year and week, or month."""
-    day = F.col("date")
-    return _pick(
-        grain,
-        {
-            0: F.unix_date(day),
-            1: reporting_year(day) * 100 + sunday_week(day),
-            2: F.month(day),
-        },
-    )
-
-
-def _period_columns(grain: Column, period: Column) -> dict[str, Column]:
-    day = F.when(grain == 0, F.date_from_unix_date(period))
-    daily = calendar_columns(day)
-    week_year = F.floor(period / 100).cast("string")
-    return {
-        "date": day,
-        "week": _pick(grain, {0: daily["week"], 1: (period % 100).cast("string")}),
-        "month": _pick(grain, {0: daily["month"], 2: period.cast("string")}),
-        "reporting_wk_yr": _pick(grain, {0: daily["reporting_wk_yr"], 1: week_year}),
-    }
+def _case(code: str, choices: dict[int, str]) -> str:
+    """SQL that picks a value by code; NULL for the codes left out."""
+    arms = " ".join(f"when {value} then {choice}" for value, choice in choices.items())
+    return f"case {code} {arms} end" if arms else "cast(null as string)"
 
 
 def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis] = ALL_ANALYSES) -> DataFrame:
@@ -87,68 +62,70 @@ def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis
        fan-out over analyses never crosses the network.
     3. Partial counts per (analysis, period, segment values) are added up.
     """
-    grain_codes = {g: i for i, g in enumerate(GRAINS)}
-    summary_codes = {s: i for i, s in enumerate(SUMMARIES)}
     if all(a.grain == "Daily" for a in analyses):
         events = events.filter(window.has_date(F.col("date")))
-    kept = {a.summary: SUMMARIES[a.summary] for a in analyses}
-    segments = [c for c in SEGMENTS if any(c in kept_columns for kept_columns in kept.values())]
+    summaries = list(SUMMARIES)
+    kept = {i: SUMMARIES[s] for i, s in enumerate(summaries) if any(a.summary == s for a in analyses)}
+    segments = [c for c in SEGMENTS if any(c in columns for columns in kept.values())]
+    slots = [f"slot{i}" for i in range(max(map(len, kept.values())))]
+
+    def codes(grains: Sequence[str]) -> str:
+        chosen = [GRAINS.index(a.grain) * 100 + summaries.index(a.summary) for a in analyses if a.grain in grains]
+        return f"array({', '.join(map(str, chosen))})" if chosen else "cast(array() as array<int>)"
+
+    of_session, of_user = ["date", *segments, "session_id"], ["date", *segments, "user_id"]
+    per_key = events.groupingSets([of_session, of_user], *of_session, "user_id").agg(
+        F.expr("grouping_id() as kind"), F.expr("count(*) as pv")
+    )
+    placed = per_key.selectExpr(
+        "date", *segments, "kind = 1 as is_session", "if(kind = 1, session_id, user_id) as key", "pv"
+    ).repartition("is_session", "key")
 
-    keyed = events.select(
-        "date",
-        *segments,
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("kind"), F.col("session_id").alias("key"), F.lit(1).alias("pv")),
-                F.struct(F.lit(1).alias("kind"), F.col("user_id").alias("key"), F.lit(0).alias("pv")),
-            )
-        ).alias("k"),
-    ).select("date", *segments, "k.*")
-    per_key = keyed.groupBy("date", *segments, "kind", "key").agg(F.sum("pv").alias("pv"))
-    placed = per_key.repartition("kind", "key")
-
-    def codes(chosen: Sequence[Analysis]) -> Column:
-        return F.array(*[F.lit(grain_codes[a.grain] * 100 + summary_codes[a.summary]) for a in chosen])
-
-    past_window = [a for a in analyses if a.grain != "Daily"]
-    wanted = F.when(window.has_date(F.col("date")), codes(analyses))
-    if past_window:
-        wanted = wanted.otherwise(codes(past_window))
-
-    slots = max(len(columns) for columns in kept.values())
-    slot_columns = {
-        f"slot{i}": _pick(
-            F.col("summary"), {summary_codes[s]: F.col(c[i]) for s, c in kept.items() if len(c) > i}
-        ).cast("string")
-        for i in range(slots)
-    }
+    in_window = f"date between date '{window.first}' and date '{window.last}'"
     fanned = (
-        placed.withColumn("code", F.explode(wanted))
-        .withColumns({"grain": F.floor(F.col("code") / 100).cast("int"), "summary": F.col("code") % 100})
-        .select("grain", "summary", _period(F.col("grain")).alias("period"), "kind", "key", "pv",
-                *[c.alias(n) for n, c in slot_columns.items()])
+        placed.select(
+            "*",
+            F.unix_date("date").alias("day_no"),
+            (reporting_year(F.col("date")) * 100 + sunday_week(F.col("date"))).alias("week_no"),
+            F.month("date").alias("month_no"),
+        )
+        .selectExpr("*", f"explode(if({in_window}, {codes(GRAINS)}, {codes(GRAINS[1:])})) as code")
+        .selectExpr("*", "code div 100 as grain", "code % 100 as summary")
+        .selectExpr(
+            "grain",
+            "summary",
+            "case grain when 0 then day_no when 1 then week_no else month_no end as period",
+            *[
+                _case("summary", {i: columns[n] for i, columns in kept.items() if len(columns) > n}) + f" as {slot}"
+                for n, slot in enumerate(slots)
+            ],
+            "is_session",
+            "key",
+            "if(is_session, pv, 0L) as pv",
+        )
     )
-    group = ["grain", "summary", "period", *slot_columns]
-    distinct_keys = fanned.groupBy(*group, "kind", "key").agg(F.sum("pv").alias("pv"))
-    present = F.col("key").isNotNull()
+    group = ["grain", "summary", "period", *slots]
+    distinct_keys = fanned.groupBy(*group, "is_session", "key").agg(F.expr("sum(pv) as pv"))
     counted = distinct_keys.groupBy(*group).agg(
-        F.sum("pv").alias("pv_ct"),
-        F.count(F.when((F.col("kind") == 0) & present, 1)).alias("session_ct"),
-        F.count(F.when((F.col("kind") == 1) & present, 1)).alias("user_ct"),
+        F.expr("sum(pv) as pv_ct"),
+        F.expr("count(if(is_session, key, null)) as session_ct"),
+        F.expr("count(if(is_session, null, key)) as user_ct"),
     )
 
-    def segment(name: str) -> Column:
-        found = {
-            summary_codes[s]: F.col(f"slot{columns.index(name)}") for s, columns in kept.items() if name in columns
-        }
-        return _pick(F.col("summary"), found).cast("string")
-
-    grain_names = F.element_at(F.array(*[F.lit(g) for g in GRAINS]), F.col("grain") + 1)
-    summary_names = F.element_at(F.array(*[F.lit(s) for s in SUMMARIES]), F.col("summary") + 1)
-    return counted.select(
-        F.concat_ws(" ", grain_names, summary_names).alias("analysis"),
-        *[c.alias(n) for n, c in _period_columns(F.col("grain"), F.col("period")).items()],
-        *[segment(c).alias(c) for c in SEGMENTS],
+    names = {i: sql_text(s) for i, s in enumerate(summaries)}
+    dated = counted.selectExpr("*", "if(grain = 0, date_from_unix_date(period), null) as date")
+    daily = dated.select("*", *[c.alias(f"daily_{n}") for n, c in calendar_columns(F.col("date")).items()])
+    return daily.selectExpr(
+        f"concat({_case('grain', {i: sql_text(g + ' ') for i, g in enumerate(GRAINS)})}, {_case('summary', names)})"
+        " as analysis",
+        "date",
+        "case grain when 0 then daily_week when 1 then string(period % 100) end as week",
+        "case grain when 0 then daily_month when 2 then string(period) end as month",
+        "case grain when 0 then daily_reporting_wk_yr when 1 then string(period div 100) end as reporting_wk_yr",
+        *[
+            _case("summary", {i: slots[columns.index(c)] for i, columns in kept.items() if c in columns}) + f" as {c}"
+            for c in SEGMENTS
+        ],
         "pv_ct",
         "session_ct",
         "user_ct",

@@ -28,11 +28,11 @@ def _rebalanced(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
     """Catalog inserts read the overwrite mode from the session only."""
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    spark.conf.set(key, mode)
     try:
         yield
     finally:
@@ -49,7 +49,7 @@ def _swap_partitions(rows: DataFrame, table: str, column: str, rebalance: bool)
     rows = rows.observe(written, F.collect_set(F.col(column)).alias("values"))
     if rebalance:
         rows = _rebalanced(rows, _partition_columns(rows, table))
-    with _dynamic_overwrite(rows.sparkSession):
+    with _overwrite_mode(rows.sparkSession, "dynamic"):
         _in_table_order(rows, table).write.insertInto(table, overwrite=True)
     return set(written.get["values"] or [])
 
@@ -104,4 +104,6 @@ def replace_test(rows: DataFrame, table: str, testname: str) -> None:
 
 
 def replace_table(rows: DataFrame, table: str) -> None:
-    _in_table_order(rows, table).write.insertInto(table, overwrite=True)
+    """Replace everything the table holds."""
+    with _overwrite_mode(rows.sparkSession, "static"):
+        _in_table_order(rows, table).write.insertInto(table, overwrite=True)

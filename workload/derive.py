@@ -6,13 +6,14 @@ row, so the work of each query grows with the table. The same lists feed the SQL
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow
+from footfall.functions.rules import sql_array
 from footfall.operators import classify, experiments, page_insights
 
 MAIN = "elizabethwarren.com"
@@ -93,39 +94,41 @@ def core_labels() -> list:
     return [(F.col("event_type") == "purchase", "Donate"), (F.col("event_type") == "signup", "Sign Up")]
 
 
-def _nth(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), index.cast("int") + 1)
+def _nth(values: list, index: str) -> str:
+    return f"get({sql_array(values)}, {index})"
 
 
-@dataclass(frozen=True)
 class Logs:
     """The logs a site would have, read from one scale factor's tables."""
 
-    spark: SparkSession
-    sf_dir: str
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir
 
     def hits(self) -> DataFrame:
+        return self._hits
+
+    @cached_property
+    def _hits(self) -> DataFrame:
         events = self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
-        event_id, user_id, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-        k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-        page = F.when(k % 4 == 0, F.lit(0)).otherwise(event_id % 60)
-        region = user_id % 33
-        query = F.floor(event_id / 7) % 12
-        bucket = F.floor((F.dayofyear(ts) * 24 + F.hour(ts) + 6) / 48)
-        return events.select(
+        page = "if(cast(regexp_extract(props, '([0-9]+)', 1) as int) % 4 = 0, 0, event_id % 60)"
+        query = "(event_id div 7) % 12"
+        return events.selectExpr("*", f"int({page}) as page_no", f"int({query}) as query_no").selectExpr(
             "event_id",
-            user_id.cast("string").alias("user_id"),
-            F.concat_ws("-", user_id.cast("string"), bucket.cast("string")).alias("session_id"),
-            ts.alias("time"),
+            "string(user_id) as user_id",
+            "concat_ws('-', user_id, (dayofyear(ts) * 24 + hour(ts) + 6) div 48) as session_id",
+            "ts as time",
             "event_type",
             "value",
-            _nth(["Desktop", "Mobile", "Tablet"], user_id % 3).alias("device_type"),
-            _nth(REGIONS, region).alias("region"),
-            _nth([p[0] for p in PAGES], page).alias("domain"),
-            _nth([p[1] for p in PAGES], page).alias("path"),
-            *[_nth([q[i] for q in QUERIES], query).alias(name)
-              for i, name in enumerate(("query", "utm_medium", "utm_source", "referrer"))],
-            F.when(event_id % 2 == 0, "/").otherwise("/plans/").alias("landing_page"),
+            _nth(["Desktop", "Mobile", "Tablet"], "int(user_id % 3)") + " as device_type",
+            _nth(REGIONS, "int(user_id % 33)") + " as region",
+            _nth([domain for domain, _ in PAGES], "page_no") + " as domain",
+            _nth([path for _, path in PAGES], "page_no") + " as path",
+            *[
+                _nth([q[i] for q in QUERIES], "query_no") + f" as {name}"
+                for i, name in enumerate(("query", "utm_medium", "utm_source", "referrer"))
+            ],
+            "if(event_id % 2 = 0, '/', '/plans/') as landing_page",
         )
 
     def pageviews(self) -> DataFrame:
@@ -136,18 +139,15 @@ class Logs:
 
     def assigned_variation(self) -> DataFrame:
         views = self.pageviews()
-        user = F.col("user_id").cast("int")
-        variation = (
-            F.when((user % 50 == 7) & (F.col("event_id") % 2 == 0), "control")
-            .when(user % 3 == 0, "control")
-            .when(user % 3 == 1, "red button")
-            .otherwise("large donate amounts")
-        )
-        logged = views.select("session_id", "user_id", "time")
-        return views.select(
-            "session_id", "user_id", "time", F.lit("button_test").alias("testname"), variation.alias("variation")
+        variation = """case
+            when cast(user_id as int) % 50 = 7 and event_id % 2 = 0 then 'control'
+            when cast(user_id as int) % 3 = 0 then 'control'
+            when cast(user_id as int) % 3 = 1 then 'red button'
+            else 'large donate amounts' end"""
+        return views.selectExpr(
+            "session_id", "user_id", "time", "'button_test' as testname", f"{variation} as variation"
         ).unionByName(
-            logged.withColumns({"testname": F.lit("other_test"), "variation": F.lit("control")})
+            views.selectExpr("session_id", "user_id", "time", "'other_test' as testname", "'control' as variation")
         )
 
     def ads_metadata(self) -> DataFrame:

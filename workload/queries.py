@@ -39,11 +39,11 @@ def comparable(result: DataFrame) -> DataFrame:
 
 
 def state_group(logs: Logs) -> DataFrame:
-    return logs.hits().select("event_id", "region", rules.state_group(F.col("region")).alias("state_group"))
+    return logs.hits().select("event_id", "region", rules.state_group().alias("state_group"))
 
 
 def state_group_page(logs: Logs) -> DataFrame:
-    group = rules.state_group(F.col("region"), rules.PAGE_STATE_GROUPS)
+    group = rules.state_group("region", rules.PAGE_STATE_GROUPS)
     return logs.hits().select("event_id", "region", group.alias("state_group"))
 
 
