@@ -194,7 +194,7 @@ def page_rule_no(domain: str = "domain", path: str = "path", rules: Sequence = P
 
 
 def _label(rule_no: str, labels: Sequence[str]) -> Column:
-    return F.expr(f"get({sql_array([UNCLASSIFIED, *labels])}, {rule_no})")
+    return F.expr(f"try_element_at({sql_array([UNCLASSIFIED, *labels])}, {rule_no} + 1)")
 
 
 def page_name(rule_no: str = "page_rule_no", rules: Sequence = PAGE_RULES) -> Column:

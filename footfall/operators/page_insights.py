@@ -44,30 +44,20 @@ def with_session_sequence(views: DataFrame, tie_break: Sequence[str] = ()) -> Da
     number, and rows are sorted only inside their hour. A session that owns much of the traffic is
     thus spread over as many tasks as it has hours; most sessions have a single hour and no offset.
     """
-    hour = F.hour("time")
-    rows = views.withColumn("hour", hour)
-    hourly = rows.groupBy("session_id", "date", "hour").agg(F.count("*").alias("views"))
-    earlier = (
-        Window.partitionBy("session_id").orderBy("date", "hour").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        hourly.withColumn("offset", F.sum("views").over(earlier))
-        .filter("offset > 0")
-        .select(
-            F.col("session_id").alias("o_session"), F.col("date").alias("o_date"), F.col("hour").alias("o_hour"),
-            "offset",
-        )
-    )
-    in_hour = Window.partitionBy("session_id", "date", "hour").orderBy("time", *tie_break)
+    # A key that is never NULL: views without a session id are numbered together, and a plain equality
+    # lets the join reuse the placement of the window.
+    hour = ["session_key", "date", "hour"]
+    rows = views.selectExpr("*", "coalesce(concat('=', session_id), '') as session_key", "hour(time) as hour")
+    hourly = rows.groupBy(*hour).agg(F.count("*").alias("views"))
+    offsets = hourly.selectExpr(
+        *hour,
+        """sum(views) over (partition by session_key order by date, hour
+            rows between unbounded preceding and 1 preceding) as offset""",
+    ).filter("offset > 0")
+    in_hour = Window.partitionBy(*hour).orderBy("time", *tie_break)
     numbered = rows.withColumn("seq_in_hour", F.row_number().over(in_hour))
-    same_hour = (
-        F.col("session_id").eqNullSafe(F.col("o_session"))
-        & (F.col("date") == F.col("o_date"))
-        & (F.col("hour") == F.col("o_hour"))
-    )
-    return numbered.join(offsets, same_hour, "left").select(
-        *views.columns,
-        (F.col("seq_in_hour") + F.coalesce("offset", F.lit(0))).cast("bigint").alias("session_pv_seq"),
+    return numbered.join(offsets, hour, "left").selectExpr(
+        *views.columns, "seq_in_hour + coalesce(offset, 0L) as session_pv_seq"
     )
 
 

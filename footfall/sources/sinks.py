@@ -12,10 +12,12 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow
+from footfall.functions.rules import sql_text
 
 
 def _in_table_order(rows: DataFrame, table: str) -> DataFrame:
@@ -46,12 +48,16 @@ def _swap_partitions(rows: DataFrame, table: str, column: str, rebalance: bool)
     a window, grains or tests.
     """
     written = Observation()
-    rows = rows.observe(written, F.collect_set(F.col(column)).alias("values"))
+    observed = rows.observe(written, F.collect_set(F.col(column)).alias("values"))
     if rebalance:
-        rows = _rebalanced(rows, _partition_columns(rows, table))
+        observed = _rebalanced(observed, _partition_columns(rows, table))
     with _overwrite_mode(rows.sparkSession, "dynamic"):
-        _in_table_order(rows, table).write.insertInto(table, overwrite=True)
-    return set(written.get["values"] or [])
+        _in_table_order(observed, table).write.insertInto(table, overwrite=True)
+    try:
+        return set(written.get["values"])
+    except Py4JJavaError:
+        # Spark keeps no metrics of a plan that it finds to be empty. Ask the rows instead of assuming so.
+        return {r[0] for r in rows.select(column).distinct().collect()}
 
 
 def _partition_columns(rows: DataFrame, table: str) -> list[str]:
@@ -67,9 +73,11 @@ def _drop_partitions(rows: DataFrame, table: str, specs: Sequence[dict[str, obje
 
 
 def _literal(value: object) -> str:
+    if value is None:
+        return "null"
     if isinstance(value, date):
         return f"DATE '{value.isoformat()}'"
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return sql_text(str(value))
 
 
 def replace_dates(rows: DataFrame, table: str, window: DateWindow, *, rebalance: bool = True) -> None:
@@ -92,7 +100,7 @@ def replace_summary(rows: DataFrame, table: str, window: DateWindow) -> None:
     mark = F.concat_ws(" ", "grain", F.col("date").cast("string"))
     written = _swap_partitions(marked.withColumn("mark", mark), table, "mark", True)
     stale = [{"grain": "daily", "date": d} for d in window.days() if f"daily {d.isoformat()}" not in written]
-    stale += [{"grain": whole} for whole in ("weekly", "monthly") if whole not in written]
+    stale += [{"grain": whole, "date": None} for whole in ("weekly", "monthly") if whole not in written]
     _drop_partitions(rows, table, stale)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow
-from footfall.functions.rules import sql_array
+from footfall.functions.rules import sql_array, sql_text
 from footfall.operators import classify, experiments, page_insights
 
 MAIN = "elizabethwarren.com"
@@ -94,8 +94,10 @@ def core_labels() -> list:
     return [(F.col("event_type") == "purchase", "Donate"), (F.col("event_type") == "signup", "Sign Up")]
 
 
-def _nth(values: list, index: str) -> str:
-    return f"get({sql_array(values)}, {index})"
+def _nth(rows: list[tuple], names: list[str], index: str) -> str:
+    """SQL for one row of a small fixed list, as a struct."""
+    structs = [f"struct({', '.join(f'{sql_text(v)} as {n}' for n, v in zip(names, row))})" for row in rows]
+    return f"try_element_at(array({', '.join(structs)}), int({index}) + 1)"
 
 
 class Logs:
@@ -113,21 +115,22 @@ class Logs:
         events = self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
         page = "if(cast(regexp_extract(props, '([0-9]+)', 1) as int) % 4 = 0, 0, event_id % 60)"
         query = "(event_id div 7) % 12"
-        return events.selectExpr("*", f"int({page}) as page_no", f"int({query}) as query_no").selectExpr(
+        looked_up = events.selectExpr(
+            "*",
+            _nth(PAGES, ["domain", "path"], page) + " as page",
+            _nth(QUERIES, ["query", "utm_medium", "utm_source", "referrer"], query) + " as arrival",
+        )
+        return looked_up.selectExpr(
             "event_id",
             "string(user_id) as user_id",
             "concat_ws('-', user_id, (dayofyear(ts) * 24 + hour(ts) + 6) div 48) as session_id",
             "ts as time",
             "event_type",
             "value",
-            _nth(["Desktop", "Mobile", "Tablet"], "int(user_id % 3)") + " as device_type",
-            _nth(REGIONS, "int(user_id % 33)") + " as region",
-            _nth([domain for domain, _ in PAGES], "page_no") + " as domain",
-            _nth([path for _, path in PAGES], "page_no") + " as path",
-            *[
-                _nth([q[i] for q in QUERIES], "query_no") + f" as {name}"
-                for i, name in enumerate(("query", "utm_medium", "utm_source", "referrer"))
-            ],
+            "case user_id % 3 when 0 then 'Desktop' when 1 then 'Mobile' else 'Tablet' end as device_type",
+            f"try_element_at({sql_array(REGIONS)}, int(user_id % 33) + 1) as region",
+            "page.*",
+            "arrival.*",
             "if(event_id % 2 = 0, '/', '/plans/') as landing_page",
         )
 
