@@ -58,8 +58,11 @@ def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis
     1. Each row is counted once for its session and once for its user, combined map-side to (day,
        segments, key). A key that owns a large share of all rows shrinks here to at most one row per
        day and segment, spread over all tasks.
-    2. These rows are placed by key. Every analysis is then de-duplicated inside the task, so the
-       fan-out over analyses never crosses the network.
+    2. These rows are placed by the hash of the key. Every analysis is then de-duplicated inside the
+       task, so the fan-out over analyses never crosses the network. There a key is known by its hash
+       and its rank among the keys of that hash, which is exact and several times cheaper to group by
+       than the text. The stage keeps ``spark.sql.shuffle.partitions`` tasks: AQE would merge them by
+       their size before the fan-out, which multiplies rows up to 21 times.
     3. Partial counts per (analysis, period, segment values) are added up.
     """
     if all(a.grain == "Daily" for a in analyses):
@@ -73,43 +76,58 @@ def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis
         chosen = [GRAINS.index(a.grain) * 100 + summaries.index(a.summary) for a in analyses if a.grain in grains]
         return f"array({', '.join(map(str, chosen))})" if chosen else "cast(array() as array<int>)"
 
+    partitions = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     of_session, of_user = ["date", *segments, "session_id"], ["date", *segments, "user_id"]
     per_key = events.groupingSets([of_session, of_user], *of_session, "user_id").agg(
         F.expr("grouping_id() as kind"), F.expr("count(*) as pv")
     )
-    placed = per_key.selectExpr(
-        "date", *segments, "kind = 1 as is_session", "if(kind = 1, session_id, user_id) as key", "pv"
-    ).repartition("is_session", "key")
+    placed = (
+        per_key.selectExpr("date", *segments, "kind = 1 as is_session", "if(kind = 1, session_id, user_id) as key", "pv")
+        .withColumn("key_hash", F.xxhash64("key"))
+        .repartition(partitions, "is_session", "key_hash")
+        .selectExpr(
+            "*",
+            "if(key is null, 0, dense_rank() over (partition by is_session, key_hash order by key)) as key_rank",
+        )
+    )
 
     in_window = f"date between date '{window.first}' and date '{window.last}'"
     fanned = (
         placed.select(
-            "*",
+            "date",
+            *segments,
+            "is_session",
+            "key_hash",
+            "key_rank",
+            "pv",
             F.unix_date("date").alias("day_no"),
             (reporting_year(F.col("date")) * 100 + sunday_week(F.col("date"))).alias("week_no"),
             F.month("date").alias("month_no"),
         )
         .selectExpr("*", f"explode(if({in_window}, {codes(GRAINS)}, {codes(GRAINS[1:])})) as code")
-        .selectExpr("*", "code div 100 as grain", "code % 100 as summary")
         .selectExpr(
-            "grain",
-            "summary",
-            "case grain when 0 then day_no when 1 then week_no else month_no end as period",
+            "code",
+            "case int(code / 100) when 0 then day_no when 1 then week_no else month_no end as period",
             *[
-                _case("summary", {i: columns[n] for i, columns in kept.items() if len(columns) > n}) + f" as {slot}"
+                _case("code % 100", {i: columns[n] for i, columns in kept.items() if len(columns) > n}) + f" as {slot}"
                 for n, slot in enumerate(slots)
             ],
             "is_session",
-            "key",
+            "key_hash",
+            "key_rank",
             "if(is_session, pv, 0L) as pv",
         )
     )
-    group = ["grain", "summary", "period", *slots]
-    distinct_keys = fanned.groupBy(*group, "is_session", "key").agg(F.expr("sum(pv) as pv"))
-    counted = distinct_keys.groupBy(*group).agg(
-        F.expr("sum(pv) as pv_ct"),
-        F.expr("count(if(is_session, key, null)) as session_ct"),
-        F.expr("count(if(is_session, null, key)) as user_ct"),
+    group = ["code", "period", *slots]
+    distinct_keys = fanned.groupBy(*group, "is_session", "key_hash", "key_rank").agg(F.expr("sum(pv) as pv"))
+    counted = (
+        distinct_keys.groupBy(*group)
+        .agg(
+            F.expr("sum(pv) as pv_ct"),
+            F.expr("count_if(is_session and key_rank > 0) as session_ct"),
+            F.expr("count_if(not is_session and key_rank > 0) as user_ct"),
+        )
+        .selectExpr("*", "code div 100 as grain", "code % 100 as summary")
     )
 
     names = {i: sql_text(s) for i, s in enumerate(summaries)}
