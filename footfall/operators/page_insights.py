@@ -68,7 +68,8 @@ def first_views(views: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     session is ever gathered whole.
     """
     by_time = Window.partitionBy("session_id").orderBy("time", *tie_break)
-    return views.withColumn("session_pv_seq", F.row_number().over(by_time)).filter("session_pv_seq = 1")
+    ranked = views.withColumn("rank", F.row_number().over(by_time)).filter("rank = 1")
+    return ranked.drop("rank").withColumn("session_pv_seq", F.lit(1).cast("bigint"))
 
 
 def page_engagement_events(
@@ -129,6 +130,15 @@ def conversion(first: DataFrame, events: DataFrame) -> DataFrame:
     return attach_events(first, events, after_view=True)
 
 
+def latest_per_session(events: DataFrame) -> DataFrame:
+    """Last occurrence of each event in a session.
+
+    A session had an event at or after its first view exactly when the last occurrence qualifies, so
+    rates need no more than this; a session with any number of events shrinks map-side.
+    """
+    return events.groupBy("session_id", *EVENT_LABELS).agg(F.max("time").alias("time"))
+
+
 def session_conversion_rate(funnel: DataFrame) -> DataFrame:
     """Share of the page's sessions that had each event at least once, per day of the first view."""
     once = funnel.select("date", "session_id", "event_type", "event_name").distinct()

@@ -161,6 +161,25 @@ def test_conversion_rate(spark):
     assert [tuple(r) for r in got] == [(date(2021, 1, 1), "T", "Donate", 2, 1, 0.5)]
 
 
+def test_latest_events_give_the_same_rates(spark, views):
+    rng = random.Random(9)
+    start = datetime(2021, 1, 1, 20)
+    rows = [
+        ("hot" if i % 3 == 0 else f"s{rng.randrange(140)}", start + timedelta(minutes=rng.randrange(3300)), "Core",
+         rng.choice(["Donate", "Sign Up"]), "N/A")
+        for i in range(300)
+    ]
+    events = spark.createDataFrame(
+        rows, "session_id string, time timestamp_ntz, event_type string, event_name string, event_description string"
+    )
+    first = page_insights.first_views(views, ["event_id"])
+    rates = [
+        sorted(page_insights.session_conversion_rate(page_insights.conversion(first, e)).collect(), key=str)
+        for e in (events, page_insights.latest_per_session(events))
+    ]
+    assert rates[0] == rates[1] and rates[0]
+
+
 def test_several_publishers_multiply_events(spark):
     events = spark.createDataFrame([(1, "m"), (2, "x"), (3, None), (4, "")], "i int, source string")
     ads = spark.createDataFrame([("m", "F"), ("m", "G"), ("m", "G")], "source string, publisher string")

@@ -35,5 +35,12 @@ def test_query_equals_sql(name, spark, duck):
     assert got == want
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.endswith("_replace")])
+def test_column_types_equal_sql(name, spark, duck):
+    names = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    types = {f.name: names[f.dataType.simpleString()] for f in QUERIES[name](spark, DATA).schema}
+    assert types == {r[0]: r[1] for r in duck.execute("describe " + SQL[name]).fetchall()}
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0

@@ -135,7 +135,10 @@ def page_engagement_convert(logs: Logs) -> DataFrame:
 
 
 def session_conversion_rate(logs: Logs) -> DataFrame:
-    return page_insights.session_conversion_rate(page_engagement_convert(logs))
+    first = logs.home_sessions()
+    engaged = page_insights.engagement(first, page_insights.latest_per_session(logs.engagement_events()))
+    converted = page_insights.conversion(first, page_insights.latest_per_session(logs.core_events()))
+    return page_insights.session_conversion_rate(engaged.unionByName(converted))
 
 
 def first_variant_logs(logs: Logs) -> DataFrame:
