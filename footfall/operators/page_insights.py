@@ -103,20 +103,26 @@ def attach_events(first: DataFrame, events: DataFrame, *, after_view: bool) -> D
 
     The same as ``first LEFT JOIN events``, in two parts, because a left join can split a dominant
     session only on the side where it has a single row. The inner join has no such limit: AQE splits
-    the events of that session over many tasks. Sessions without an event are found against one
-    pre-aggregated row per session.
+    the events of that session over many tasks. It does so only where both sides arrive straight from
+    a shuffle, hence a join key of its own: the first views may come out of a window that is already
+    placed by session. Sessions without an event are found against one pre-aggregated row per session.
     """
-    sessions = first.select(
-        "session_id", "date", F.col("time").alias("pv_time"),
-        "device_type", "region", "state_group", "channel", "landing_page",
+    key = "concat('=', session_id) as join_key"
+    sessions = first.selectExpr(
+        "session_id", "date", "time as pv_time", "device_type", "region", "state_group", "channel", "landing_page", key
+    )
+    occurred = events.selectExpr("time as e_time", *EVENT_LABELS, key)
+    matched = sessions.join(occurred, "join_key")
+    latest = events.groupBy("session_id").agg(F.max("time").alias("e_time")).select(
+        F.col("session_id").alias("e_session"), "e_time"
+    )
+    had_event = F.col("session_id") == F.col("e_session")
+    if after_view:
+        matched = matched.filter("pv_time <= e_time")
+        had_event = had_event & (F.col("pv_time") <= F.col("e_time"))
+    unmatched = sessions.join(latest, had_event, "left_anti").withColumns(
+        {c: F.lit(None).cast("string") for c in EVENT_LABELS}
     )
-    on = F.col("session_id") == F.col("e_session")
-    occurred = events.select(F.col("session_id").alias("e_session"), F.col("time").alias("e_time"), *EVENT_LABELS)
-    matched = sessions.join(occurred, on & (F.col("pv_time") <= F.col("e_time")) if after_view else on)
-
-    latest = occurred.groupBy("e_session").agg(F.max("e_time").alias("e_time"))
-    unmatched = sessions.join(latest, on & (F.col("pv_time") <= F.col("e_time")) if after_view else on, "left_anti")
-    unmatched = unmatched.withColumns({c: F.lit(None).cast("string") for c in EVENT_LABELS})
     return matched.select(*FUNNEL_COLUMNS).unionByName(unmatched.select(*FUNNEL_COLUMNS))
 
 

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from footfall.operators import page_insights
 from tests.conftest import DATA
 from workload import derive
 
@@ -57,3 +58,35 @@ def test_session_numbers_move_each_view_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # one shuffle of the views; the others move one row per session and hour
     assert plan.count("Exchange") == 4
+
+
+def test_dominant_session_is_split_over_tasks(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        events = spark.range(0, 90000, 1, 8).selectExpr(
+            "if(id % 3 = 0, 'hot', string(id % 500)) as session_id",
+            "timestamp_ntz'2021-01-02 00:00:00' + make_dt_interval(0, 0, 0, id) as time",
+            "'T' as event_type", "string(id) as event_name", "'D' as event_description",
+        )
+        views = spark.range(0, 1500, 1, 4).selectExpr(
+            "'u' as user_id", "if(id % 3 = 0, 'hot', string(id % 500)) as session_id",
+            "timestamp_ntz'2021-01-01 00:00:00' as time", "date'2021-01-01' as date", "'m' as device_type",
+            "'r' as region", "'g' as state_group", "'c' as channel", "'/' as landing_page", "id",
+        )
+        first = page_insights.first_views(views, ["id"])
+        result = page_insights.conversion(first, events)
+        assert result.count() == 90000
+        result.collect()
+        assert "skew=true" in plan_of(result)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
