@@ -7,9 +7,11 @@ import pytest
 
 import __spark_entry__ as entry_module
 from tests.conftest import DATA
+from workload import oracle
+from workload.queries import registered
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = registered()
+SQL = oracle.statements()
 
 
 def plain(value):
@@ -20,6 +22,8 @@ def plain(value):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(SQL) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
