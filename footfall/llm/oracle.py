@@ -28,5 +28,19 @@ left join repeated r on r.host = l.host and r.path = l.path
 """
 
 
+WARC = """
+with payloads as (
+    select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes from pages
+),
+grouped as (
+    select *, max(page_id) over (partition by html) as last_page from payloads
+)
+select page_id, payload_bytes, sha1(html) as payload_digest,
+       case when payload_bytes >= 1000 and page_id <> last_page then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id <> last_page then last_page end as refers_to
+from grouped
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_url_filter": URL_FILTER}
+    return {"op3_url_filter": URL_FILTER, "op10_warc": WARC}

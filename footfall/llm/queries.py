@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import quality_rules, url_filter
+from footfall.llm import mixing, packing, quality_rules, url_filter, warc
 from footfall.llm.shared import table
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
@@ -18,6 +29,17 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized, recipe = mixing.plan(table(spark, sf_dir, "documents"))
+    return mixing.drawn(sized, recipe).select(
+        F.col("key").alias("doc_id"),
+        F.col("size_").alias("size"),
+        F.col("source_size_").alias("source_size"),
+        F.col("target_").alias("target"),
+        (F.col("size_") * F.size("shards_")).cast("bigint").alias("taken"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -25,8 +47,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_packing": op2_packing,
         "op3_url_filter": op3_url_filter,
+        "op7_mixing": op7_mixing,
         "op9_quality_rules": op9_quality_rules,
+        "op10_warc": op10_warc,
     }
