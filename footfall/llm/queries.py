@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import mixing, packing, quality_rules, url_filter, warc
-from footfall.llm.shared import table
+from footfall.llm import mixing, packing, quality_classifier, quality_rules, toxicity, url_filter, warc
+from footfall.llm.shared import learns_from, table
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -29,6 +29,22 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def _judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return scored.select(
+        F.col("key").alias("doc_id"), (~learns_from(F.col("key"), folds, held_out)).alias("held_out"), "score", "predicted"
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(learns_from(F.col("doc_id"), 3, 1)).select("doc_id", F.col("toxic").alias("label"))
+    return _judged(toxicity.classify(table(spark, sf_dir, "documents"), labels, threshold=0.7), 3, 1)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(learns_from(F.col("doc_id"), 5, 0)).select("doc_id", F.col("quality").alias("label"))
+    return _judged(quality_classifier.classify(table(spark, sf_dir, "documents"), labels.withColumnRenamed("doc_id", "key"), threshold=0.3), 5, 0)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized, recipe = mixing.plan(table(spark, sf_dir, "documents"))
     return mixing.drawn(sized, recipe).select(
@@ -56,6 +72,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_packing": op2_packing,
         "op3_url_filter": op3_url_filter,
+        "op4_toxicity": op4_toxicity,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_mixing": op7_mixing,
         "op9_quality_rules": op9_quality_rules,
         "op10_warc": op10_warc,

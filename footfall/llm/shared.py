@@ -119,3 +119,80 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = True) -> tup
     np.cumsum(BYTE_CODE[LOWERED[data] if lower else data] * power[:-1], out=sums[1:])
     hashes = mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
     return hashes, np.searchsorted(starts, first, "right") - 1
+
+
+#: Tables of counts are split into this many blocks; a merging task holds at most MERGED_PARTS parts of one block.
+COUNT_BLOCKS, MERGED_PARTS = 64, 64
+COUNTS = "kind string, block int, part long, data binary"
+
+
+def sparse_counts(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted cells with their counts, as bytes."""
+    return np.concatenate([cells.astype(np.uint32), counts.astype(np.uint32)]).tobytes()
+
+
+def read_sparse(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(data, np.uint32)
+    return both[: len(both) // 2], both[len(both) // 2 :]
+
+
+def counted(cells: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal cells added up, sorted."""
+    order = np.argsort(cells, kind="stable")
+    cells, counts = cells[order], counts[order].astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])[: len(cells)])
+    return cells[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def count_rows(kind: str, part: int, cells: np.ndarray, counts: np.ndarray, block_cells: int) -> Iterator[tuple]:
+    """COUNTS rows of sorted cells; kind few."""
+    edges = np.searchsorted(cells, np.arange(COUNT_BLOCKS + 1, dtype=np.int64) * block_cells)
+    for b in range(COUNT_BLOCKS):
+        if edges[b] < edges[b + 1]:
+            at = slice(edges[b], edges[b + 1])
+            yield kind, b, part, sparse_counts(cells[at] - b * block_cells, counts[at])
+
+
+def dense_rows(kind: str, part: int, counts: np.ndarray) -> Iterator[tuple]:
+    """COUNTS rows of a table of counts; kind sum."""
+    for b, block in enumerate(counts.astype(np.uint32).reshape(COUNT_BLOCKS, -1)):
+        if block.any():
+            yield kind, b, part, block.tobytes()
+
+
+def count_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["kind", "block", "part", "data"])
+
+
+def _merged(kind: str, parts: list[bytes]) -> bytes:
+    if kind.startswith("any"):  # bits
+        return np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in parts]).tobytes()
+    if kind.startswith("sum"):  # dense counts
+        return np.sum([np.frombuffer(x, np.uint32) for x in parts], axis=0, dtype=np.uint64).clip(max=2**32 - 1).astype(np.uint32).tobytes()
+    pairs = [read_sparse(x) for x in parts]
+    cells, counts = counted(np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]))
+    return sparse_counts(cells, counts.clip(max=2**32 - 1))
+
+
+def merged_counts(parts: DataFrame, partitions: int) -> DataFrame:
+    """COUNTS rows of `partitions` tasks -> one row per kind and block; merged in levels of MERGED_PARTS parts.
+
+    The kind's prefix says how: any (bits), sum (dense unsigned 32-bit counts), few (sparse counts).
+    """
+    import pandas as pd
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        kind = group.kind.iloc[0]
+        return pd.DataFrame({"kind": [kind], "block": [group.block.iloc[0]], "part": [group.part.iloc[0]], "data": [_merged(kind, list(group.data))]})
+
+    while True:
+        partitions = -(-partitions // MERGED_PARTS)
+        parts = parts.withColumn("part", F.floor(F.col("part") / MERGED_PARTS)).groupBy("kind", "block", "part").applyInPandas(merge, COUNTS)
+        if partitions <= 1:
+            return parts
+
+
+def learns_from(key: Column, folds: int, held_out: int) -> Column:
+    """Whether crc32 of the key as text leaves another remainder than the held-out one."""
+    return ~F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == held_out, F.lit(False))
