@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import mixing, packing, quality_classifier, quality_rules, toxicity, url_filter, warc
+from footfall.llm import mixing, nn_descent, packing, quality_classifier, quality_rules, toxicity, url_filter, warc
 from footfall.llm.shared import learns_from, table
 
 
@@ -56,6 +56,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -75,6 +79,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": op4_toxicity,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_mixing": op7_mixing,
+        "op8_nn_descent": op8_nn_descent,
         "op9_quality_rules": op9_quality_rules,
         "op10_warc": op10_warc,
     }
