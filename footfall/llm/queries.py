@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import mixing, nn_descent, packing, quality_classifier, quality_rules, toxicity, url_filter, warc
+from footfall.llm import mixing, ngram_join, nn_descent, packing, quality_classifier, quality_rules, toxicity, url_filter, warc
 from footfall.llm.shared import learns_from, table
 
 
@@ -17,6 +17,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -74,6 +78,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_packing": op2_packing,
         "op3_url_filter": op3_url_filter,
         "op4_toxicity": op4_toxicity,
