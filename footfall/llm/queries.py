@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import mixing, ngram_join, nn_descent, packing, quality_classifier, quality_rules, toxicity, url_filter, warc
+from footfall.llm import mixing, ngram_join, nn_descent, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filter, warc
 from footfall.llm.shared import learns_from, table
 
 
@@ -44,6 +44,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.classify(table(spark, sf_dir, "documents"), labels, threshold=0.7), 3, 1)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.removed(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(learns_from(F.col("doc_id"), 5, 0)).select("doc_id", F.col("quality").alias("label"))
     return _judged(quality_classifier.classify(table(spark, sf_dir, "documents"), labels.withColumnRenamed("doc_id", "key"), threshold=0.3), 5, 0)
@@ -82,6 +89,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": op2_packing,
         "op3_url_filter": op3_url_filter,
         "op4_toxicity": op4_toxicity,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_mixing": op7_mixing,
         "op8_nn_descent": op8_nn_descent,
