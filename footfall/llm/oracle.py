@@ -42,5 +42,79 @@ from grouped
 """
 
 
+NGRAM_JOIN = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+),
+sets as (
+    select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+           else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+    from words
+),
+members as (select doc_id, unnest(s) as shingle, len(s) as n from sets),
+links as (
+    select a.doc_id as x, b.doc_id as y
+    from members a join members b on a.shingle = b.shingle and a.doc_id < b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n
+    having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+edges as (select x, y from links union all select y, x from links),
+reach(doc_id, other) as (
+    select x, y from edges union select r.doc_id, e.y from reach r join edges e on e.x = r.other
+)
+select s.doc_id, len(s.s) as n_shingles, least(s.doc_id, coalesce(min(r.other), s.doc_id)) as component_id
+from sets s left join reach r on r.doc_id = s.doc_id
+group by s.doc_id, len(s.s)
+"""
+
+SUFFIX_DEDUP = """
+with texts as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+starts as (select r, unnest(range(0, length(h) // 2 - 199)) as p, h from texts where length(h) >= 400),
+prints as (select r, p, md5(substr(h, 2 * p + 1, 400)) as m from starts),
+repeated as (select r, p from prints where m in (select m from prints group by m having count(*) > 1)),
+marked as (select r, p, case when p - lag(p) over (partition by r order by p) <= 200 then 0 else 1 end as new_run from repeated),
+runs as (select r, p, sum(new_run) over (partition by r order by p) as run from marked),
+spans as (select r, run, min(p) as s, max(p) + 200 as e from runs group by r, run),
+gaps as (
+    select r, s, e, coalesce(lag(e) over (partition by r order by s), 0) as before,
+           lead(s) over (partition by r order by s) as next_start from spans
+),
+kept as (
+    select t.r, count(g.s) as n_spans, coalesce(sum(g.e - g.s), 0) as n_removed,
+           case when count(g.s) = 0 then any_value(t.h)
+                else string_agg(substr(t.h, 2 * g.before + 1, 2 * (g.s - g.before)), '' order by g.s)
+                     || substr(any_value(t.h), 2 * max(g.e) + 1) end as rest
+    from texts t left join gaps g on g.r = t.r group by t.r
+)
+select t.doc_id, length(t.h) // 2 as n_bytes, cast(k.n_removed as bigint) as n_removed, k.n_spans, sha256(unhex(k.rest)) as kept_sha256
+from texts t join kept k on k.r = t.r
+"""
+
+NN_DESCENT = """
+with recursive vectors as (
+    select vec_id, cast(embedding as double[]) as v from embeddings
+),
+links as (
+    select a.vec_id as x, b.vec_id as y from vectors a join vectors b on a.vec_id <> b.vec_id
+    where list_cosine_similarity(a.v, b.v) >= 0.95
+),
+reach(vec_id, other) as (
+    select x, y from links union select r.vec_id, l.y from reach r join links l on l.x = r.other
+),
+roots as (select vec_id, min(other) as other from reach group by vec_id),
+degrees as (select x, count(*) as n from links group by x)
+select v.vec_id, coalesce(d.n, 0) as n_links, least(v.vec_id, coalesce(r.other, v.vec_id)) as component_id,
+       v.vec_id <= coalesce(r.other, v.vec_id) as kept
+from vectors v left join roots r on r.vec_id = v.vec_id left join degrees d on d.x = v.vec_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_url_filter": URL_FILTER, "op10_warc": WARC}
+    return {
+        "op1_ngram_join": NGRAM_JOIN,
+        "op3_url_filter": URL_FILTER,
+        "op5_suffix_dedup": SUFFIX_DEDUP,
+        "op8_nn_descent": NN_DESCENT,
+        "op10_warc": WARC,
+    }

@@ -205,6 +205,19 @@ def score(features: DataFrame, model: Discriminant) -> DataFrame:
     return features.mapInArrow(rows, f"key {features.schema['key'].dataType.simpleString()}, score double")
 
 
+def accepted(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of `documents` that score the threshold or more, each judged in its own row."""
+    model = fit(stored(with_statistics(documents, key, text), "statistics"), labels)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [model.score(statistics(data, starts)) for _, data, starts in text_slices(batch, text)]
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) >= threshold))
+
+    return documents.mapInArrow(rows, documents.schema)
+
+
 def classify(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
     """(key, score, predicted) of every document; labels: (key, label) to learn from."""
     features = stored(with_statistics(documents, key, text), "statistics")

@@ -18,7 +18,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents")).drop("class_id")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -452,11 +452,10 @@ def _equal_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 RESULT = "n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, kept binary"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
 
-def _removal(length: int, columns: list[pa.Field]):
-    schema = pa.schema([*columns, ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))), ("kept", pa.binary())])
-
+def _removal(length: int, carried: list[str]):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             twin = batch.column("twin").to_numpy(zero_copy_only=False).astype(bool)
@@ -481,16 +480,20 @@ def _removal(length: int, columns: list[pa.Field]):
                     change = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
                     spans = [{"start": int(x), "length": int(y - x)} for x, y in zip(change[::2], change[1::2], strict=True)]
                     rows.append((len(own), int(own.sum()), spans, bytes_[~own].tobytes() if spans else bytes_.tobytes()))
-                kept = [batch.column(f.name).slice(part.start, part.stop - part.start) for f in columns]
-                made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types[len(columns) :], strict=True)]
-                yield pa.RecordBatch.from_arrays([*kept, *made], schema=schema)
+                kept = [batch.column(c).slice(part.start, part.stop - part.start) for c in carried]
+                made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), _SPANS, pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*kept, *made], names=[*carried, "n_bytes", "n_removed", "spans", "kept"])
 
     return emit
 
 
-def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """(key, n_bytes, n_removed, spans, kept): the removed spans and the remaining bytes of every document."""
-    source = documents.select(F.col(key).alias("key_"), F.col(text).cast("string").alias("text")).withColumn("rid", F.xxhash64("key_", "text"))
+def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, carry: list[str] | None = None) -> DataFrame:
+    """The carried columns (the key unless named), n_bytes, n_removed, spans and kept: removed spans and remaining bytes."""
+    carry = [key] if carry is None else carry
+    names = [f"column_{i}" for i in range(len(carry))]
+    source = documents.select(
+        F.xxhash64(F.col(key), F.col(text)).alias("rid"), F.col(text).cast("string").alias("text"), *[F.col(c).alias(n) for c, n in zip(carry, names, strict=True)]
+    )
     marks = marks_of(source.select("rid", "text"), length)
     twins = source.groupBy("rid").count().filter("count > 1").select("rid", F.lit(True).alias("twin"))
     # one shuffle of the texts, which both passes over them use
@@ -499,7 +502,21 @@ def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", lengt
     equal = windows.repartition(_parts(windows), "key").sortWithinPartitions("key").mapInArrow(_equal_windows, "rid long, place int")
     places = equal.groupBy("rid").agg(F.collect_set("place").alias("places"))
     whole = marked.join(places, "rid", "left").join(twins, "rid", "left").withColumn("twin", F.coalesce("twin", F.lit(False)))
-    kind = source.schema["key_"].dataType.simpleString()
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    out = whole.mapInArrow(_removal(length, [pa.field("key_", kinds[kind])]), f"key_ {kind}, {RESULT}")
-    return out.withColumnRenamed("key_", key)
+    kinds = [f"{n} {source.schema[n].dataType.simpleString()}" for n in names]
+    out = whole.mapInArrow(_removal(length, names), ", ".join([*kinds, RESULT]))
+    return out.withColumnsRenamed(dict(zip(names, carry, strict=True)))
+
+
+def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """`documents` with the repeated bytes removed from the text; a character that a cut goes through is dropped."""
+    carry = [c for c in documents.columns if c != text]
+    kept = removed(documents, key, text, length, carry)
+    return kept.withColumn(text, _whole_characters(F.col("kept"))).select(*documents.columns)
+
+
+def _whole_characters(data):
+    @F.pandas_udf("string")
+    def decoded(values):
+        return values.map(lambda x: x.decode("utf-8", "ignore"))
+
+    return decoded(data)
