@@ -183,8 +183,11 @@ def drawn(sized: DataFrame, recipe: DataFrame, source: str = "source") -> DataFr
 def mix(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = WEIGHTS, most: int = MOST_REPEATS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mixed documents with all their columns, once for each time they are drawn, plus shard_; shuffled within shards."""
     _, recipe = plan(documents, key, text, source, weights, most, shards, seed)
-    placed = drawn(measured(documents, key, text, seed), recipe, source)
-    copies = placed.select(*documents.columns, "u_", F.posexplode("shards_").alias("time_", "shard_"))
-    order = F.xxhash64(F.lit(seed), "u_", "time_")
+    # the documents' own columns travel as one, so that no name clashes
+    whole = documents.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
+    placed = drawn(measured(whole, "key", "text", seed), recipe)
+    copies = placed.select("row", "u_", F.posexplode("shards_").alias("time", "shard"))
+    order = F.xxhash64(F.lit(seed), "u_", "time")
     # a shard is spread by its random order, so that shards of any size make even tasks
-    return copies.withColumn("order_", order).repartitionByRange("shard_", "order_").sortWithinPartitions("shard_", "order_").drop("u_", "time_", "order_")
+    spread = copies.withColumn("order", order).repartitionByRange("shard", "order").sortWithinPartitions("shard", "order")
+    return spread.select("row.*", F.col("shard").alias("shard_"))

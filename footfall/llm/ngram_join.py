@@ -246,11 +246,11 @@ def near_duplicate_groups(documents: DataFrame, key: str = "doc_id", text: str =
 
 def one_of_each_group(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """`documents` with the one of the smallest id of each component; rows without an id stay."""
-    groups = stored(near_duplicate_groups(documents, key, text, percent).select(F.col(key).alias("id_"), "component_id"), "groups")
-    spare = stored(groups.filter("id_ != component_id").select("id_").distinct(), "spare")
-    alone = documents.join(few_or_all(spare), F.col(key) == F.col("id_"), "left_anti")
-    several = stored(groups.filter("id_ = component_id").groupBy("id_").count().filter("count > 1").select("id_"), "several")
+    groups = stored(near_duplicate_groups(documents, key, text, percent).select(F.col(key).alias("id"), "component_id"), "groups")
+    spare = stored(groups.filter("id != component_id").select("id").distinct(), "spare")
+    alone = documents.join(few_or_all(spare), documents[key] == spare["id"], "left_anti")
+    several = stored(groups.filter("id = component_id").groupBy("id").count().filter("count > 1").select("id"), "several")
     if not several.take(1):
         return alone
-    repeated = alone.join(several, F.col(key) == F.col("id_")).drop("id_").dropDuplicates([key])
-    return alone.join(several, F.col(key) == F.col("id_"), "left_anti").unionByName(repeated)
+    repeated = alone.join(few_or_all(several), alone[key] == several["id"], "left_semi").dropDuplicates([key])
+    return alone.join(few_or_all(several), alone[key] == several["id"], "left_anti").unionByName(repeated)

@@ -194,7 +194,7 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes, key: str =
             for i in range(batch.num_rows):
                 if stream is None:
                     path, records = f"{root}/{task}-{len(done):04d}.warc.zst", 0
-                    stream = system.open_output_stream(path)
+                    stream = system.open_output_stream(path, compression=None)
                     size = stream.write(dictionary_frame(dictionary))
                 page_id, target, text, refers = (c[i].as_py() for c in columns)
                 size += stream.write(frames.compress(record_bytes(page_id, target, (text or "").encode(), refers)))
@@ -226,7 +226,7 @@ def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> D
         system, _ = fs.FileSystem.from_uri(folder)
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                with system.open_input_stream(path) as stream:
+                with system.open_input_stream(path, compression=None) as stream:
                     rows, size = [], 0
                     for record in read_archive(stream, path):
                         rows.append(record[:width])
