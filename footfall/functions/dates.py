@@ -36,11 +36,20 @@ def sunday_week(day: Column) -> Column:
     return F.weekofyear(F.date_add(day, 1))
 
 
-def reporting_year(day: Column, first: int | None = 2018, last: int | None = 2021) -> Column:
-    """Year that owns the Sunday-start week, clamped to the years the report covers.
+@dataclass(frozen=True)
+class Years:
+    """Years that a report covers; earlier and later ones are shown as its first and last. None leaves an end open."""
+
+    first: int | None = None
+    last: int | None = None
+
+
+ALL_YEARS = Years()
+
 
-    ``first=None`` or ``last=None`` leaves that end open.
-    """
+def reporting_year(day: Column, years: Years = ALL_YEARS) -> Column:
+    """Year that owns the Sunday-start week, clamped to the years the report covers."""
+    first, last = years.first, years.last
     year = F.extract(F.lit("YEAROFWEEK"), F.date_add(day, 1))
     if first is not None:
         year = F.greatest(year, F.lit(first))
@@ -49,10 +58,10 @@ def reporting_year(day: Column, first: int | None = 2018, last: int | None = 202
     return year
 
 
-def calendar_columns(day: Column) -> dict[str, Column]:
+def calendar_columns(day: Column, years: Years = ALL_YEARS) -> dict[str, Column]:
     """Calendar columns of the summary tables, stored as strings."""
     return {
         "week": sunday_week(day).cast("string"),
         "month": F.month(day).cast("string"),
-        "reporting_wk_yr": reporting_year(day).cast("string"),
+        "reporting_wk_yr": reporting_year(day, years).cast("string"),
     }

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow
 
-# Longest reporting span of a test, in days.
-MAX_DAYS = 128
-
 VARIANT_KEY = ("testname", "variation")
 USER_KEY = ("user_id", *VARIANT_KEY)
 RESULT_COLUMNS = (
@@ -30,13 +27,16 @@ class Experiment:
     start: date
     end: date
     exposure_paths: tuple[str, ...]
+    # Days reported at most, from the start on; None reports all of them.
+    max_days: int | None = None
 
     @property
     def window(self) -> DateWindow:
         return DateWindow(self.start, self.end)
 
     def last_report(self, as_of: date) -> date:
-        return min(self.end, as_of, self.start + timedelta(days=MAX_DAYS - 1))
+        last = min(self.end, as_of)
+        return last if self.max_days is None else min(last, self.start + timedelta(days=self.max_days - 1))
 
 
 def rate_name(event_name: Column) -> Column:

@@ -11,9 +11,10 @@ def ab_variant_inference(results: DataFrame) -> DataFrame:
     """Add standard error, 95% interval, z statistic, p-value and minimum detectable effects.
 
     A zero standard error gives what floating point division gives: NaN for no difference, else a
-    signed infinity. A NULL variance leaves every statistic NULL.
+    signed infinity. A NULL variance leaves every statistic NULL. An arm without users divides as floating point does.
     """
-    with_error = results.selectExpr("*", "sqrt(variance_tre / n_tre + variance_con / n_con) as standard_error")
+    share = "if(n_{0} = 0, variance_{0} * double('Infinity'), variance_{0} / n_{0})"
+    with_error = results.selectExpr("*", f"sqrt({share.format('tre')} + {share.format('con')}) as standard_error")
     with_statistic = with_error.selectExpr(
         "*",
         f"{Z_975}D * standard_error as margin_of_error",

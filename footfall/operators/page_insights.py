@@ -37,27 +37,38 @@ def page_views(
     return with_channel(rows, channel_rules).select(*PAGE_VIEW_COLUMNS, *keep)
 
 
-def with_session_sequence(views: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+# Views of one session in one hour beyond which they are numbered second by second. It picks the plan, not the numbers.
+CROWDED_HOUR = 50_000
+
+
+def with_session_sequence(views: DataFrame, tie_break: Sequence[str] = (), crowded: int = CROWDED_HOUR) -> DataFrame:
     """Number the views of each session by time (``session_pv_seq``).
 
-    A session is numbered hour by hour: hourly counts, pre-aggregated, give each hour its starting
-    number, and rows are sorted only inside their hour. A session that owns much of the traffic is
-    thus spread over as many tasks as it has hours; most sessions have a single hour and no offset.
+    A session is numbered by units of time: hours, and seconds inside the hours that hold more than
+    ``crowded`` of its views. Counts by unit, pre-aggregated, give each unit its starting number, and rows
+    are sorted only inside their unit. A session that owns much of the traffic, or all views without a
+    session id, is thus spread over many tasks; most sessions have a single hour and no offset.
     """
     # A key that is never NULL: views without a session id are numbered together, and a plain equality
     # lets the join reuse the placement of the window.
     hour = ["session_key", "date", "hour"]
+    unit = [*hour, "second"]
     rows = views.selectExpr("*", "coalesce(concat('=', session_id), '') as session_key", "hour(time) as hour")
     hourly = rows.groupBy(*hour).agg(F.count("*").alias("views"))
-    offsets = hourly.selectExpr(
-        *hour,
-        """sum(views) over (partition by session_key order by date, hour
+    full = hourly.filter(F.col("views") > crowded).select(*hour, F.lit(True).alias("is_full"))
+    second = "if(is_full, minute(time) * 60 + second(time), -1) as second"
+    by_second = rows.join(full, hour).selectExpr(*hour, second).groupBy(*unit).agg(F.count("*").alias("views"))
+    by_unit = hourly.filter(F.col("views") <= crowded).selectExpr(*hour, "-1 as second", "views").unionByName(by_second)
+    offsets = by_unit.selectExpr(
+        *unit,
+        """sum(views) over (partition by session_key order by date, hour, second
             rows between unbounded preceding and 1 preceding) as offset""",
     ).filter("offset > 0")
-    in_hour = Window.partitionBy(*hour).orderBy("time", *tie_break)
-    numbered = rows.withColumn("seq_in_hour", F.row_number().over(in_hour))
-    return numbered.join(offsets, hour, "left").selectExpr(
-        *views.columns, "seq_in_hour + coalesce(offset, 0L) as session_pv_seq"
+    placed = rows.join(full, hour, "left").selectExpr(*views.columns, *hour, second)
+    in_unit = Window.partitionBy(*unit).orderBy("time", *tie_break)
+    numbered = placed.withColumn("seq_in_unit", F.row_number().over(in_unit))
+    return numbered.join(offsets, unit, "left").selectExpr(
+        *views.columns, "seq_in_unit + coalesce(offset, 0L) as session_pv_seq"
     )
 
 

@@ -30,11 +30,15 @@ RESULT_KEY = ("testname", "variation", "control_description", "reporting_date",
 
 
 def with_significance(inference: DataFrame) -> DataFrame:
-    """``is_significant`` at 95%, and the colour class of the cumulative table."""
+    """``is_significant`` at 95%, and the colour class of the cumulative table.
+
+    NULL where the test is undefined: no p-value, or NaN because neither arm varies.
+    """
     return inference.selectExpr(
         "*",
-        f"p_value < {SIGNIFICANCE_LEVEL}D as is_significant",
+        f"if(isnan(p_value), null, p_value < {SIGNIFICANCE_LEVEL}D) as is_significant",
         f"""case
+            when isnan(p_value) then 'neither'
             when p_value < {SIGNIFICANCE_LEVEL}D and diff > 0 then 'positive'
             when p_value < {SIGNIFICANCE_LEVEL}D and diff < 0 then 'negative'
             else 'neither' end as color_class""",

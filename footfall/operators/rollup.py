@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.dates import DateWindow, calendar_columns, reporting_year, sunday_week
+from footfall.functions.dates import ALL_YEARS, DateWindow, Years, calendar_columns, reporting_year, sunday_week
 from footfall.functions.rules import sql_text
 from footfall.operators.classify import SEGMENTS
 
@@ -49,7 +49,15 @@ def _case(code: str, choices: dict[int, str]) -> str:
     return f"case {code} {arms} end" if arms else "cast(null as string)"
 
 
-def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis] = ALL_ANALYSES) -> DataFrame:
+def summarize(
+    events: DataFrame,
+    window: DateWindow,
+    analyses: Sequence[Analysis] = ALL_ANALYSES,
+    *,
+    years: Years = ALL_YEARS,
+    month_years: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
     """Any set of the daily / weekly / monthly summaries from a single scan of the classified events.
 
     Daily analyses cover the window, weekly and monthly ones the whole table. Three shuffles, whatever
@@ -61,9 +69,14 @@ def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis
     2. These rows are placed by the hash of the key. Every analysis is then de-duplicated inside the
        task, so the fan-out over analyses never crosses the network. There a key is known by its hash
        and its rank among the keys of that hash, which is exact and several times cheaper to group by
-       than the text. The stage keeps ``spark.sql.shuffle.partitions`` tasks: AQE would merge them by
-       their size before the fan-out, which multiplies rows up to 21 times.
+       than the text. Rows without a user count nothing and are dropped; rows without a session
+       count only as views, so they are placed by day and segments instead. The stage keeps ``partitions`` tasks
+       (default: ``spark.sql.shuffle.partitions``): AQE would merge them by their size before the
+       fan-out, which multiplies rows up to 21 times.
     3. Partial counts per (analysis, period, segment values) are added up.
+
+    ``years`` limits the reporting years of weeks. Months of different years are added up unless
+    ``month_years`` is set, which shows them as ``2024-03``.
     """
     if all(a.grain == "Daily" for a in analyses):
         events = events.filter(window.has_date(F.col("date")))
@@ -76,14 +89,15 @@ def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis
         chosen = [GRAINS.index(a.grain) * 100 + summaries.index(a.summary) for a in analyses if a.grain in grains]
         return f"array({', '.join(map(str, chosen))})" if chosen else "cast(array() as array<int>)"
 
-    partitions = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     of_session, of_user = ["date", *segments, "session_id"], ["date", *segments, "user_id"]
     per_key = events.groupingSets([of_session, of_user], *of_session, "user_id").agg(
         F.expr("grouping_id() as kind"), F.expr("count(*) as pv")
     )
     placed = (
         per_key.selectExpr("date", *segments, "kind = 1 as is_session", "if(kind = 1, session_id, user_id) as key", "pv")
-        .withColumn("key_hash", F.xxhash64("key"))
+        .filter("is_session or key is not null")
+        .withColumn("key_hash", F.when(F.col("key").isNull(), F.xxhash64("date", *segments)).otherwise(F.xxhash64("key")))
         .repartition(partitions, "is_session", "key_hash")
         .selectExpr(
             "*",
@@ -101,8 +115,8 @@ def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis
             "key_rank",
             "pv",
             F.unix_date("date").alias("day_no"),
-            (reporting_year(F.col("date")) * 100 + sunday_week(F.col("date"))).alias("week_no"),
-            F.month("date").alias("month_no"),
+            (reporting_year(F.col("date"), years) * 100 + sunday_week(F.col("date"))).alias("week_no"),
+            (F.year("date") * 100 * int(month_years) + F.month("date")).alias("month_no"),
         )
         .selectExpr("*", f"explode(if({in_window}, {codes(GRAINS)}, {codes(GRAINS[1:])})) as code")
         .selectExpr(
@@ -132,13 +146,14 @@ def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis
 
     names = {i: sql_text(s) for i, s in enumerate(summaries)}
     dated = counted.selectExpr("*", "if(grain = 0, date_from_unix_date(period), null) as date")
-    daily = dated.select("*", *[c.alias(f"daily_{n}") for n, c in calendar_columns(F.col("date")).items()])
+    daily = dated.select("*", *[c.alias(f"daily_{n}") for n, c in calendar_columns(F.col("date"), years).items()])
+    month = "concat(lpad(period div 100, 4, '0'), '-', lpad(period % 100, 2, '0'))" if month_years else "string(period)"
     return daily.selectExpr(
         f"concat({_case('grain', {i: sql_text(g + ' ') for i, g in enumerate(GRAINS)})}, {_case('summary', names)})"
         " as analysis",
         "date",
         "case grain when 0 then daily_week when 1 then string(period % 100) end as week",
-        "case grain when 0 then daily_month when 2 then string(period) end as month",
+        f"case grain when 0 then daily_month when 2 then {month} end as month",
         "case grain when 0 then daily_reporting_wk_yr when 1 then string(period div 100) end as reporting_wk_yr",
         *[
             _case("summary", {i: slots[columns.index(c)] for i, columns in kept.items() if c in columns}) + f" as {c}"
@@ -151,7 +166,12 @@ def summarize(events: DataFrame, window: DateWindow, analyses: Sequence[Analysis
 
 
 def count_segments(
-    events: DataFrame, window: DateWindow, analysis: str, count_name: str, extra: Sequence[str] = ()
+    events: DataFrame,
+    window: DateWindow,
+    analysis: str,
+    count_name: str,
+    extra: Sequence[str] = (),
+    years: Years = ALL_YEARS,
 ) -> DataFrame:
     """Row count of every full combination of segments per day of the window."""
     dimensions = ["date", *SEGMENTS, *extra]
@@ -159,24 +179,24 @@ def count_segments(
     return counted.select(
         F.lit(analysis).alias("analysis"),
         "date",
-        *[c.alias(n) for n, c in calendar_columns(F.col("date")).items()],
+        *[c.alias(n) for n, c in calendar_columns(F.col("date"), years).items()],
         *SEGMENTS,
         *extra,
         count_name,
     )
 
 
-def reach_fully_segmented(events: DataFrame, window: DateWindow) -> DataFrame:
+def reach_fully_segmented(events: DataFrame, window: DateWindow, years: Years = ALL_YEARS) -> DataFrame:
     """Finest page view counts; sessions and users are not additive there and stay NULL."""
-    counted = count_segments(events, window, "Fully Segmented PVs", "pv_ct")
+    counted = count_segments(events, window, "Fully Segmented PVs", "pv_ct", years=years)
     missing = F.lit(None).cast("bigint")
     return counted.withColumns({"session_ct": missing, "user_ct": missing}).select(*SUMMARY_COLUMNS)
 
 
-def convert_fully_segmented(events: DataFrame, window: DateWindow) -> DataFrame:
-    return count_segments(events, window, "Fully Segmented Events", "event_ct", ["convert_event"])
+def convert_fully_segmented(events: DataFrame, window: DateWindow, years: Years = ALL_YEARS) -> DataFrame:
+    return count_segments(events, window, "Fully Segmented Events", "event_ct", ["convert_event"], years)
 
 
-def reach_overview_summary(events: DataFrame, window: DateWindow) -> DataFrame:
-    """The full reach summary: fully segmented counts and all 21 roll-ups."""
-    return reach_fully_segmented(events, window).unionByName(summarize(events, window))
+def reach_overview_summary(events: DataFrame, window: DateWindow, years: Years = ALL_YEARS, **options) -> DataFrame:
+    """The full reach summary: fully segmented counts and all 21 roll-ups (``options`` of ``summarize``)."""
+    return reach_fully_segmented(events, window, years).unionByName(summarize(events, window, years=years, **options))

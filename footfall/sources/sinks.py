@@ -8,6 +8,7 @@ slice in place, and repeating a run gives the same table.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date
@@ -29,16 +30,24 @@ def _rebalanced(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.hint("rebalance", *columns)
 
 
+_MODE_LOCK = threading.RLock()
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 @contextmanager
 def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    """Catalog inserts read the overwrite mode from the session only."""
+    """Catalog inserts read the overwrite mode from the session only.
+
+    Jobs in threads of one session would change it for one another, so one insert runs at a time.
+    """
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _MODE_LOCK:
+        before = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def _swap_partitions(rows: DataFrame, table: str, column: str, rebalance: bool) -> set:
@@ -111,6 +120,22 @@ def replace_test(rows: DataFrame, table: str, testname: str) -> None:
         _drop_partitions(rows, table, [{"testname": testname}])
 
 
+def replace_page(rows: DataFrame, table: str, page: str) -> None:
+    """Make one page's partitions of ``table`` hold exactly ``rows``; other pages stay.
+
+    The page's days that are stored but no longer written are dropped.
+    """
+    keys = [c for c in _partition_columns(rows, table) if c != "page"]
+    mark = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION))) for c in keys])
+    marked = rows.withColumn("page", F.lit(page)).withColumn("mark", mark)
+    written = _swap_partitions(marked, table, "mark", True)
+    spark = rows.sparkSession
+    stored = spark.sql(f"SHOW PARTITIONS {table} PARTITION (page = {sql_text(page)})").collect()
+    stale = [parts for parts in (r[0].split("/", 1)[1] for r in stored) if parts not in written]
+    specs = [{"page": page} | {k: None if v == NULL_PARTITION else v for k, v in (x.split("=", 1) for x in parts.split("/"))} for parts in stale]
+    _drop_partitions(rows, table, specs)
+
+
 def replace_table(rows: DataFrame, table: str) -> None:
     """Replace everything the table holds."""
     with _overwrite_mode(rows.sparkSession, "static"):

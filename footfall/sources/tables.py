@@ -41,12 +41,16 @@ CONVERT_SUMMARY = _schema(
 PAGE_VIEWS = _schema(
     ("user_id", _TEXT), ("session_id", _TEXT), ("time", T.TimestampNTZType()), ("date", _DAY),
     ("device_type", _TEXT), ("region", _TEXT), ("state_group", _TEXT), ("channel", _TEXT),
-    ("landing_page", _TEXT), ("session_pv_seq", _COUNT),
+    ("landing_page", _TEXT), ("session_pv_seq", _COUNT), ("page", _TEXT),
 )
 PAGE_FUNNEL = _schema(
     ("session_id", _TEXT), ("date", _DAY), ("pv_time", T.TimestampNTZType()), ("event_type", _TEXT),
     ("event_name", _TEXT), ("event_description", _TEXT), ("device_type", _TEXT), ("region", _TEXT),
-    ("state_group", _TEXT), ("channel", _TEXT), ("landing_page", _TEXT),
+    ("state_group", _TEXT), ("channel", _TEXT), ("landing_page", _TEXT), ("page", _TEXT),
+)
+PAGE_EVENTS = _schema(
+    ("session_id", _TEXT), ("time", T.TimestampNTZType()), ("event_type", _TEXT), ("event_name", _TEXT),
+    ("event_description", _TEXT), ("page", _TEXT), ("funnel", _TEXT), ("date", _DAY),
 )
 AB_RESULTS = _schema(
     ("testname", _TEXT), ("variation", _TEXT), ("control_description", _TEXT), ("reporting_date", _DAY),
@@ -67,9 +71,10 @@ PARTITIONS = {
     "reach_overview_summary": (REACH_SUMMARY, ("grain", "date")),
     "convert_overview_events": (CONVERT_EVENTS, ("date",)),
     "convert_overview_summary": (CONVERT_SUMMARY, ("date",)),
-    "page_insights_pv": (PAGE_VIEWS, ()),
-    "page_insights_engagement": (PAGE_FUNNEL, ()),
-    "page_insights_conversion": (PAGE_FUNNEL, ()),
+    "page_insights_pv": (PAGE_VIEWS, ("page", "date")),
+    "page_insights_events": (PAGE_EVENTS, ("page", "funnel", "date")),
+    "page_insights_engagement": (PAGE_FUNNEL, ("page", "date")),
+    "page_insights_conversion": (PAGE_FUNNEL, ("page", "date")),
     "ab_variant_results": (AB_RESULTS, ("testname",)),
     "ab_variant_inference": (AB_INFERENCE, ()),
 }

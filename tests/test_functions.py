@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.functions import rules, stats
-from footfall.functions.dates import DateWindow, calendar_columns, reporting_year
+from footfall.functions.dates import DateWindow, Years, calendar_columns, reporting_year
 from footfall.functions.urls import traffic_source, url_host
 from footfall.operators.classify import with_channel, with_pages
 
@@ -185,9 +185,9 @@ def test_reporting_calendar(spark):
         "2024-01-30": ("5", "1", "2021"),
     }
     rows = spark.createDataFrame([(date.fromisoformat(d),) for d in days], "d date")
-    got = {str(r[0]): tuple(r[1:]) for r in rows.select("d", *calendar_columns(F.col("d")).values()).collect()}
+    got = {str(r[0]): tuple(r[1:]) for r in rows.select("d", *calendar_columns(F.col("d"), Years(2018, 2021)).values()).collect()}
     assert got == days
-    open_ended = rows.select(reporting_year(F.col("d"), None, None).alias("y")).collect()
+    open_ended = rows.select(reporting_year(F.col("d")).alias("y")).collect()
     assert [r.y for r in open_ended] == [2017, 2018, 2019, 2019, 2020, 2020, 2021, 2024]
 
 

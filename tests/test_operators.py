@@ -3,14 +3,17 @@
 import math
 import random
 from collections import Counter
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from statistics import variance
 
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.functions.dates import DateWindow
+from footfall.functions.dates import DateWindow, Years
 from footfall.operators import classify, experiments, inference, page_insights, reports, rollup
+from tests.conftest import DATA
+from workload import derive
 
 WINDOW = DateWindow(date(2021, 1, 1), date(2021, 1, 5))
 EVENTS = (
@@ -276,7 +279,38 @@ def test_no_report_before_the_test_starts(spark):
     assert experiments.experiment_dates(spark, TEST, date(2021, 1, 1)).count() == 0
     assert experiments.experiment_dates(spark, TEST, AS_OF).count() == 4
     long_test = experiments.Experiment("t", "c", date(2020, 1, 1), date(2021, 12, 31), ("/",))
-    assert experiments.experiment_dates(spark, long_test, date(2022, 1, 1)).count() == 128
+    assert experiments.experiment_dates(spark, long_test, date(2022, 1, 1)).count() == 731
+    limited = replace(long_test, max_days=128)
+    assert experiments.experiment_dates(spark, limited, date(2022, 1, 1)).count() == 128
+
+
+@pytest.mark.parametrize("crowded", [0, 1, 3, 1000])
+def test_session_numbers_do_not_depend_on_the_crowd_limit(spark, crowded):
+    logs = derive.Logs(spark, DATA)
+    views = page_insights.page_views(logs.partly_anonymous_views(), derive.WINDOW, derive.home_page(), keep=["event_id"])
+    plain = {r.event_id: r.session_pv_seq for r in page_insights.with_session_sequence(views, ["event_id"]).collect()}
+    units = {r.event_id: r.session_pv_seq for r in page_insights.with_session_sequence(views, ["event_id"], crowded).collect()}
+    assert plain == units and max(plain.values()) > 10
+
+
+def test_years_are_not_merged_unless_asked(spark):
+    rows = [("u", "s", d, *["x"] * 6) for d in (date(2023, 3, 15), date(2024, 3, 13))]
+    events = spark.createDataFrame(rows, "user_id string, session_id string, date date, device_type string, region string, "
+                                   "state_group string, page_name string, page_job string, channel string")
+    window = DateWindow(date(2024, 3, 13), date(2024, 3, 13))
+    weekly = [rollup.Analysis("Weekly", "Grand Total")]
+    assert {(r.week, r.reporting_wk_yr, r.pv_ct) for r in rollup.summarize(events, window, weekly).collect()} == {("11", "2023", 1), ("11", "2024", 1)}
+    clamped = rollup.summarize(events, window, weekly, years=Years(2018, 2021)).collect()
+    assert [(r.week, r.reporting_wk_yr, r.pv_ct) for r in clamped] == [("11", "2021", 2)]
+    monthly = [rollup.Analysis("Monthly", "Grand Total")]
+    assert {(r.month, r.pv_ct) for r in rollup.summarize(events, window, monthly).collect()} == {("3", 2)}
+    assert {r.month for r in rollup.summarize(events, window, monthly, month_years=True).collect()} == {"2023-03", "2024-03"}
+
+
+def test_undefined_tests_are_neither_significant_nor_not(spark):
+    rows = spark.createDataFrame([(float("nan"), 0.0), (0.01, -1.0), (0.5, 1.0), (None, 1.0)], "p_value double, diff double")
+    got = [(r.is_significant, r.color_class) for r in reports.with_significance(rows).collect()]
+    assert got == [(None, "neither"), (True, "negative"), (False, "neither"), (None, "neither")]
 
 
 RESULTS = (

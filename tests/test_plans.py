@@ -2,13 +2,16 @@
 
 import pytest
 
-import __spark_entry__ as entry_module
 from footfall.operators import page_insights
 from tests.conftest import DATA
 from workload import derive
+from workload.queries import registered
 
-QUERIES = entry_module.queries()
-WRITERS = {"window_replace", "summary_replace", "ab_results_replace"}
+QUERIES = registered()
+WRITERS = {
+    *("window_replace", "summary_replace", "ab_results_replace", "reach_job_summary", "convert_job_summary"),
+    *("page_reach_read", "page_insights_two_pages", "ab_job_inference"),
+}
 
 
 def plan_of(df):

@@ -1,5 +1,6 @@
 """Reporting tables: replaced slices, repeated runs and whole jobs."""
 
+import threading
 import uuid
 from datetime import date, timedelta
 
@@ -27,7 +28,8 @@ def database(spark):
 
 
 def rows_of(df):
-    return sorted(df.collect(), key=str)
+    # as text, in which NaN equals itself
+    return sorted(map(repr, df.collect()))
 
 
 def convert_rows(spark, days, event_count=1):
@@ -139,16 +141,65 @@ def test_convert_job(spark, database):
 
 def test_page_insights_job(spark, database):
     logs = derive.Logs(spark, SMALL)
-    jobs.run_page_insights(
-        logs.pageviews(), logs.convert_logs(), database, derive.AS_OF, derive.BEGIN_OFFSET, derive.END_OFFSET,
-        derive.home_page(), derive.engagement_labels(), derive.core_labels(), tie_break=["event_id"],
-    )
+    for page, where in (("home", derive.home_page()), ("issues", derive.issues_page()), ("home", derive.home_page())):
+        jobs.run_page_insights(
+            logs.pageviews(), page, where, [(logs.convert_logs(), derive.engagement_labels())],
+            [(logs.convert_logs(), derive.core_labels())], database, derive.AS_OF, derive.BEGIN_OFFSET,
+            derive.END_OFFSET, tie_break=["event_id"],
+        )
+    assert spark.table(f"{database}.page_insights_pv").filter("page = 'issues'").count() > 0
     first = logs.home_sessions()
     for name, expected in (
         ("page_insights_engagement", page_insights.engagement(first, logs.engagement_events())),
         ("page_insights_conversion", page_insights.conversion(first, logs.core_events())),
     ):
-        assert rows_of(spark.table(f"{database}.{name}")) == rows_of(expected)
+        stored = spark.table(f"{database}.{name}").filter("page = 'home'").select(*expected.columns)
+        assert rows_of(stored) == rows_of(expected)
+
+
+def test_conversion_filter_and_shrinking_pages(spark, database):
+    logs = derive.Logs(spark, SMALL)
+
+    def run(as_of, **options):
+        jobs.run_page_insights(
+            logs.pageviews(), "home", derive.home_page(), [(logs.convert_logs(), derive.engagement_labels())],
+            [(logs.convert_logs(), derive.core_labels())], database, as_of, -2, 0, tie_break=["event_id"], **options,
+        )
+        return {r[0] for r in spark.table(f"{database}.page_insights_pv").select("date").distinct().collect()}
+
+    assert min(run(date(2024, 1, 20))) == date(2024, 1, 18)
+    assert run(date(2024, 1, 21), conversion_filter=F.col("path") == "/plans/") == {date(2024, 1, d) for d in (19, 20, 21)}
+    kept = spark.table(f"{database}.page_insights_events").filter("funnel = 'conversion'").count()
+    assert kept == logs.convert_logs().filter(
+        "event_type in ('purchase', 'signup') and path = '/plans/' and date(time) between '2024-01-19' and '2024-01-21'"
+    ).count()
+
+
+def test_two_threads_keep_each_others_partitions(spark, database):
+    days = [date(2021, 1, d) for d in range(1, 6)]
+    kept, whole = f"{database}.convert_overview_summary", f"{database}.ab_variant_inference"
+    sinks.replace_dates(convert_rows(spark, days), kept, DateWindow(days[0], days[-1]))
+    empty = spark.createDataFrame([], tables.AB_INFERENCE)
+    failed = []
+
+    def repeat(action):
+        try:
+            for _ in range(6):
+                action()
+        except Exception as error:  # noqa: BLE001
+            failed.append(error)
+
+    one_day = convert_rows(spark, days[:1])
+    threads = [
+        threading.Thread(target=repeat, args=(lambda: sinks.replace_dates(one_day, kept, DateWindow(days[0], days[0])),)),
+        threading.Thread(target=repeat, args=(lambda: sinks.replace_table(empty, whole),)),
+    ]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failed
+    assert {r.date for r in spark.table(kept).collect()} == set(days)
 
 
 def test_ab_job(spark, database):

@@ -67,13 +67,19 @@ AS_OF = date(2024, 1, 30)
 BEGIN_OFFSET, END_OFFSET = -13, 0
 WINDOW = DateWindow.relative(AS_OF, BEGIN_OFFSET, END_OFFSET)
 TEST = experiments.Experiment("button_test", "control", date(2024, 1, 5), date(2024, 1, 20), ("/", "/plans/"))
-METRIC_EVENTS = ("DefaultEventName", "CustomEventName")
+LONG_TEST = experiments.Experiment("long_test", "control", date(1995, 1, 1), date(1996, 6, 30), ("/",))
+# Nobody ever has the last one.
+METRIC_EVENTS = ("DefaultEventName", "CustomEventName", "NeverEventName")
 
 
 def home_page() -> Column:
     return (F.col("domain") == MAIN) & (F.col("path") == "/")
 
 
+def issues_page() -> Column:
+    return (F.col("domain") == MAIN) & (F.col("path") == "/issues")
+
+
 def convert_labels() -> list:
     return [
         (F.col("event_type") == "purchase", "Donate"),
@@ -137,6 +143,23 @@ class Logs:
     def pageviews(self) -> DataFrame:
         return self.hits().filter(F.col("event_type").isin("view", "error"))
 
+    def partly_anonymous_views(self) -> DataFrame:
+        """Page views of which a third has no user id and another third no session id."""
+        return self.pageviews().withColumns(
+            {
+                "user_id": F.when(F.col("event_id") % 3 != 0, F.col("user_id")),
+                "session_id": F.when(F.col("event_id") % 3 != 1, F.col("session_id")),
+            }
+        )
+
+    def order_events(self) -> DataFrame:
+        """Classified events on the dates of ``orders``, which span several years."""
+        segments = ", ".join(f"cast(null as string) as {c}" for c in classify.SEGMENTS)
+        orders = self.spark.read.parquet(f"{self.sf_dir}/orders.parquet")
+        return orders.selectExpr(
+            "string(o_custkey) as user_id", "string(o_orderkey) as session_id", "to_date(o_orderdate) as date", *segments.split(", ")
+        )
+
     def convert_logs(self) -> DataFrame:
         return self.hits().filter(F.col("event_type").isin("click", "purchase", "signup"))
 

@@ -13,13 +13,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.functions import rules
-from footfall.functions.dates import calendar_columns, reporting_year
+from footfall.functions.dates import DateWindow, Years, calendar_columns, reporting_year
 from footfall.functions.urls import traffic_source
-from footfall.operators import classify, experiments, inference, page_insights, reports, rollup
+from footfall.operators import classify, experiments, inference, monitoring, page_insights, reports, rollup
+from footfall.plans import jobs
 from footfall.sources import sinks, tables
-from workload.derive import AS_OF, TEST, WINDOW, Logs, convert_labels, engagement_labels, home_page
-from workload.scratch import scratch_table
-
+from workload.derive import (
+    AS_OF,
+    BEGIN_OFFSET,
+    END_OFFSET,
+    LONG_TEST,
+    METRIC_EVENTS,
+    TEST,
+    WINDOW,
+    Logs,
+    convert_labels,
+    core_labels,
+    engagement_labels,
+    home_page,
+    issues_page,
+)
+from workload.scratch import scratch_reporting, scratch_table
+
+# The years that the report of old covers; other queries leave them open.
+YEARS = Years(2018, 2021)
 REPORT_DATE = TEST.last_report(AS_OF)
 REPORT_METRICS = ["DefaultEventName Rate"]
 
@@ -79,8 +96,8 @@ def calendar(logs: Logs) -> DataFrame:
     return orders.select(
         "o_orderkey",
         day.alias("date"),
-        *[c.alias(n) for n, c in calendar_columns(day).items()],
-        reporting_year(day, None, None).cast("string").alias("open_wk_yr"),
+        *[c.alias(n) for n, c in calendar_columns(day, YEARS).items()],
+        reporting_year(day).cast("string").alias("open_wk_yr"),
     )
 
 
@@ -107,11 +124,11 @@ def ads_source_join(logs: Logs) -> DataFrame:
 
 def reach_analysis(analysis: rollup.Analysis) -> Callable[[Logs], DataFrame]:
     window = WINDOW if analysis.grain == "Daily" else None
-    return lambda logs: rollup.summarize(logs.reach_events(window), WINDOW, [analysis])
+    return lambda logs: rollup.summarize(logs.reach_events(window), WINDOW, [analysis], years=YEARS)
 
 
 def reach_overview_summary(logs: Logs) -> DataFrame:
-    return rollup.reach_overview_summary(logs.reach_events(None), WINDOW)
+    return rollup.reach_overview_summary(logs.reach_events(None), WINDOW, YEARS)
 
 
 def session_pv_seq(logs: Logs) -> DataFrame:
@@ -221,9 +238,9 @@ def summary_replace(logs: Logs) -> DataFrame:
     table = scratch_table(logs.spark, "summary_replace", tables.REACH_SUMMARY, ["grain", "date"])
     history = logs.reach_events(None)
     whole_month = type(WINDOW)(WINDOW.first.replace(day=1), WINDOW.last)
-    sinks.replace_summary(rollup.reach_overview_summary(history, whole_month), table, whole_month)
+    sinks.replace_summary(rollup.reach_overview_summary(history, whole_month, YEARS), table, whole_month)
     changed = history.filter(F.col("date") != F.date_sub(F.lit(AS_OF), 2))
-    sinks.replace_summary(rollup.reach_overview_summary(changed, WINDOW), table, WINDOW)
+    sinks.replace_summary(rollup.reach_overview_summary(changed, WINDOW, YEARS), table, WINDOW)
     return tables.read_summary(logs.spark, table)
 
 
@@ -238,6 +255,76 @@ def ab_results_replace(logs: Logs) -> DataFrame:
     return logs.spark.table(table)
 
 
+def open_years(grain: str) -> Callable[[Logs], DataFrame]:
+    """Totals over the dates of the orders, with every year of them."""
+    window = DateWindow(AS_OF, AS_OF)
+    total = [rollup.Analysis(grain, "Grand Total")]
+    return lambda logs: rollup.summarize(logs.order_events(), window, total, month_years=True)
+
+
+def experiment_dates_long(logs: Logs) -> DataFrame:
+    """Every day of a test of a year and a half, with the orders of that day."""
+    orders = logs.order_events().groupBy(F.col("date").alias("reporting_date")).agg(F.count("*").alias("orders"))
+    dates = experiments.experiment_dates(logs.spark, LONG_TEST, AS_OF)
+    return dates.join(orders, "reporting_date", "left").fillna(0, ["orders"])
+
+
+def reach_anonymous(logs: Logs) -> DataFrame:
+    events = classify.classify_pageviews(logs.partly_anonymous_views(), None)
+    return rollup.reach_overview_summary(events, WINDOW, YEARS)
+
+
+def session_pv_seq_anonymous(logs: Logs) -> DataFrame:
+    """Views without a session id are one crowd; a low limit numbers its hours by seconds."""
+    views = page_insights.page_views(logs.partly_anonymous_views(), WINDOW, home_page(), keep=["event_id"])
+    return page_insights.with_session_sequence(views, ["event_id"], crowded=2)
+
+
+def reach_job_summary(logs: Logs) -> DataFrame:
+    database = scratch_reporting(logs.spark, "reach_job")
+    jobs.run_reach_overview(logs.pageviews(), database, AS_OF, BEGIN_OFFSET, END_OFFSET, years=YEARS)
+    return tables.read_summary(logs.spark, f"{database}.reach_overview_summary")
+
+
+def convert_job_summary(logs: Logs) -> DataFrame:
+    database = scratch_reporting(logs.spark, "convert_job")
+    jobs.run_convert_overview(
+        logs.conversions(), logs.ads_metadata(), database, AS_OF, BEGIN_OFFSET, END_OFFSET, years=YEARS
+    )
+    return logs.spark.table(f"{database}.convert_overview_summary")
+
+
+def _store_page(logs: Logs, database: str, page: str, page_filter) -> None:
+    clicks, rest = (logs.convert_logs().filter(c) for c in ("event_type = 'click'", "event_type <> 'click'"))
+    jobs.run_page_insights(
+        logs.pageviews(), page, page_filter, [(clicks, engagement_labels())], [(rest, core_labels()[:1]), (rest, core_labels()[1:])],
+        database, AS_OF, BEGIN_OFFSET, END_OFFSET, tie_break=["event_id"],
+    )
+
+
+def page_reach_read(logs: Logs) -> DataFrame:
+    database = scratch_reporting(logs.spark, "page_job")
+    _store_page(logs, database, "home", home_page())
+    return logs.spark.table(f"{database}.page_insights_pv")
+
+
+def page_insights_two_pages(logs: Logs) -> DataFrame:
+    """Two pages stored, the first of them once more; both funnels of both."""
+    database = scratch_reporting(logs.spark, "pages_job")
+    for page, page_filter in (("home", home_page()), ("issues", issues_page()), ("home", home_page())):
+        _store_page(logs, database, page, page_filter)
+    both = [logs.spark.table(f"{database}.page_insights_{f}") for f in ("engagement", "conversion")]
+    return both[0].unionByName(both[1])
+
+
+def ab_job_inference(logs: Logs) -> DataFrame:
+    database = scratch_reporting(logs.spark, "ab_job")
+    jobs.run_ab_test(
+        logs.pageviews(), logs.assigned_variation(), logs.metric_events(), METRIC_EVENTS, TEST, database, AS_OF
+    )
+    return logs.spark.table(f"{database}.ab_variant_inference")
+
+
 def reach_key(analysis: rollup.Analysis) -> str:
     summary = {"Specific Page Summary": "page", "Grand Total": "total"}.get(
         analysis.summary, analysis.summary.removesuffix(" Summary").lower().replace(" ", "_")
@@ -261,11 +348,11 @@ QUERIES: dict[str, Callable[[Logs], DataFrame]] = {
     "metric_events_union": Logs.metric_events,
     "ads_source_join": ads_source_join,
     "reach_overview_events": Logs.reach_events,
-    "reach_fully_segmented": lambda logs: rollup.reach_fully_segmented(logs.reach_events(), WINDOW),
+    "reach_fully_segmented": lambda logs: rollup.reach_fully_segmented(logs.reach_events(), WINDOW, YEARS),
     **{reach_key(a): reach_analysis(a) for a in rollup.ALL_ANALYSES},
     "reach_overview_summary": reach_overview_summary,
     "convert_overview_events": Logs.convert_events,
-    "convert_fully_segmented": lambda logs: rollup.convert_fully_segmented(logs.convert_events(), WINDOW),
+    "convert_fully_segmented": lambda logs: rollup.convert_fully_segmented(logs.convert_events(), WINDOW, YEARS),
     "session_pv_seq": session_pv_seq,
     "page_sessions": page_sessions,
     "page_engagement": page_engagement,
@@ -290,6 +377,20 @@ QUERIES: dict[str, Callable[[Logs], DataFrame]] = {
     "window_replace": window_replace,
     "summary_replace": summary_replace,
     "ab_results_replace": ab_results_replace,
+    "reach_weekly_total_open_years": open_years("Weekly"),
+    "reach_monthly_total_by_year": open_years("Monthly"),
+    "experiment_dates_long": experiment_dates_long,
+    "reach_overview_summary_anonymous": reach_anonymous,
+    "session_pv_seq_anonymous": session_pv_seq_anonymous,
+    "reach_job_summary": reach_job_summary,
+    "convert_job_summary": convert_job_summary,
+    "page_reach_read": page_reach_read,
+    "page_insights_two_pages": page_insights_two_pages,
+    "ab_job_inference": ab_job_inference,
+    "unmatched_share": lambda logs: monitoring.unmatched_share(logs.reach_events()),
+    "metric_name_gaps": lambda logs: monitoring.metric_name_gaps(logs.metric_events(), METRIC_EVENTS[1:]),
+    "variant_overlap": lambda logs: monitoring.variant_overlap(logs.exposed()),
+    "daily_new_users": lambda logs: monitoring.daily_new_users(logs.exposed()),
 }
 
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from footfall.sources.tables import create_table
+from footfall.sources.tables import PARTITIONS, create_reporting_tables, create_table
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -36,3 +36,14 @@ def scratch_table(spark: SparkSession, name: str, schema: T.StructType, partitio
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     create_table(spark, table, schema, partition_by)
     return table
+
+
+def scratch_reporting(spark: SparkSession, name: str) -> str:
+    """A database with the reporting tables, empty, replacing the one of an earlier call in this application."""
+    application = spark.sparkContext.applicationId
+    database = f"footfall_{name}_" + "".join(c if c.isalnum() else "_" for c in application)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{shared_folder(spark)}/{database}'")
+    for table in PARTITIONS:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+    create_reporting_tables(spark, database)
+    return database
