@@ -94,36 +94,37 @@ PAGE_RULES = (
     ("my.elizabethwarren.com", {}, "Other my.ew.com", "Miscellaneous"),
 )
 
+# Marketing channels in the order of their rules.
+CHANNEL_LABELS = (
+    "Paid Search", "Display", "Paid Direct Buy", "Paid Direct Buy", "Paid Social", "Email", "Affiliate", "Organic Search",
+    "Organic Social", "SMS", "Unknown Channel", "Direct", "Internal Transfer",
+)
+
 # --- End of fixed values ----------------------------------------------------------------------------------------
 
 # Page templates report the first two voting groups only.
 PAGE_STATE_GROUPS = STATE_GROUPS[:2]
 
-# Default channel rules, SQL conditions over the columns of ``with_channel_inputs``: lower case, empty when
-# missing. The conditions are this library's choice and meant to be replaced.
-CHANNEL_RULES = (
-    ("Paid Search", "utm_medium = 'cpc' or publisher = 'google'"),
-    ("Display", "utm_medium = 'display'"),
-    ("Paid Direct Buy", "startswith(source, 'ads-')"),
-    ("Paid Direct Buy", "utm_medium = 'direct-buy'"),
-    ("Paid Social", "publisher in ('facebook', 'instagram')"),
-    ("Email", "utm_medium = 'email' or startswith(source, 'em-')"),
-    ("Affiliate", "utm_medium = 'affiliate'"),
-    (
-        "Organic Search",
-        "startswith(referrer_host, 'google.') or contains(referrer_host, '.google.') "
-        "or startswith(referrer_host, 'bing.') or contains(referrer_host, '.bing.')",
-    ),
-    (
-        "Organic Social",
-        "utm_medium = 'social' or referrer_host in ('t.co', 'facebook.com') "
-        "or endswith(referrer_host, '.facebook.com') or startswith(source, 'soc-')",
-    ),
-    ("SMS", "utm_medium = 'sms' or startswith(source, 'sms-')"),
-    ("Unknown Channel", "source <> ''"),
-    ("Direct", "referrer = '' and utm_medium = '' and utm_source = ''"),
-    ("Internal Transfer", "referrer_host in ('secure.actblue.com', 'shop.elizabethwarren.com')"),
+# SQL conditions of the default channel rules, one for each label, over the columns of ``with_channel_inputs``: lower
+# case, empty when missing. The conditions are this library's choice and meant to be replaced.
+CHANNEL_CONDITIONS = (
+    "utm_medium = 'cpc' or publisher = 'google'",
+    "utm_medium = 'display'",
+    "startswith(source, 'ads-')",
+    "utm_medium = 'direct-buy'",
+    "publisher in ('facebook', 'instagram')",
+    "utm_medium = 'email' or startswith(source, 'em-')",
+    "utm_medium = 'affiliate'",
+    "startswith(referrer_host, 'google.') or contains(referrer_host, '.google.') "
+    "or startswith(referrer_host, 'bing.') or contains(referrer_host, '.bing.')",
+    "utm_medium = 'social' or referrer_host in ('t.co', 'facebook.com') "
+    "or endswith(referrer_host, '.facebook.com') or startswith(source, 'soc-')",
+    "utm_medium = 'sms' or startswith(source, 'sms-')",
+    "source <> ''",
+    "referrer = '' and utm_medium = '' and utm_source = ''",
+    "referrer_host in ('secure.actblue.com', 'shop.elizabethwarren.com')",
 )
+CHANNEL_RULES = tuple(zip(CHANNEL_LABELS, CHANNEL_CONDITIONS, strict=True))
 
 
 def first_match(rules: Iterable[tuple[Column, object]], otherwise: object = None) -> Column:

@@ -34,7 +34,7 @@ def _polynomial(z: str, coefficients: Sequence[float]) -> str:
 
 
 def _lower_tail(z: str) -> str:
-    """P(Z <= -z) for z >= 0."""
+    """P(Z <= -z) for z >= 0; exactly 0 beyond 37, where it is below 1e-299."""
     density = f"exp(-{z} * {z} / 2)"
     fraction = reduce(lambda below, k: f"({z} + {k} / {below})", (4, 3, 2, 1), f"({z} + 0.65D)")
     return f"""case

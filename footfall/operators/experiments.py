@@ -13,6 +13,7 @@ from footfall.functions.dates import DateWindow
 
 VARIANT_KEY = ("testname", "variation")
 USER_KEY = ("user_id", *VARIANT_KEY)
+# The columns of the results.
 RESULT_COLUMNS = (
     "testname", "variation", "control_description", "reporting_date", "metric_name", "n_tre", "n_con",
     "metric_total_tre", "metric_total_con", "metric_normalized_tre", "metric_normalized_con",

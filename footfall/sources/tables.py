@@ -28,6 +28,7 @@ _SEGMENTS = tuple(
 )
 _CALENDAR = (("week", _TEXT), ("month", _TEXT), ("reporting_wk_yr", _TEXT))
 
+# The columns of the reporting tables.
 # Counts are 64-bit throughout: monthly page views and per-session numbers outgrow narrower types.
 REACH_EVENTS = _schema(("user_id", _TEXT), ("session_id", _TEXT), ("date", _DAY), *_SEGMENTS)
 REACH_SUMMARY = _schema(
