@@ -23,6 +23,17 @@ class DateWindow:
     def days(self) -> list[date]:
         return [self.first + timedelta(days=i) for i in range((self.last - self.first).days + 1)]
 
+    def whole_weeks(self) -> "DateWindow":
+        """The Sunday-start weeks that the window touches."""
+        return DateWindow(
+            self.first - timedelta(days=self.first.isoweekday() % 7), self.last + timedelta(days=6 - self.last.isoweekday() % 7)
+        )
+
+    def whole_months(self) -> "DateWindow":
+        """The months that the window touches."""
+        after = self.last.replace(day=28) + timedelta(days=4)
+        return DateWindow(self.first.replace(day=1), after - timedelta(days=after.day))
+
     def has_date(self, col: Column) -> Column:
         return col.between(F.lit(self.first), F.lit(self.last))
 

@@ -57,6 +57,7 @@ def summarize(
     years: Years = ALL_YEARS,
     month_years: bool = False,
     partitions: int | None = None,
+    touched_only: bool = False,
 ) -> DataFrame:
     """Any set of the daily / weekly / monthly summaries from a single scan of the classified events.
 
@@ -76,18 +77,32 @@ def summarize(
     3. Partial counts per (analysis, period, segment values) are added up.
 
     ``years`` limits the reporting years of weeks. Months of different years are added up unless
-    ``month_years`` is set, which shows them as ``2024-03``.
+    ``month_years`` is set, which shows them as ``2024-03``. ``touched_only`` limits weekly and monthly
+    analyses to the weeks and months that the window touches, and the scan to their days; it needs
+    periods that belong to one stretch of days: open ``years``, and ``month_years`` for months.
     """
-    if all(a.grain == "Daily" for a in analyses):
-        events = events.filter(window.has_date(F.col("date")))
+    covered = {"Daily": window, "Weekly": None, "Monthly": None}
+    grains_wanted = {a.grain for a in analyses}
+    if touched_only:
+        if years != ALL_YEARS or ("Monthly" in grains_wanted and not month_years):
+            raise ValueError("touched periods need open years, and month_years for monthly analyses")
+        covered |= {"Weekly": window.whole_weeks(), "Monthly": window.whole_months()}
+    spans = [covered[g] for g in grains_wanted]
+    if all(spans):
+        events = events.filter(DateWindow(min(s.first for s in spans), max(s.last for s in spans)).has_date(F.col("date")))
     summaries = list(SUMMARIES)
     kept = {i: SUMMARIES[s] for i, s in enumerate(summaries) if any(a.summary == s for a in analyses)}
     segments = [c for c in SEGMENTS if any(c in columns for columns in kept.values())]
     slots = [f"slot{i}" for i in range(max(map(len, kept.values())))]
 
-    def codes(grains: Sequence[str]) -> str:
-        chosen = [GRAINS.index(a.grain) * 100 + summaries.index(a.summary) for a in analyses if a.grain in grains]
-        return f"array({', '.join(map(str, chosen))})" if chosen else "cast(array() as array<int>)"
+    def codes(grain: str) -> str:
+        """The codes of a grain's analyses, for rows of the days that it covers."""
+        none = "cast(array() as array<int>)"
+        chosen = [GRAINS.index(a.grain) * 100 + summaries.index(a.summary) for a in analyses if a.grain == grain]
+        if not chosen:
+            return none
+        listed, span = f"array({', '.join(map(str, chosen))})", covered[grain]
+        return f"if(date between date '{span.first}' and date '{span.last}', {listed}, {none})" if span else listed
 
     partitions = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     of_session, of_user = ["date", *segments, "session_id"], ["date", *segments, "user_id"]
@@ -105,7 +120,6 @@ def summarize(
         )
     )
 
-    in_window = f"date between date '{window.first}' and date '{window.last}'"
     fanned = (
         placed.select(
             "date",
@@ -118,7 +132,7 @@ def summarize(
             (reporting_year(F.col("date"), years) * 100 + sunday_week(F.col("date"))).alias("week_no"),
             (F.year("date") * 100 * int(month_years) + F.month("date")).alias("month_no"),
         )
-        .selectExpr("*", f"explode(if({in_window}, {codes(GRAINS)}, {codes(GRAINS[1:])})) as code")
+        .selectExpr("*", f"explode(concat({', '.join(map(codes, GRAINS))})) as code")
         .selectExpr(
             "code",
             "case int(code / 100) when 0 then day_no when 1 then week_no else month_no end as period",

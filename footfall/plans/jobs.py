@@ -26,10 +26,14 @@ def run_reach_overview(
     years: Years = ALL_YEARS,
     month_years: bool = False,
     partitions: int | None = None,
+    touched_only: bool = False,
     **classification,
 ) -> None:
     """Classify the window's page views, then refresh the summary from the stored events.
 
+    ``touched_only`` reads the stored days of the weeks and months that the window touches and leaves other
+    periods as they are; without it, every period is computed anew, as changed rules demand.
+
     ``partitions`` sizes the fan-out of the roll-ups: rows of the stored events, once per day and
     segments of a session or user, times 21, over the rows that a task should hold.
     """
@@ -37,8 +41,10 @@ def run_reach_overview(
     events = classify.classify_pageviews(pageviews, window, **classification)
     sinks.replace_dates(events, f"{database}.reach_overview_events", window)
     stored = pageviews.sparkSession.table(f"{database}.reach_overview_events")
-    summary = rollup.reach_overview_summary(stored, window, years, month_years=month_years, partitions=partitions)
-    sinks.replace_summary(summary, f"{database}.reach_overview_summary", window)
+    summary = rollup.reach_overview_summary(
+        stored, window, years, month_years=month_years, partitions=partitions, touched_only=touched_only
+    )
+    sinks.replace_summary(summary, f"{database}.reach_overview_summary", window, touched_only=touched_only)
 
 
 def run_convert_overview(

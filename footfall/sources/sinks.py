@@ -11,7 +11,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from datetime import date
+from datetime import date, timedelta
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -99,17 +99,33 @@ def replace_dates(rows: DataFrame, table: str, window: DateWindow, *, rebalance:
     _drop_partitions(rows, table, [{"date": day} for day in window.days() if day not in written])
 
 
-def replace_summary(rows: DataFrame, table: str, window: DateWindow) -> None:
-    """Replace the window's daily analyses and all weekly and monthly ones; older daily rows stay."""
+def _stored_partitions(rows: DataFrame, table: str, within: str = "") -> list[dict[str, str]]:
+    """Partition values of a table, as text."""
+    listed = rows.sparkSession.sql(f"SHOW PARTITIONS {table} {within}").collect()
+    return [dict(part.split("=", 1) for part in r[0].split("/")) for r in listed]
+
+
+def replace_summary(rows: DataFrame, table: str, window: DateWindow, *, touched_only: bool = False) -> None:
+    """Replace the window's daily analyses and all weekly and monthly ones; older daily rows stay.
+
+    ``touched_only`` leaves weeks and months alone that the window does not touch; ``rows`` need not hold them
+    (``summarize`` of the same name).
+    """
     first_word = F.substring_index("analysis", " ", 1)
     grain = F.when(first_word.isin("Weekly", "Monthly"), F.lower(first_word)).otherwise("daily")
-    # Summaries are small beside the events; a grain and the daily dates are both needed, so mark each
-    # row with one text that holds both.
-    marked = rows.withColumn("grain", grain).filter((F.col("grain") != "daily") | window.has_date(F.col("date")))
-    mark = F.concat_ws(" ", "grain", F.col("date").cast("string"))
-    written = _swap_partitions(marked.withColumn("mark", mark), table, "mark", True)
-    stale = [{"grain": "daily", "date": d} for d in window.days() if f"daily {d.isoformat()}" not in written]
-    stale += [{"grain": whole, "date": None} for whole in ("weekly", "monthly") if whole not in written]
+    week = F.concat(F.coalesce("reporting_wk_yr", F.lit("")), F.lit("-W"), F.lpad("week", 2, "0"))
+    period = F.when(F.col("grain") == "weekly", week).when(F.col("grain") == "monthly", F.col("month")).otherwise(F.col("date").cast("string"))
+    stored = rows.withColumn("grain", grain).withColumn("period", F.coalesce(period, F.lit("none")))
+    scope: dict[str, set[str] | None] = {"daily": {d.isoformat() for d in window.days()}, "weekly": None, "monthly": None}
+    if touched_only:
+        weeks = [(d + timedelta(days=1)).isocalendar() for d in window.days()]
+        scope |= {"weekly": {f"{w.year}-W{w.week:02}" for w in weeks}, "monthly": {f"{d:%Y-%m}" for d in window.days()}}
+    chosen = stored.filter(" or ".join(f"grain = '{g}'" + ("" if known is None else f" and period in ({', '.join(map(sql_text, sorted(known)))})") for g, known in scope.items()))
+    written = _swap_partitions(chosen.withColumn("mark", F.concat_ws(" ", "grain", "period")), table, "mark", True)
+    stale = [
+        x for x in _stored_partitions(rows, table)
+        if f"{x['grain']} {x['period']}" not in written and (scope[x["grain"]] is None or x["period"] in scope[x["grain"]])
+    ]
     _drop_partitions(rows, table, stale)
 
 
@@ -129,11 +145,9 @@ def replace_page(rows: DataFrame, table: str, page: str) -> None:
     mark = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION))) for c in keys])
     marked = rows.withColumn("page", F.lit(page)).withColumn("mark", mark)
     written = _swap_partitions(marked, table, "mark", True)
-    spark = rows.sparkSession
-    stored = spark.sql(f"SHOW PARTITIONS {table} PARTITION (page = {sql_text(page)})").collect()
-    stale = [parts for parts in (r[0].split("/", 1)[1] for r in stored) if parts not in written]
-    specs = [{"page": page} | {k: None if v == NULL_PARTITION else v for k, v in (x.split("=", 1) for x in parts.split("/"))} for parts in stale]
-    _drop_partitions(rows, table, specs)
+    stored = _stored_partitions(rows, table, f"PARTITION (page = {sql_text(page)})")
+    stale = [x for x in stored if "/".join(f"{k}={x[k]}" for k in keys) not in written]
+    _drop_partitions(rows, table, [{k: None if v == NULL_PARTITION else v for k, v in x.items()} | {"page": page} for x in stale])
 
 
 def replace_table(rows: DataFrame, table: str) -> None:

@@ -33,7 +33,7 @@ _CALENDAR = (("week", _TEXT), ("month", _TEXT), ("reporting_wk_yr", _TEXT))
 REACH_EVENTS = _schema(("user_id", _TEXT), ("session_id", _TEXT), ("date", _DAY), *_SEGMENTS)
 REACH_SUMMARY = _schema(
     ("analysis", _TEXT), ("date", _DAY), *_CALENDAR, *_SEGMENTS,
-    ("pv_ct", _COUNT), ("session_ct", _COUNT), ("user_ct", _COUNT), ("grain", _TEXT),
+    ("pv_ct", _COUNT), ("session_ct", _COUNT), ("user_ct", _COUNT), ("grain", _TEXT), ("period", _TEXT),
 )
 CONVERT_EVENTS = _schema(*((f.name, f.dataType) for f in REACH_EVENTS), ("convert_event", _TEXT))
 CONVERT_SUMMARY = _schema(
@@ -69,7 +69,7 @@ AB_INFERENCE = _schema(
 
 PARTITIONS = {
     "reach_overview_events": (REACH_EVENTS, ("date",)),
-    "reach_overview_summary": (REACH_SUMMARY, ("grain", "date")),
+    "reach_overview_summary": (REACH_SUMMARY, ("grain", "period")),
     "convert_overview_events": (CONVERT_EVENTS, ("date",)),
     "convert_overview_summary": (CONVERT_SUMMARY, ("date",)),
     "page_insights_pv": (PAGE_VIEWS, ("page", "date")),
@@ -94,5 +94,5 @@ def create_reporting_tables(spark: SparkSession, database: str) -> None:
 
 
 def read_summary(spark: SparkSession, table: str) -> DataFrame:
-    """A summary table as reports see it, without its storage-only column."""
-    return spark.table(table).drop("grain")
+    """A summary table as reports see it, without its storage-only columns."""
+    return spark.table(table).drop("grain", "period")

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.functions.dates import DateWindow
+from footfall.functions.dates import DateWindow, Years
 from footfall.operators import inference, page_insights, rollup
 from footfall.plans import jobs
 from footfall.sources import sinks, tables
@@ -92,7 +92,7 @@ def test_replace_summary(spark, database):
     def summary(rows):
         return spark.createDataFrame(
             [(a, d, None, None, None, *[None] * 6, n, n, n) for a, d, n in rows],
-            ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tables.REACH_SUMMARY if f.name != "grain"),
+            ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tables.REACH_SUMMARY if f.name not in ("grain", "period")),
         )
 
     before, inside = date(2021, 1, 1), date(2021, 1, 3)
@@ -128,6 +128,37 @@ def test_reach_job_by_windows_equals_one_pass(spark, database):
     assert rows_of(stored.select(*whole.columns)) == rows_of(whole)
 
 
+def test_refresh_of_touched_periods_equals_a_full_rebuild(spark, database):
+    logs = derive.Logs(spark, SMALL)
+    views = logs.pageviews()
+    gone = date(2024, 1, 24)
+    changed = views.filter(F.to_date("time") != F.lit(gone)).withColumn("region", F.when(F.dayofmonth("time") == 26, "Iowa").otherwise(F.col("region")))
+
+    def summary(name, *runs, **options):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{spark.conf.get('spark.checkpoint.dir')}/{name}'")
+        tables.create_reporting_tables(spark, name)
+        for log, as_of, begin, touched in runs:
+            jobs.run_reach_overview(log, name, as_of, begin, 0, month_years=True, touched_only=touched, **options)
+        return rows_of(tables.read_summary(spark, f"{name}.reach_overview_summary"))
+
+    history = (views, date(2024, 1, 22), -21, False)
+    touched = summary(database, history, (changed, date(2024, 1, 30), -8, True), (changed, date(2024, 1, 28), -5, True))
+    rebuilt = summary(f"{database}_full", history, (changed, date(2024, 1, 30), -8, False), (changed, date(2024, 1, 28), -5, False))
+    assert touched == rebuilt
+    with pytest.raises(ValueError, match="open years"):
+        summary(database, (views, date(2024, 1, 30), -1, True), years=Years(2018, 2021))
+
+
+def test_touched_periods_prune_other_days(spark, database):
+    logs = derive.Logs(spark, SMALL)
+    jobs.run_reach_overview(logs.pageviews(), database, date(2024, 1, 30), -29, 0)
+    weekly = [rollup.Analysis("Weekly", "Grand Total"), rollup.Analysis("Daily", "Grand Total")]
+    window = DateWindow(date(2024, 1, 30), date(2024, 1, 30))
+    plan = rollup.summarize(spark.table(f"{database}.reach_overview_events"), window, weekly, touched_only=True)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in text and "2024-01-28" in text and "2024-02-03" in text
+
+
 def test_convert_job(spark, database):
     logs = derive.Logs(spark, SMALL)
     for _ in range(2):

@@ -235,7 +235,7 @@ def window_replace(logs: Logs) -> DataFrame:
 
 def summary_replace(logs: Logs) -> DataFrame:
     """An old summary whose daily part ends in the window, then a refresh from changed events."""
-    table = scratch_table(logs.spark, "summary_replace", tables.REACH_SUMMARY, ["grain", "date"])
+    table = scratch_table(logs.spark, "summary_replace", tables.REACH_SUMMARY, ["grain", "period"])
     history = logs.reach_events(None)
     whole_month = type(WINDOW)(WINDOW.first.replace(day=1), WINDOW.last)
     sinks.replace_summary(rollup.reach_overview_summary(history, whole_month, YEARS), table, whole_month)
