@@ -55,7 +55,8 @@ def with_session_sequence(views: DataFrame, tie_break: Sequence[str] = (), crowd
     unit = [*hour, "second"]
     rows = views.selectExpr("*", "coalesce(concat('=', session_id), '') as session_key", "hour(time) as hour")
     hourly = rows.groupBy(*hour).agg(F.count("*").alias("views"))
-    full = hourly.filter(F.col("views") > crowded).select(*hour, F.lit(True).alias("is_full"))
+    # At most one row for ``crowded`` views, so a broadcast is safe; a shuffled join would gather the very hours that are to be split.
+    full = F.broadcast(hourly.filter(F.col("views") > crowded).select(*hour, F.lit(True).alias("is_full")))
     second = "if(is_full, minute(time) * 60 + second(time), -1) as second"
     by_second = rows.join(full, hour).selectExpr(*hour, second).groupBy(*unit).agg(F.count("*").alias("views"))
     by_unit = hourly.filter(F.col("views") <= crowded).selectExpr(*hour, "-1 as second", "views").unionByName(by_second)
