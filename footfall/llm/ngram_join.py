@@ -6,7 +6,7 @@ similarity t share a token among the first n - ceil(t n) + 1 of each, so only th
 positional and suffix filters drop most pairs, and each remaining pair is verified once on its whole sets.
 
 Equal sets are one class and are joined once. A group of near copies does not become all its pairs: each document of
-a posting list is first verified against the list's first document, and after that only pairs of documents that are not
+a posting list is first verified against the list's centre, and after that only pairs of documents that are not
 yet connected are verified. No link between different components is lost, and none inside one is needed.
 
 Defined results: a text of fewer words than a shingle is its whole word sequence as one shingle; null and blank texts
@@ -32,10 +32,12 @@ SHINGLE = 5
 PERCENT = 80
 #: Entries of the rarity table; it is broadcast as one byte an entry.
 RARITY_BITS = 20
-#: Parts of the token space whose counts the suffix filter compares.
-PARTS = 32
+#: Parts of the token space, 64 to a word; the suffix filter compares which of them two sets occupy.
+PART_WORDS = 16
+PARTS = 64 * PART_WORDS
+BITS = [f"bits{i}" for i in range(PART_WORDS)]
 #: Ids that are broadcast at most (8 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 500_000
+BROADCAST_IDS = 1_000_000
 
 
 def shingles(data: np.ndarray, starts: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +98,7 @@ def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def signed(documents: DataFrame, rare, key: str, text: str, percent: int) -> DataFrame:
-    """(doc, n, sign1, sign2, prefix, parts) of every document: set size, a 128-bit sum over the set, its prefix, its counts by part."""
+    """(doc, n, sign1, sign2, prefix, bits..) of every document: set size, a 128-bit sum over the set, its prefix, the parts it occupies."""
     source = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,13 +112,14 @@ def signed(documents: DataFrame, rare, key: str, text: str, percent: int) -> Dat
                 size = prefix_sizes(n, percent)
                 place = np.arange(len(tokens)) - np.repeat(at[:-1], n)
                 prefix = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), tokens[place < np.repeat(size, n)])
-                of = np.repeat(np.arange(len(n)), n) * PARTS + (tokens & (PARTS - 1))
-                parts = np.bincount(of, minlength=len(n) * PARTS).astype(np.int32)
-                parts = pa.ListArray.from_arrays(np.arange(0, len(parts) + 1, PARTS, dtype=np.int32), parts)
-                columns = [batch.column("doc").slice(part.start, part.stop - part.start), pa.array(n), *map(pa.array, signs), prefix, parts]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc", "n", "sign1", "sign2", "prefix", "parts"])
+                held = np.zeros(len(n) * PARTS, np.uint8)
+                held[np.repeat(np.arange(len(n)), n) * PARTS + (tokens & (PARTS - 1))] = 1
+                words = np.packbits(held, bitorder="little").view(np.int64).reshape(-1, PART_WORDS)
+                columns = [batch.column("doc").slice(part.start, part.stop - part.start), pa.array(n), *map(pa.array, signs), prefix]
+                columns += [pa.array(np.ascontiguousarray(words[:, i])) for i in range(PART_WORDS)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "n", "sign1", "sign2", "prefix", *BITS])
 
-    return source.mapInArrow(rows, "doc long, n long, sign1 long, sign2 long, prefix array<long>, parts array<int>")
+    return source.mapInArrow(rows, "doc long, n long, sign1 long, sign2 long, prefix array<long>, " + ", ".join(f"{b} long" for b in BITS))
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,14 +160,26 @@ def may_link(n: Column, at: Column, m: Column, to: Column, percent: int) -> Colu
     return length & (F.least(at, to) + 1 + F.least(n - at, m - to) - 1 >= needed(n, m, percent))
 
 
+def room_in_parts(x: str, y: str, n: Column, m: Column, percent: int) -> Column:
+    """Suffix filter: a part that one set occupies and the other doesn't is a token that they don't share."""
+    apart = F.bit_count(F.col(f"{x}0").bitwiseXOR(F.col(f"{y}0")))
+    for i in range(1, PART_WORDS):
+        apart = apart + F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}")))
+    return n + m - apart >= 2 * needed(n, m, percent)
+
+
+def _as_side(sets: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """n and bits of one side's documents, named after it; only of documents that it has."""
+    wanted = few_or_all(stored(ids.select(F.col(name).alias("doc")).distinct(), "side"))
+    held = sets.join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
+    return held.select(F.col("doc").alias(name), F.col("n").alias(f"n_{name}"), *[F.col(b).alias(f"{name}_{b}") for b in BITS])
+
+
 def suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose counts by part leave room for enough common tokens; with their needed_ intersection."""
-    sizes = sets.select("doc", "n", "parts")
-    left = sizes.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("parts").alias("parts_a"))
-    right = sizes.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("parts").alias("parts_b"))
-    common = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    joined = pairs.join(left, "a").join(right, "b").withColumn("needed_", needed(F.col("n_a"), F.col("n_b"), percent))
-    return joined.filter(common >= F.col("needed_")).select("a", "b", "needed_")
+    """Pairs (a, b) whose parts leave room for enough common tokens; with their needed_ intersection."""
+    joined = pairs.join(_as_side(sets, pairs, "a"), "a").join(_as_side(sets, pairs, "b"), "b")
+    kept = joined.filter(room_in_parts("a_bits", "b_bits", F.col("n_a"), F.col("n_b"), percent))
+    return kept.select("a", "b", needed(F.col("n_a"), F.col("n_b"), percent).alias("needed_"))
 
 
 def few_or_all(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
@@ -192,27 +207,41 @@ def verified(pairs: DataFrame, documents: DataFrame, rare, key: str, text: str)
 
 
 def first_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """One pair (a, b) a document: with the smallest first document of its lists that the filters admit."""
-    first = lists.groupBy("token").agg(F.min(F.struct("doc", "n", "at")).alias("first"))
-    met = lists.join(first, "token").filter(F.col("doc") > F.col("first.doc"))
-    close = met.filter(may_link(F.col("n"), F.col("at"), F.col("first.n"), F.col("first.at"), percent))
-    return close.groupBy(F.col("doc").alias("b")).agg(F.min("first.doc").alias("a")).select("a", "b")
-
-
-def crossing_pairs(lists: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents that share a prefix token, pass the filters and are in different components."""
+    """One pair (a, b) a document: with the best centre of its lists that the filters admit.
+
+    The centre of a list is the document that shares the most of its prefix with others: of a group of near copies,
+    the one with the fewest changes of its own, which the most others link with.
+    """
+    shared = lists.groupBy("doc").agg(F.count("*").alias("shared"))
+    ranked = lists.join(shared, "doc")
+    centre = ranked.groupBy("token").agg(F.max(F.struct("shared", (-F.col("doc")).alias("minus"), "n", "at")).alias("centre"))
+    met = ranked.join(centre, "token").filter(F.col("doc") != -F.col("centre.minus"))
+    close = met.filter(may_link(F.col("n"), F.col("at"), F.col("centre.n"), F.col("centre.at"), percent))
+    best = close.groupBy("doc").agg(F.max(F.struct("centre.shared", "centre.minus")).alias("best"))
+    other = -F.col("best.minus")
+    return best.select(F.least("doc", other).alias("a"), F.greatest("doc", other).alias("b")).distinct()
+
+
+def crossing_pairs(lists: DataFrame, linked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, needed_) of documents that share a prefix token, pass all filters and are in different components."""
     labelled = lists.join(linked.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
     several = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token")
-    open_lists = stored(labelled.join(several, "token"), "open")
-    groups = open_lists.select("token", "root").distinct()
-    # pairs of components of a list first, then their documents, so that a large component is never paired with itself
-    other = groups.select("token", F.col("root").alias("root_b"))
-    crossing = groups.join(other, "token").filter("root < root_b")
-    left = open_lists.select("token", "root", F.col("doc").alias("x"), F.col("n").alias("n_x"), F.col("at").alias("at_x"))
-    right = open_lists.select("token", F.col("root").alias("root_b"), F.col("doc").alias("y"), F.col("n").alias("n_y"), F.col("at").alias("at_y"))
-    met = left.join(crossing, ["token", "root"]).join(right, ["token", "root_b"])
-    close = met.filter(may_link(F.col("n_x"), F.col("at_x"), F.col("n_y"), F.col("at_y"), percent))
-    return close.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    open_rows = stored(labelled.join(several, "token"), "open")
+    docs = few_or_all(stored(open_rows.select("doc").distinct(), "docs"))
+    held = sets.join(docs, "doc", "left_semi").dropDuplicates(["doc"]).select("doc", *BITS)
+    open_lists = open_rows.join(held, "doc")
+
+    def side(name: str) -> DataFrame:
+        columns = {"root": f"root_{name}", "doc": name, "n": f"n_{name}", "at": f"at_{name}"} | {b: f"{name}_{b}" for b in BITS}
+        return open_lists.withColumnsRenamed(columns)
+
+    n, m = F.col("n_x"), F.col("n_y")
+    # the filters are conditions of the join, the cheapest first: a pair that fails one is never a row
+    apart = F.col("root_x") < F.col("root_y")
+    met = side("x").join(side("y"), "token").filter(
+        apart & may_link(n, F.col("at_x"), m, F.col("at_y"), percent) & room_in_parts("x_bits", "y_bits", n, m, percent)
+    )
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), needed(n, m, percent).alias("needed_")).distinct()
 
 
 def near_duplicate_groups(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -224,12 +253,13 @@ def near_duplicate_groups(documents: DataFrame, key: str = "doc_id", text: str =
     classes = every.filter("n > 0 and doc is not null").groupBy(*same).agg(F.min("doc").alias("class_id"), F.count("*").alias("rows"))
     copies = classes.filter("rows > 1").select(*same, "class_id")
     # one row a class: those of classes of one document, and the first of the others
-    spare = every.filter("n > 0 and doc is not null").select("doc", *same).join(copies, list(same)).filter("doc > class_id").select("doc")
-    reps = every.filter("n > 0 and doc is not null").join(spare.distinct(), "doc", "left_anti").dropDuplicates(["doc", *same]) if copies.count() else every.filter("n > 0 and doc is not null")
+    sets = every.filter("n > 0 and doc is not null")
+    spare = stored(sets.select("doc", *same).join(copies, list(same)).filter("doc > class_id").select("doc").distinct(), "spare")
+    reps = sets.join(few_or_all(spare), "doc", "left_anti")
     lists = stored(postings(reps), "postings")
-    links = stored(verified(stored(suffix_filter(first_pairs(lists, percent), every, percent).distinct(), "pairs"), documents, rare, key, text), "links")
+    links = stored(verified(stored(suffix_filter(stored(first_pairs(lists, percent), "first"), sets, percent), "pairs"), documents, rare, key, text), "links")
     linked = components(links.distinct())
-    crossing = stored(suffix_filter(crossing_pairs(lists, linked, percent), every, percent).distinct(), "pairs")
+    crossing = stored(crossing_pairs(lists, linked, sets, percent), "pairs")
     if crossing.take(1):
         links = links.unionByName(stored(verified(crossing, documents, rare, key, text), "links"))
         linked = components(links.distinct())
