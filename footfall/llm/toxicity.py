@@ -102,12 +102,12 @@ def continuations(corpus: np.ndarray) -> np.ndarray:
 
 def log_likelihoods(counts: np.ndarray, corpus: np.ndarray, shared: np.ndarray) -> np.ndarray:
     """The log probability of each cell; counts: of one class; corpus: of all documents."""
-    total = counts.sum()
-    expected = corpus * (EXPECTED * total / corpus.sum())
+    total = counts.sum(dtype=np.float64)
+    expected = corpus * np.float32(EXPECTED * total / corpus.sum(dtype=np.float64))
     in_row, expected_in_row = (x.reshape(-1, CONTEXTS).sum(1) for x in (counts, expected))
     of_context = np.maximum(counts.reshape(-1, CONTEXTS).sum(0), 1)
     kept = np.maximum(in_row - DISCOUNT - expected_in_row, 0)
-    row = kept / total + (1 - kept.sum() / total) * shared
+    row = (kept / total + (1 - kept.sum(dtype=np.float64) / total) * shared).astype(np.float32)
     held = np.maximum(counts - DISCOUNT - expected, 0).reshape(-1, CONTEXTS)
     return np.log(held / of_context + (1 - held.sum(0) / of_context) * row[:, None]).ravel()
 
@@ -148,7 +148,7 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     marked = source.join(F.broadcast(roles), "key_", "left").select(F.coalesce("role_", F.lit(-1)).alias("role"), "text")
     parts = marked.mapInArrow(_count, COUNTS)
     found = merged_counts(parts, max(1, source.rdd.getNumPartitions())).collect()
-    corpus, counts = np.zeros(CELLS), [np.zeros(CELLS) for _ in range(4)]
+    corpus, counts = np.zeros(CELLS, np.float32), [np.zeros(CELLS, np.float32) for _ in range(4)]
     size = CELLS // COUNT_BLOCKS
     for r in found:
         if r["kind"] == "sum":
@@ -156,7 +156,8 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         else:
             at, n = read_sparse(r["data"])
             counts[int(r["kind"][3:])][at.astype(np.int64) + r["block"] * size] = n
-    totals = [counts[0].sum() + counts[2].sum(), counts[1].sum() + counts[3].sum()]
+    del found
+    totals = [float(counts[c].sum() + counts[c + 2].sum()) for c in (0, 1)]
     if not all(totals):
         return Model(None, constant=0.5 if not any(totals) else float(totals[1] > 0))
     shared = continuations(corpus)
