@@ -2,7 +2,7 @@
 
 Every document has a place u in its source's keyed random permutation, and the leading bits of u are its block. A
 source's target is met by whole passes over its permutation and one part pass, up to a threshold on u that a radix
-search finds in a few small aggregations; the words still missing are topped up with the documents nearest to them in size.
+search finds in a few small aggregations; the words still missing are topped up with the largest documents that fit.
 The drawn blocks are the quotas that the tree splits: at each node the left half of the shards gets a
 multivariate-hypergeometric share of the node's blocks, so that quotas add up exactly. Each shard then takes its own
 range of every source's permuted blocks and shuffles its documents locally.
@@ -145,8 +145,11 @@ def plan(documents: DataFrame, key: str = "doc_id", text: str = "text", source:
         fits = sized.join(F.broadcast(gaps), sized.source.eqNullSafe(gaps.source_)).filter(
             "u_ >= from_u_ and size_ > 0 and size_ < 2 * missing_ and not array_contains(used_, u_)"
         )
-        best = fits.groupBy("source_").agg(F.min(F.struct(F.abs(F.col("missing_") - F.col("size_")).alias("off"), "size_", "u_")).alias("one")).collect()
-        same = {r.source_: r.one for r in best}
+        # the largest that fits; when none does, the smallest whose excess is less than what is missing
+        one = F.struct("size_", "u_")
+        within = F.col("size_") <= F.col("missing_")
+        best = fits.groupBy("source_").agg(F.max(F.when(within, one)).alias("fit"), F.min(F.when(~within, one)).alias("over")).collect()
+        same = {r.source_: r.fit or r.over for r in best}
         for s, one in same.items():
             extra[s].append(one.u_)
             state[s] = (state[s][0], state[s][1] - one.size_)
