@@ -1,15 +1,18 @@
 """Toxicity: class-conditional Kneser-Ney models of toxic and ordinary text.
 
-An expression is a word with its left neighbour; a document has each word once. Words are hashed to rows and their
-left neighbours to contexts of a row, so an expression is a cell of a fixed table. Each class has an interpolated
-Kneser-Ney model: discounted cell counts, backing off to discounted row counts, backing off to continuation counts
-that both classes share. The discount is a constant plus a multiple of the count that the whole corpus leads one to
-expect, so a class departs from the shared backoff only for expressions that it clearly prefers: rare ones, and ones
-that merely belong to another language or subject, look alike to both. Corpus and continuation counts come from every document.
+An n-gram is a word or a word with its whole left neighbour. Each class has an interpolated Kneser-Ney bigram model of
+all occurrences in its labelled texts: discounted bigram counts, backing off to discounted word counts, backing off to
+the continuation counts (distinct left neighbours in all documents) that both classes share. Discounts are absolute,
+below 1, and come from the counts of counts of each class.
 
-A document's score is a calibrated logistic of the difference of its two log-likelihoods over the square root of its
-length; the calibration is fitted on labelled rows scored by models of the other half of the labelled rows. Class counts come
-from at most LEARNT_ROWS labelled rows of each class (of the smallest hashed ids).
+The evidence of an n-gram is the log ratio of the two models, weighed by how sure its preference is: a logistic of the
+likelihood ratio statistic of its labelled documents by class, less what the spread of languages and subjects explains.
+A bigram that is not sure falls back to its word, and a word that is not sure to none. A preference of any size counts
+once enough documents show it, whatever the share of toxic text. N-gram counts and evidence are Spark tables that grow
+with the input; documents are joined to the evidence. Only totals and a bit map of the evidence's keys reach the driver.
+
+A document's score is a calibrated logistic of the sum of its evidence over the square root of its length; the
+calibration is fitted on labelled rows scored by models of the other half of the labelled rows.
 
 Defined results: null, empty and blank texts have a difference of 0; repeated rows are scored alike; without rows of
 one class the score is 1 or 0 for all, without any 0.5; columns other than key and text never reach a score.
@@ -19,169 +22,288 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.ngram_join import few_or_all
 from footfall.llm.quality_classifier import logistic
-from footfall.llm.shared import (
-    COUNT_BLOCKS,
-    COUNTS,
-    UNBASE,
-    count_batch,
-    count_rows,
-    counted,
-    dense_rows,
-    merged_counts,
-    mixed,
-    read_sparse,
-    text_slices,
-    word_hashes,
-)
-
-ROW_BITS, CONTEXT_BITS = 20, 2
-CELLS = 1 << ROW_BITS + CONTEXT_BITS
-CONTEXTS = 1 << CONTEXT_BITS
-LEARNT_ROWS = 12_000
-#: Discount of a count, and of what the corpus leads one to expect of it.
-DISCOUNT, EXPECTED = 2.5, 4.0
-#: Tokens that a task gathers before it adds them to its table.
+from footfall.llm.shared import mixed, stored, text_slices, word_hashes
+
+#: Tokens that a task gathers before it adds up equal n-grams.
 GATHERED = 1 << 22
+#: The statistic at which evidence counts half; the spread of log frequencies between languages and subjects.
+SURE, SPREAD = 10.0, 0.3
+#: Evidence of a smaller weight is taken as none.
+LEAST_WEIGHT = 0.01
+#: The left neighbour of a text's first word; that of rows that count a word alone.
+START, ALONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0)
+#: Bits of the key map for each key of the evidence.
+MAP_BITS = 16
+#: Roles (label + 2 * half) of the ordinary and the toxic texts that a model learns from: all, those of each half.
+MODELS = (((0, 2), (1, 3)), ((0,), (1,)), ((2,), (3,)))
 
 _MARK = ~((_c := np.arange(256)) >= 128) & ~np.isin(_c, list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+PACKS = ("n01", "n23", "d01", "d23")
+COUNTED = "prev long, word long, " + ", ".join(f"{p} long" for p in PACKS)
+
+
+def tokens(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of each text and of their left neighbours, and their texts. Case and marks around words don't count."""
+    words, docs = word_hashes(np.where(_MARK[data], np.uint8(32), data), starts)
+    before = np.concatenate([words[:1], words[:-1]])
+    before[np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])[: len(docs)])] = START
+    return words, before, docs
+
+
+def gram_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each n-gram."""
+    return mixed(words + mixed(before + np.uint64(1)))
+
+
+def _added(before: np.ndarray, words: np.ndarray, packs: np.ndarray) -> pa.RecordBatch:
+    """One row for equal n-grams; packs: a column each."""
+    order = np.argsort(gram_keys(before, words), kind="stable")
+    before, words, packs = before[order], words[order], packs[order]
+    first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (before[1:] != before[:-1])])[: len(words)])
+    sums = np.add.reduceat(packs, first, axis=0) if len(first) else packs
+    columns = [before[first].view(np.int64), words[first].view(np.int64), *(np.ascontiguousarray(sums[:, i]) for i in range(len(PACKS)))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["prev", "word", *PACKS])
 
 
-def cells(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cells of the distinct words of each text, and their texts. Case and marks around words don't count."""
-    hashes, docs = word_hashes(np.where(_MARK[data], np.uint8(32), data), starts)
-    if not len(hashes):
-        return np.zeros(0, np.int64), docs
-    before = np.concatenate([hashes[:1], hashes[:-1]])
-    before[np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))] = 0
-    first = np.unique(mixed(hashes + docs.astype(np.uint64) * UNBASE), return_index=True)[1]
-    hashes, before, docs = hashes[first], before[first], docs[first]
-    context = mixed(before + np.uint64(1)) >> np.uint64(64 - CONTEXT_BITS)
-    return (hashes >> np.uint64(64 - ROW_BITS) << np.uint64(CONTEXT_BITS) | context).astype(np.int64), docs
+def _packs(role: np.ndarray, occurrences: np.ndarray) -> np.ndarray:
+    """Occurrences and documents by role, 32 bits each."""
+    out = np.zeros((len(role), len(PACKS)), np.int64)
+    for r in range(4):
+        of = role == r
+        out[of, r // 2] = occurrences[of] << 32 * (r % 2)
+        out[of, 2 + r // 2] = 1 << 32 * (r % 2)
+    return out
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (role, text): counts of the cells of all texts, and of those of each role of a labelled text."""
-    total, waiting, size, of_role = np.zeros(CELLS, np.int64), [], 0, {}
+    """Rows (role, text): all bigrams, and the words of labelled texts, with their counts by role."""
+    waiting: list[tuple] = []
+    size = 0
     for batch in batches:
         roles = batch.column("role").to_numpy(zero_copy_only=False)
         for part, data, starts in text_slices(batch, "text"):
-            at, docs = cells(data, starts)
-            waiting.append(at)
-            size += len(at)
+            words, before, docs = tokens(data, starts)
+            known = roles[part][docs] >= 0
+            words, docs = np.concatenate([words, words[known]]), np.concatenate([docs, docs[known]])
+            before = np.concatenate([before, np.full(int(known.sum()), ALONE)])
+            if not len(words):
+                continue
+            order = np.lexsort((gram_keys(before, words), docs))
+            words, before, docs = words[order], before[order], docs[order]
+            new = np.concatenate([[True], (words[1:] != words[:-1]) | (before[1:] != before[:-1]) | (docs[1:] != docs[:-1])])
+            first = np.flatnonzero(new)
+            times = np.diff(np.append(first, len(words)))
+            waiting.append((before[first], words[first], _packs(roles[part][docs[first]], times)))
+            size += len(first)
             if size > GATHERED:
-                total += np.bincount(np.concatenate(waiting), minlength=CELLS)
+                yield _added(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
                 waiting, size = [], 0
-            role = roles[part][docs]
-            for r in np.unique(role[role >= 0]):
-                of_role.setdefault(int(r), []).append(at[role == r])
     if waiting:
-        total += np.bincount(np.concatenate(waiting), minlength=CELLS)
-    number = TaskContext.get().partitionId()
-    rows = list(dense_rows("sum", number, total))
-    for r, parts in of_role.items():
-        together = np.concatenate(parts)
-        rows += count_rows(f"few{r}", number, *counted(together, np.ones(len(together), np.int64)), CELLS // COUNT_BLOCKS)
-    if rows:
-        yield count_batch(rows)
-
-
-def continuations(corpus: np.ndarray) -> np.ndarray:
-    """The shared backoff: each row's share of distinct left neighbours, estimated from the contexts it was seen in."""
-    used = np.minimum((corpus.reshape(-1, CONTEXTS) > 0).sum(1), CONTEXTS - 0.5)
-    found = -CONTEXTS * np.log1p(-used / CONTEXTS) + 0.5
-    return found / found.sum()
-
-
-def log_likelihoods(counts: np.ndarray, corpus: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """The log probability of each cell; counts: of one class; corpus: of all documents."""
-    total = counts.sum(dtype=np.float64)
-    expected = corpus * np.float32(EXPECTED * total / corpus.sum(dtype=np.float64))
-    in_row, expected_in_row = (x.reshape(-1, CONTEXTS).sum(1) for x in (counts, expected))
-    of_context = np.maximum(counts.reshape(-1, CONTEXTS).sum(0), 1)
-    kept = np.maximum(in_row - DISCOUNT - expected_in_row, 0)
-    row = (kept / total + (1 - kept.sum(dtype=np.float64) / total) * shared).astype(np.float32)
-    held = np.maximum(counts - DISCOUNT - expected, 0).reshape(-1, CONTEXTS)
-    return np.log(held / of_context + (1 - held.sum(0) / of_context) * row[:, None]).ravel()
+        yield _added(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+
+
+def _continued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counted n-grams, each once -> those of labelled texts with cont 0, and rows (ALONE, word) with the number of left neighbours as cont."""
+    waiting: list[np.ndarray] = []
+    size = 0
+
+    def neighbours() -> pa.RecordBatch:
+        words, cont = np.unique(np.concatenate(waiting), return_counts=True)
+        none = pa.array(np.zeros(len(words), np.int64))
+        return pa.RecordBatch.from_arrays([none, pa.array(words), none, none, none, none, pa.array(cont.astype(np.int64))], names=["prev", "word", *PACKS, "cont"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        pairs = batch.column("prev").to_numpy() != 0
+        waiting.append(batch.column("word").to_numpy()[pairs])
+        size += batch.num_rows
+        known = batch.filter(pa.array((batch.column("d01").to_numpy() | batch.column("d23").to_numpy()) != 0))
+        yield pa.RecordBatch.from_arrays([*known.columns, pa.array(np.zeros(known.num_rows, np.int64))], names=["prev", "word", *PACKS, "cont"])
+        if size > GATHERED:
+            yield neighbours()
+            waiting, size = [], 0
+    if waiting:
+        yield neighbours()
+
+
+def counts(marked: DataFrame) -> DataFrame:
+    """(prev, word, n0 .. n3, d0 .. d3, cont) of the n-grams of labelled texts: occurrences and documents by role; rows with cont add up by word."""
+    added = marked.mapInArrow(_count, COUNTED).groupBy("prev", "word").agg(*[F.sum(p).alias(p) for p in PACKS])
+    split = stored(added.mapInArrow(_continued, f"{COUNTED}, cont long"), "counts")
+    unpacked = [F.expr(f"{p}{k} & 4294967295L" if not r % 2 else f"shiftrightunsigned({p}{k}, 32)").alias(f"{p}{r}") for p in "nd" for r, k in enumerate(("01", "01", "23", "23"))]
+    return split.select("prev", "word", *unpacked, "cont")
+
+
+def _of(kind: str, roles: tuple[int, ...]) -> Column:
+    return reduce(lambda x, y: x + y, [F.col(f"{kind}{r}") for r in roles])
+
+
+def _weight(d: tuple[Column, Column], texts: tuple[int, int]) -> Column:
+    """How sure it is that the classes differ, of the documents with the n-gram and all labelled documents by class."""
+    both, every = d[0] + d[1], sum(texts)
+    terms = [F.when(x > 0, x * F.log(x * every / (both * n))).otherwise(0.0) for x, n in zip(d, texts, strict=True)]
+    statistic = 2 * (terms[0] + terms[1]) / (1 + SPREAD**2 / (1 / (d[0] + 0.5) + 1 / (d[1] + 0.5)))
+    return 1 / (1 + F.exp(SURE - statistic))
+
+
+def discount(once: int, twice: int) -> float:
+    """The absolute discount, from the numbers of n-grams seen once and twice."""
+    return min(0.95, once / (once + 2 * twice)) if once else 0.5
+
+
+def evidence(counted: DataFrame, texts: list[int]) -> DataFrame:
+    """(gram, e0, e1, e2): what an n-gram adds to the log ratio under each of MODELS; that of a bigram adds to its word's.
+
+    texts: number of labelled texts by role.
+    """
+    alone = F.col("prev") == 0
+    sides = [(m, c, roles) for m, of in enumerate(MODELS) for c, roles in enumerate(of)]
+    sums = [F.sum(F.when(alone, F.col("cont"))).alias("cont")]
+    for m, c, roles in sides:
+        n = _of("n", roles)
+        for level, here in (("w", alone), ("b", ~alone)):
+            sums += [F.sum(F.when(here, n)).alias(f"n{level}{m}{c}")] + [
+                F.count_if(here & of).alias(f"{kind}{level}{m}{c}") for kind, of in (("types", n > 0), ("once", n == 1), ("twice", n == 2))
+            ]
+    total = counted.agg(*sums).first().asDict()
+    size = {k: v or 0 for k, v in total.items()}
+    of_class = [[sum(texts[r] for r in roles) for roles in of] for of in MODELS]
+    usable = [m for m in range(len(MODELS)) if size[f"nw{m}0"] and size[f"nw{m}1"]]
+    weights = [_weight(tuple(_of("d", roles) for roles in MODELS[m]), tuple(of_class[m])) if m in usable else F.lit(0.0) for m in range(len(MODELS))]
+    weighed = counted.filter(F.greatest("d0", "d1", "d2", "d3") > 0).withColumns({f"w{m}": w for m, w in enumerate(weights)})
+    sure = stored(weighed.filter(F.greatest("w0", "w1", "w2") >= LEAST_WEIGHT), "sure")
+    pairs = sure.filter(~alone)
+
+    # of the words and of the left neighbours of sure n-grams
+    needed = few_or_all(stored(sure.select("word").distinct(), "words"))
+    add = [F.sum(f"{k}{r}").alias(f"{k}{r}") for k in "nd" for r in range(4)]
+    words = counted.filter(alone).join(needed, "word", "left_semi").groupBy("word").agg(*add, F.sum("cont").alias("cont"))
+    words = words.withColumns({f"w{m}": w for m, w in enumerate(weights)})
+    contexts = few_or_all(stored(pairs.select("prev").distinct(), "contexts"))
+    seen = []
+    for m, c, roles in sides:
+        n = _of("n", roles)
+        seen += [F.sum(n).alias(f"all{m}{c}"), F.count_if(n > 0).alias(f"types{m}{c}")]
+    left = counted.filter(~alone).join(contexts, "prev", "left_semi").groupBy("prev").agg(*seen)
+
+    def share(m: int, c: int, level: str) -> float:
+        return discount(size[f"once{level}{m}{c}"], size[f"twice{level}{m}{c}"])
+
+    known = {}
+    for m, c, roles in sides:
+        if m in usable:
+            d, n = share(m, c, "w"), float(size[f"nw{m}{c}"])
+            known[f"p{m}{c}"] = F.greatest(_of("n", roles) - d, F.lit(0.0)) / n + d * size[f"typesw{m}{c}"] / n * F.col("cont") / size["cont"]
+    of_word = words.withColumns(known)
+    own = {f"e{m}": F.when(F.col(f"w{m}") >= LEAST_WEIGHT, F.col(f"w{m}") * F.log(F.col(f"p{m}1") / F.col(f"p{m}0"))).otherwise(0.0) if m in usable else F.lit(0.0) for m in range(len(MODELS))}
+    of_word = stored(of_word.withColumns(own).select("word", *own, *known), "of_word")
+
+    joined = pairs.join(of_word.withColumnsRenamed({f"e{m}": f"word{m}" for m in range(len(MODELS))}), "word").join(left, "prev")
+    gain = {}
+    for m in range(len(MODELS)):
+        if m not in usable:
+            gain[f"e{m}"] = F.lit(0.0)
+            continue
+        p = []
+        for c, roles in enumerate(MODELS[m]):
+            d, seen_here = share(m, c, "b"), F.col(f"all{m}{c}")
+            p.append(F.when(seen_here > 0, (F.greatest(_of("n", roles) - d, F.lit(0.0)) + d * F.col(f"types{m}{c}") * F.col(f"p{m}{c}")) / seen_here).otherwise(F.col(f"p{m}{c}")))
+        gain[f"e{m}"] = F.when(F.col(f"w{m}") >= LEAST_WEIGHT, F.col(f"w{m}") * (F.log(p[1] / p[0]) - F.col(f"word{m}"))).otherwise(0.0)
+    both = joined.withColumns(gain).select("prev", "word", *gain).unionByName(of_word.select(F.lit(0).cast("long").alias("prev"), "word", *own))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prev, word = (batch.column(x).to_numpy().view(np.uint64) for x in ("prev", "word"))
+            yield pa.RecordBatch.from_arrays([pa.array(gram_keys(prev, word).view(np.int64)), *batch.columns[2:]], names=["gram", "e0", "e1", "e2"])
+
+    found = both.filter("e0 != 0 or e1 != 0 or e2 != 0").mapInArrow(keyed, "gram long, e0 double, e1 double, e2 double")
+    return stored(found, "evidence")
 
 
 @dataclass
 class Model:
-    """Log ratio of toxic to ordinary by cell; the logistic of its length-normalised sum."""
+    """Evidence of n-grams, a bit map of its keys; the logistic of its length-normalised sum."""
 
-    ratio: np.ndarray | None
+    evidence: DataFrame | None
+    key_map: np.ndarray | None = None
     slope: float = 1.0
     shift: float = 0.0
     constant: float | None = None
 
 
-def differences(ratio: np.ndarray, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Length-normalised log-likelihood difference of each text."""
-    at, docs = cells(data, starts)
-    n = len(starts) - 1
-    words = np.bincount(docs, minlength=n)
-    return np.bincount(docs, ratio[at].astype(float), minlength=n) / np.sqrt(np.maximum(words, 1))
+def key_map(grams: np.ndarray) -> np.ndarray:
+    """A bit map that has each key's place; its size grows with the number of keys. Used to join few n-grams only."""
+    bits = max(10, int(np.ceil(np.log2(max(1, len(grams)) * MAP_BITS))))
+    out = np.zeros(1 << bits, bool)
+    out[(grams.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little")
+
 
+def _held(key_bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    at = grams >> np.uint64(64 - (len(key_bits) * 8).bit_length() + 1)
+    return (key_bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
-def _ratio(toxic: np.ndarray, ordinary: np.ndarray, corpus: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    if not (toxic.any() and ordinary.any()):
-        return np.zeros(CELLS, np.float16)
-    return (log_likelihoods(toxic, corpus, shared) - log_likelihoods(ordinary, corpus, shared)).astype(np.float16)
 
+def differences(source: DataFrame, model: Model, carried: str) -> DataFrame:
+    """(carried, z0, z1, z2) of each row of source (carried, text): length-normalised sums of its evidence."""
+    sent = source.sparkSession.sparkContext.broadcast(model.key_map)
+    kind = source.schema[carried].dataType.simpleString()
 
-def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label", rows: int = LEARNT_ROWS) -> Model:
-    """labels: (key, label) with 0 or 1. Only tables of a fixed size (CELLS) reach the driver."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, starts in text_slices(batch, "text"):
+                words, before, docs = tokens(data, starts)
+                length = np.bincount(docs, minlength=len(starts) - 1)
+                grams = np.concatenate([gram_keys(np.full(len(words), ALONE), words), gram_keys(before, words)])
+                docs = np.concatenate([docs, docs])
+                may = np.flatnonzero(_held(sent.value, grams))
+                may = may[np.argsort(docs[may], kind="stable")]
+                ends = np.searchsorted(docs[may], np.arange(len(starts)))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(grams[may].view(np.int64)))
+                rows_here = batch.column(carried).slice(part.start, part.stop - part.start)
+                yield pa.RecordBatch.from_arrays([rows_here, pa.array(length.astype(np.int64)), lists], names=[carried, "length", "grams"])
+
+    listed = source.select(carried, "text").mapInArrow(rows, f"{carried} {kind}, length long, grams array<long>").withColumn("row", F.monotonically_increasing_id())
+    single = listed.select("row", carried, "length", F.explode_outer("grams").alias("gram"))
+    summed = single.join(model.evidence, "gram", "left").groupBy("row").agg(
+        F.first(carried).alias(carried), F.first("length").alias("length"), *[F.sum(f"e{m}").alias(f"s{m}") for m in range(len(MODELS))]
+    )
+    # sums of rows in another order differ in their last digits
+    return summed.select(carried, *[F.round(F.coalesce(F.col(f"s{m}"), F.lit(0.0)) / F.sqrt(F.greatest("length", F.lit(1))), 9).alias(f"z{m}") for m in range(len(MODELS))])
+
+
+def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label") -> Model:
+    """labels: (key, label) with 0 or 1; every labelled row is learnt from."""
     known = labels.select(F.col(key).alias("key_"), F.col(label).cast("int").alias("label_")).filter("key_ is not null and label_ in (0, 1)").dropDuplicates(["key_"])
-    order = ("key_hash", "key_")
-    hashed = known.withColumn("key_hash", F.xxhash64("key_"))
-    picked = hashed.filter("label_ = 0").orderBy(*order).limit(rows).unionByName(hashed.filter("label_ = 1").orderBy(*order).limit(rows))
-    # at most 2 * rows ids, with role = label + 2 * half
-    roles = picked.selectExpr("key_", "label_ + 2 * cast(key_hash & 1 as int) as role_")
+    roles = few_or_all(stored(known.selectExpr("key_", "label_ + 2 * cast(xxhash64(key_) & 1 as int) as role_"), "roles"))
     source = documents.select(F.col(key).alias("key_"), F.col(text).cast("string").alias("text"))
-    marked = source.join(F.broadcast(roles), "key_", "left").select(F.coalesce("role_", F.lit(-1)).alias("role"), "text")
-    parts = marked.mapInArrow(_count, COUNTS)
-    found = merged_counts(parts, max(1, source.rdd.getNumPartitions())).collect()
-    corpus, counts = np.zeros(CELLS, np.float32), [np.zeros(CELLS, np.float32) for _ in range(4)]
-    size = CELLS // COUNT_BLOCKS
-    for r in found:
-        if r["kind"] == "sum":
-            corpus[r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(r["data"], np.uint32)
-        else:
-            at, n = read_sparse(r["data"])
-            counts[int(r["kind"][3:])][at.astype(np.int64) + r["block"] * size] = n
-    del found
-    totals = [float(counts[c].sum() + counts[c + 2].sum()) for c in (0, 1)]
+    marked = source.join(roles, "key_", "left").select(F.coalesce("role_", F.lit(-1)).alias("role"), "text")
+    number = {r["role"]: r["count"] for r in source.select("key_").join(roles, "key_").groupBy(F.col("role_").alias("role")).count().collect()}
+    texts = [number.get(r, 0) for r in range(4)]
+    counted = counts(marked)
+    found = counted.filter("prev = 0").agg(F.sum(F.col("n0") + F.col("n2")).alias("c0"), F.sum(F.col("n1") + F.col("n3")).alias("c1")).first()
+    totals = [found["c0"] or 0, found["c1"] or 0]
     if not all(totals):
         return Model(None, constant=0.5 if not any(totals) else float(totals[1] > 0))
-    shared = continuations(corpus)
-    # a half is scored by the model of the other half
-    halves = [_ratio(counts[3], counts[2], corpus, shared), _ratio(counts[1], counts[0], corpus, shared)]
-    model = Model(_ratio(counts[1] + counts[3], counts[0] + counts[2], corpus, shared))
-    sent = documents.sparkSession.sparkContext.broadcast(halves)
+    model = Model(evidence(counted, texts))
+    model.key_map = key_map(model.evidence.select("gram").toArrow().column("gram").to_numpy())
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            role = batch.column("role").to_numpy(zero_copy_only=False)
-            for part, data, starts in text_slices(batch, "text"):
-                own = role[part]
-                z = np.where(own < 2, differences(sent.value[0], data, starts), differences(sent.value[1], data, starts))
-                yield pa.RecordBatch.from_arrays([pa.array((own % 2).astype(np.int32)), pa.array(np.clip(np.round(z * 20), -400, 400).astype(np.int32))], names=["label", "cell"])
-
-    found_cells = marked.filter("role >= 0").mapInArrow(learn, "label int, cell int").groupBy("label", "cell").count().collect()
+    # a half is scored by the model of the other half
+    scored = differences(marked.filter("role >= 0"), model, "role").select(F.col("role"), F.when(F.col("role") < 2, F.col("z2")).otherwise(F.col("z1")).alias("z"))
+    cell = F.round(F.greatest(F.lit(-20.0), F.least(F.lit(20.0), "z")) * 20).cast("int")
+    found_cells = scored.groupBy((F.col("role") % 2).alias("label"), cell.alias("cell")).count().collect()
     z, y, w = (np.array(v, float) for v in zip(*[(r["cell"] / 20, r["label"], r["count"]) for r in found_cells], strict=True))
-    # rows of a class count by its share among all labelled rows
-    share = {r["label_"]: r["n"] for r in known.groupBy("label_").agg(F.count("*").alias("n")).collect()}
-    for c in (0, 1):
-        w[y == c] *= share[c] / max(w[y == c].sum(), 1)
     model.slope, model.shift = logistic(z, y, w)
-    sent.unpersist()
     return model
 
 
@@ -190,17 +312,8 @@ def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "
     source = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     if model.constant is not None:
         return source.select("key", F.lit(model.constant).alias("score"))
-    sent, slope, shift = documents.sparkSession.sparkContext.broadcast(model.ratio), model.slope, model.shift
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("key")
-            for part, data, starts in text_slices(batch, "text"):
-                z = differences(sent.value, data, starts)
-                p = 1 / (1 + np.exp(-np.clip(slope * z + shift, -40, 40)))
-                yield pa.RecordBatch.from_arrays([keys.slice(part.start, part.stop - part.start), pa.array(p)], names=["key", "score"])
-
-    return source.mapInArrow(rows, f"key {source.schema['key'].dataType.simpleString()}, score double")
+    z = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), model.slope * F.col("z0") + model.shift))
+    return differences(source, model, "key").select("key", (1 / (1 + F.exp(-z))).alias("score"))
 
 
 def classify(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:

@@ -134,6 +134,54 @@ def test_classifiers_of_edge_cases(spark, module):
     assert module.classify(no_documents(spark), both).collect() == []
 
 
+def toxicity_of(spark, texts, labelled):
+    """Scores of texts; labelled: label by place."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(labelled.items()), "doc_id long, label int")
+    return {r.key: r for r in toxicity.classify(docs, labels).collect()}
+
+
+def test_toxicity_counts_every_bigram_of_whole_words(spark):
+    texts = ["a b a b, A B", "b a\nc", None, "a b", "zz a b"]
+    rows = [(0, texts[0]), (3, texts[1]), (1, texts[2]), (-1, texts[3]), (2, texts[4]), (0, texts[3])]
+    got = toxicity.counts(spark.createDataFrame(rows, "role int, text string")).collect()
+
+    def code(word):
+        return int(toxicity.word_hashes(np.frombuffer(word.encode(), np.uint8), np.array([0, len(word)]))[0].view(np.int64)[0])
+
+    pairs = {(r.prev, r.word): [r[f"{k}{i}"] for k in "nd" for i in range(4)] for r in got if r.prev}
+    assert pairs[code("a"), code("b")] == [4, 0, 1, 0, 2, 0, 1, 0]
+    assert pairs[code("b"), code("a")] == [2, 0, 0, 1, 1, 0, 0, 1]
+    assert len(pairs) == 7  # with the first words of texts
+    alone = {}
+    for r in got:
+        if not r.prev:
+            alone[r.word] = alone.get(r.word, 0) + np.array([r.n0, r.n1, r.n2, r.n3, r.cont])
+    assert alone[code("a")].tolist() == [4, 0, 1, 1, 3] and alone[code("b")].tolist() == [4, 0, 1, 1, 2]
+
+
+def test_toxicity_that_only_neighbours_tell(spark):
+    r = np.random.default_rng(5)
+
+    def text(toxic):
+        pairs = [f"left{i} {'here' if (i % 2 == 0) == toxic else 'there'} gap" for i in r.integers(0, 40, 12)]
+        return " ".join(pairs)
+
+    toxic = [k % 2 for k in range(300)]
+    got = toxicity_of(spark, [text(bool(y)) for y in toxic], {k: y for k, y in enumerate(toxic) if k < 200})
+    assert np.mean([got[k].predicted == toxic[k] for k in range(200, 300)]) > 0.95
+
+
+def test_toxicity_with_a_third_of_toxic_rows(spark):
+    bad = ["vile", "scum", "filth"]
+    texts = [prose(900 + k, 40) + (f" {bad[k // 3 % 3]} " if k % 3 == 0 else " ") + prose(5900 + k, 20) for k in range(360)]
+    toxic = [int(k % 3 == 0) for k in range(360)]
+    got = toxicity_of(spark, texts, {k: y for k, y in enumerate(toxic) if k < 240})
+    held = range(240, 360)
+    assert np.mean([got[k].predicted for k in held if toxic[k]]) > 0.95
+    assert np.mean([got[k].predicted for k in held if not toxic[k]]) < 0.05
+
+
 def test_accepted_keeps_rows_whole(spark):
     docs = edge_documents(spark)
     labels = spark.createDataFrame([(7, 1), (12, 1), (14, 0), (19, 0)], "key long, label int")
