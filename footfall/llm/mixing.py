@@ -2,7 +2,7 @@
 
 Every document has a place u in its source's keyed random permutation, and the leading bits of u are its block. A
 source's target is met by whole passes over its permutation and one part pass, up to a threshold on u that a radix
-search finds in a few small aggregations; the words still missing are topped up with the largest documents that fit.
+search finds in a few small aggregations. Behind a document that does not fit the search goes on with smaller ones.
 The drawn blocks are the quotas that the tree splits: at each node the left half of the shards gets a
 multivariate-hypergeometric share of the node's blocks, so that quotas add up exactly. Each shard then takes its own
 range of every source's permuted blocks and shuffles its documents locally.
@@ -31,7 +31,12 @@ SEED = 20240607
 #: Radix search: bits of each level, and its levels; 2**36 documents of a source are told apart.
 LEVEL_BITS, LEVELS = 12, 3
 BLOCK_DOCUMENTS = 16
-TOP_UPS = 6
+LAST_PLACE, CELL = (1 << 63) - 1, 1 << 63 - LEVEL_BITS * LEVELS
+#: The search for more documents ends when this share of the target or less is missing.
+LITTLE = 0.001
+#: Runs of places, with the most words of a document that is taken from each.
+RUNS = "runs_ array<struct<first: long, last: long, most: long>>"
+IN_RUN = "exists(runs_, r -> u_ between r.first and r.last and size_ <= r.most)"
 
 
 def word_count(text: Column) -> Column:
@@ -88,29 +93,84 @@ def _drawn(rng: np.random.Generator, good: int, bad: int, wanted: int) -> int:
     return int(rng.hypergeometric(good, bad, wanted)) if good and wanted else 0
 
 
-def _thresholds(sized: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Per source: from_u_, below which places the part pass takes everything, and missing_ words after that."""
+def _thresholds(sized: DataFrame, wanted: list[tuple]) -> dict[str | None, tuple[int, int, int | None]]:
+    """wanted: (source, from, most, missing) -> source: (at, words, over) of its documents from place `from` on of 1 to `most` words.
+
+    Those before place `at` have `words` words, which fit; the cell of places at `at` would have `over` words too many.
+    Without any that does not fit, `over` is None.
+    """
     spark = sized.sparkSession
-    state = wanted.selectExpr("source_", "part_ as missing_", "0L as from_u_")
+    out: dict[str | None, tuple[int, int, int | None]] = {}
+    state = [(*w, 0) for w in wanted]
+    taken = {w[0]: 0 for w in wanted}
     for level in range(LEVELS):
+        if not state:
+            break
         high, low = 63 - LEVEL_BITS * level, 63 - LEVEL_BITS * (level + 1)
-        inside = sized.join(F.broadcast(state), sized.source.eqNullSafe(state.source_)).filter(
-            f"shiftright(u_, {high}) = shiftright(from_u_, {high})" if level else "true"
-        )
+        sent = spark.createDataFrame(state, "source_ string, start_ long, most_ long, missing_ long, from_u_ long")
+        inside = sized.join(F.broadcast(sent), sized.source.eqNullSafe(sent.source_)).filter("u_ >= start_ and size_ > 0 and size_ <= most_")
+        if level:
+            inside = inside.filter(f"shiftright(u_, {high}) = shiftright(from_u_, {high})")
         digit = f"shiftright(u_, {low}) & {(1 << LEVEL_BITS) - 1}"
-        blocks = inside.withColumn("digit_", F.expr(digit)).groupBy("source_", "from_u_", "missing_", "digit_").agg(F.sum("size_").alias("words_"))
+        blocks = inside.withColumn("digit_", F.expr(digit)).groupBy("source_", "missing_", "digit_").agg(F.sum("size_").alias("words_"))
         before = F.sum("words_").over(Window.partitionBy("source_").orderBy("digit_")) - F.col("words_")
-        # the first block that no longer fits as a whole; there is one, as less is missing than the source has
-        found = blocks.withColumn("before_", before).groupBy("source_", "from_u_", "missing_").agg(
-            F.min(F.expr("if(before_ + words_ > missing_, struct(digit_, before_), null)")).alias("at_"), F.sum("words_").alias("all_")
+        # the first block that no longer fits as a whole
+        found = blocks.withColumn("before_", before).groupBy("source_").agg(
+            F.min(F.expr("if(before_ + words_ > missing_, struct(digit_, before_, words_), null)")).alias("at_"), F.sum("words_").alias("all_")
         )
-        state = found.selectExpr(
-            "source_",
-            "missing_ - coalesce(at_.before_, all_) as missing_",
-            f"from_u_ + coalesce(at_.digit_, 0L) * {1 << low}L as from_u_",
-        )
-        state = spark.createDataFrame(state.collect(), state.schema)  # a row per source
-    return state
+        of = {r.source_: r for r in found.collect()}  # a row per source
+        after = []
+        for name, start, most, missing, from_u in state:
+            if name not in of or of[name].at_ is None:
+                out[name] = (LAST_PLACE + 1, taken[name] + (of[name].all_ if name in of else 0), None)
+                continue
+            at = of[name].at_
+            taken[name] += at.before_
+            after.append((name, start, most, missing - at.before_, from_u + (at.digit_ << low)))
+            if level == LEVELS - 1:
+                out[name] = (after[-1][-1], taken[name], at.words_ - after[-1][-2])
+        state = after
+    return out
+
+
+def part_runs(sized: DataFrame, parts: list[tuple]) -> dict[str | None, list[tuple[int, int, int]]]:
+    """parts: (source, words missing, target) -> source: runs (first place, last place, most words) of what is drawn.
+
+    Documents are taken in the order of the permutation while they fit; one that does not is passed over, and the search
+    goes on behind it among those no larger than what is missing, until that is little. Each one passed over, and at the
+    end the one nearest in size to the rest, is taken instead if that comes nearer to the target.
+    """
+    spark = sized.sparkSession
+    runs: dict[str | None, list[tuple[int, int, int]]] = {s: [] for s, _, _ in parts}
+    missing = {s: m for s, m, _ in parts}
+    little = {s: target * LITTLE for s, _, target in parts}
+    nearest: dict[str | None, tuple[int, list]] = {}
+    state = [(s, 0, m, m) for s, m, _ in parts if m > 0]
+    while state:
+        found = _thresholds(sized, state)
+        after = []
+        for s, start, most, _ in state:
+            at, words, over = found[s]
+            if over is not None:
+                end = min(at + CELL - 1, LAST_PLACE)
+                if s not in nearest or over < nearest[s][0]:
+                    nearest[s] = (over, [*runs[s], (start, end, most)])
+            if words:
+                runs[s] = [*runs[s], (start, at - 1, most)]
+                missing[s] -= words
+            if over is not None and missing[s] > little[s] and end < LAST_PLACE:
+                after.append((s, end + 1, missing[s], missing[s]))
+        state = after
+    left = [(s, missing[s], runs[s]) for s in runs if missing[s] > 0]
+    if left:
+        gaps = spark.createDataFrame(left, f"source_ string, missing_ long, {RUNS}")
+        free = sized.join(F.broadcast(gaps), sized.source.eqNullSafe(gaps.source_)).filter(f"size_ > 0 and size_ < 2 * missing_ and not {IN_RUN}")
+        alike = free.groupBy("source_", "missing_", "u_").agg(F.sum("size_").alias("words_"), F.max("size_").alias("size_"))
+        for r in alike.groupBy("source_").agg(F.min(F.expr("struct(abs(missing_ - words_) as gap, u_, size_)")).alias("one")).collect():
+            if r.one.gap < missing[r.source_]:
+                runs[r.source_] = [*runs[r.source_], (r.one.u_, r.one.u_, r.one.size_)]
+                missing[r.source_] = r.one.gap
+    return {s: nearest[s][1] if s in nearest and nearest[s][0] < missing[s] else runs[s] for s in runs}
 
 
 def plan(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = WEIGHTS, most: int = MOST_REPEATS, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -133,40 +193,19 @@ def plan(documents: DataFrame, key: str = "doc_id", text: str = "text", source:
     schema = "source_ string, source_size_ long, target_ double, passes_ int, bits_ int, part_ long"
     wanted = spark.createDataFrame(rows, schema)
     if not rows:
-        return sized, wanted.selectExpr("*", "0L as from_u_", "array() as edges_", "array(0L) as extra_")
-    cuts = _thresholds(sized, wanted)
-    extra: dict[str | None, list[int]] = {r[0]: [] for r in rows}
-    state = {r.source_: (r.from_u_, r.missing_) for r in cuts.collect()}
-    for _ in range(TOP_UPS):
-        open_parts = [(s, u, m, extra[s]) for s, (u, m) in state.items() if m > 0]
-        if not open_parts:
-            break
-        gaps = spark.createDataFrame(open_parts, "source_ string, from_u_ long, missing_ long, used_ array<long>")
-        fits = sized.join(F.broadcast(gaps), sized.source.eqNullSafe(gaps.source_)).filter(
-            "u_ >= from_u_ and size_ > 0 and size_ < 2 * missing_ and not array_contains(used_, u_)"
-        )
-        # the largest that fits; when none does, the smallest whose excess is less than what is missing
-        one = F.struct("size_", "u_")
-        within = F.col("size_") <= F.col("missing_")
-        best = fits.groupBy("source_").agg(F.max(F.when(within, one)).alias("fit"), F.min(F.when(~within, one)).alias("over")).collect()
-        same = {r.source_: r.fit or r.over for r in best}
-        for s, one in same.items():
-            extra[s].append(one.u_)
-            state[s] = (state[s][0], state[s][1] - one.size_)
-        for s in [s for s, (_, m) in state.items() if m > 0 and s not in same]:
-            state[s] = (state[s][0], 0)
-    drawn = [r[3] * (1 << r[4]) + ((state[r[0]][0] - 1 >> 63 - r[4]) + 1 if state[r[0]][0] else 0) + bool(extra[r[0]]) for r in rows]
+        return sized, wanted.selectExpr("*", "array() as edges_", "cast(array() as array<struct<first: bigint, last: bigint, most: bigint>>) as runs_")
+    runs = part_runs(sized, [(r[0], r[5], r[2]) for r in rows])
+    drawn = [r[3] * (1 << r[4]) + max([(last >> 63 - r[4]) + 1 for _, last, _ in runs[r[0]]], default=0) for r in rows]
     shares = split_quotas(np.array(drawn), shards, seed)
     edges = np.cumsum(shares, axis=1)
-    full = [(*r, state[r[0]][0], [int(x) for x in edges[i]], extra[r[0]]) for i, r in enumerate(rows)]
-    return sized, spark.createDataFrame(full, f"{schema}, from_u_ long, edges_ array<long>, extra_ array<long>")
+    full = [(*r, [int(x) for x in edges[i]], runs[r[0]]) for i, r in enumerate(rows)]
+    return sized, spark.createDataFrame(full, f"{schema}, edges_ array<long>, {RUNS}")
 
 
 def drawn(sized: DataFrame, recipe: DataFrame, source: str = "source") -> DataFrame:
     """Documents with size_ and u_ -> these with source_size_, target_ and shards_, the shard of each time it is drawn.
 
-    A block's number in its source's stream is pass * blocks + its place in that pass's permutation; part blocks and
-    top-ups come last.
+    A block's number in its source's stream is pass * blocks + its place in that pass's permutation; part blocks come last.
     """
     joined = sized.join(F.broadcast(recipe), sized[source].eqNullSafe(recipe.source_))
     block = F.expr("shiftright(u_, 63 - bits_)")
@@ -175,12 +214,10 @@ def drawn(sized: DataFrame, recipe: DataFrame, source: str = "source") -> DataFr
         F.expr("if(passes_ > 0, sequence(0, passes_ - 1), array())").cast("array<int>"),
         lambda e: e * count + F.pmod(block * (e * 2 + 3) + e * 7, count),
     )
-    part = F.when(F.col("u_") < F.col("from_u_"), F.array(F.col("passes_") * count + block)).when(
-        F.expr("array_contains(extra_, u_)"), F.array(F.element_at("edges_", -1) - 1)
-    )
+    part = F.when(F.expr(IN_RUN), F.array(F.col("passes_") * count + block))
     numbers = F.concat(whole, F.coalesce(part, F.array().cast("array<bigint>")))
     shards = F.transform(numbers, lambda d: F.size(F.filter("edges_", lambda edge: edge <= d)))
-    return joined.withColumn("shards_", shards).drop("source_", "passes_", "bits_", "part_", "from_u_", "edges_", "extra_")
+    return joined.withColumn("shards_", shards).drop("source_", "passes_", "bits_", "part_", "edges_", "runs_")
 
 
 def mix(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = WEIGHTS, most: int = MOST_REPEATS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:

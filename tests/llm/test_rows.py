@@ -257,6 +257,20 @@ def test_mixing_of_documents(spark):
     assert (got.taken <= 3 * got["size"]).all() and (got[got["size"] > 0].taken % got[got["size"] > 0]["size"] == 0).all()
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+@pytest.mark.parametrize(("small", "large", "least", "most"), [(2000, 200_000, 0.998, 1.002), (100, 1_000_000, 0.8, 1.2)])
+def test_mixing_of_a_source_with_one_very_long_document(spark, seed, small, large, least, most):
+    rows = [("a", 100)] * small + [("a", large)] + [("b", 100)] * 5000
+    sized = spark.createDataFrame(rows, "source string, size_ long").withColumn("u_", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), 1)).localCheckpoint()
+    target = (100 * small + large) * 9 // 10 if small < large // 100 else 180_000
+    runs = mixing.part_runs(sized, [("a", target, float(target)), ("b", 12_345, 12_345.0)])
+    recipe = spark.createDataFrame(list(runs.items()), f"source_ string, {mixing.RUNS}")
+    taken = sized.join(recipe, sized.source == recipe.source_).filter(mixing.IN_RUN).groupBy("source").agg(F.sum("size_").alias("n"))
+    got = {r.source: r.n for r in taken.collect()}
+    assert least * target <= got["a"] <= most * target
+    assert abs(got["b"] - 12_345) <= 50
+
+
 def test_mix_returns_each_draw(spark):
     docs = edge_documents(spark)
     mixed = mixing.mix(docs, shards=4)
