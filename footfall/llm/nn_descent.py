@@ -4,8 +4,8 @@ A first neighbour graph comes from several random-hyperplane orders, in which ea
 Each round then compares the neighbours of a vector, forward and reverse, with one another, and a vector keeps the
 nearest it has met; rounds end when few lists change. Links of at least the threshold give components. A list that is full of
 links is saturated: it is enlarged to its whole component, whose members are compared in blocks, so that no link
-within a component is missed and none is capped. Recall is then audited against brute force for a number of vectors, and
-more orders and rounds are added while it is below the target.
+within a component is missed and none is capped. Recall is then audited against brute force for a hash sample of all
+vectors, by link and by group, and more orders and rounds are added until the target is met.
 
 Vectors with equal components are one class and are compared once. Defined results: null or zero vectors and ones
 with null or non-finite components link with nothing; so do rows without an id; rows that repeat an id are the vector
@@ -28,9 +28,13 @@ THRESHOLD = 0.95
 NEIGHBOURS = 8
 #: Random orders of the first graph, bits of an order's key, and how many following vectors each vector meets in it.
 ORDERS, BITS, MEETS = 10, 32, 5
+#: Orders that each factor of ten of vectors needs more, from that many vectors on, for the same share of pairs to meet.
+ORDERS_A_DECADE, FROM_VECTORS = 7, 30_000
 ROUNDS, STILL_CHANGING = 3, 0.02
-#: Vectors audited by brute force; target recall; times the search is extended while below it.
-AUDITED, RECALL, EXTENSIONS = 128, 0.97, 2
+#: Vectors audited by brute force at first; links that they should have, and vectors audited at most for that.
+AUDITED, AUDITED_LINKS, MOST_AUDITED = 1024, 500, 16_384
+#: Target recall; the search is extended while below it, and raises when that many extensions have not met it.
+RECALL, EXTENSIONS = 0.97, 12
 #: Members of a component that are compared at once with as many others.
 BLOCK = 512
 
@@ -224,29 +228,47 @@ def links_within(reps: DataFrame, member_of: DataFrame, threshold: float) -> Dat
     return both.mapInArrow(count, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def audit(reps: DataFrame, found: DataFrame, dims: int, threshold: float, audited: int = AUDITED) -> float:
-    """Share of the links of `audited` vectors (those of the smallest hashed id) that `found` (id, links) has."""
-    sample = reps.filter(F.col("dims") == dims).join(found.select("id"), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(audited // 2)
-    others = reps.filter(F.col("dims") == dims).orderBy(F.xxhash64("id", F.lit(1)), "id").limit(audited // 2)
-    rows = {r["id"]: r["x"] for r in sample.unionByName(others).select("id", "x").collect()}
-    if not rows:
-        return 1.0
-    ids = np.array(list(rows))
-    units = _units(pa.RecordBatch.from_arrays([pa.array(list(rows.values()), pa.list_(pa.float64()))], names=["x"]))
+def orders_for(vectors: int) -> int:
+    """Orders of the first graph: they grow with the logarithm of the number of vectors."""
+    return ORDERS + max(0, int(np.ceil(ORDERS_A_DECADE * np.log10(max(vectors, 1) / FROM_VECTORS))))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(ids), np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                near = (_units(batch) @ units.T >= threshold) & (batch.column("id").to_numpy()[:, None] != ids[None, :])
-                total += batch.column("copies").to_numpy() @ near
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "links"])
 
-    true = reps.filter(F.col("dims") == dims).mapInArrow(count, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
-    have = {r["id"]: r["links"] for r in found.join(F.broadcast(reps.sparkSession.createDataFrame([(int(i),) for i in ids], "id long")), "id").collect()}
-    want = {r["id"]: r["links"] for r in true.collect()}
-    every = sum(want.values())
-    return sum(min(have.get(i, 0), n) for i, n in want.items()) / every if every else 1.0
+def audit(reps: DataFrame, found: DataFrame, dims: int, threshold: float, audited: int = AUDITED) -> float:
+    """Share of the links of a hash sample of all vectors that `found` (id, links) has.
+
+    The smaller of two shares: each link counts alike, or each group does (a vector by one over its links and itself), so
+    that large groups don't hide lost pairs. The sample grows until it has AUDITED_LINKS links.
+    """
+    here = reps.filter(F.col("dims") == dims)
+    size = here.count()
+    while True:
+        rows = here.select("id", "x").orderBy(F.xxhash64("id", F.lit(1)), "id").limit(audited).toArrow().combine_chunks()
+        if not rows.num_rows:
+            return 1.0
+        ids, units = rows.column("id").to_numpy(), _units(rows.to_batches()[0])
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(ids), np.int64)
+            for whole in batches:
+                for first in range(0, whole.num_rows, BLOCK):
+                    batch = whole.slice(first, BLOCK)
+                    near = (_units(batch) @ units.T >= threshold) & (batch.column("id").to_numpy()[:, None] != ids[None, :])
+                    total += batch.column("copies").to_numpy() @ near
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "links"])
+
+        true = here.mapInArrow(count, "id long, links long").groupBy("id").agg(F.sum("links").alias("links")).filter("links > 0")
+        both = true.toPandas()
+        if both.links.sum() >= AUDITED_LINKS or audited >= min(size, MOST_AUDITED):
+            break
+        audited *= 4
+    if not len(both):
+        return 1.0
+    asked = reps.sparkSession.createDataFrame([(int(i),) for i in both.id], "id long")
+    have = {r["id"]: r["links"] for r in found.join(F.broadcast(asked), "id").collect()}
+    want = both.links.to_numpy(float)
+    got = np.minimum([have.get(i, 0) for i in both.id], want)
+    by_group = 1 / (want + 1)
+    return float(min(got.sum() / want.sum(), (by_group * got / want).sum() / by_group.sum()))
 
 
 def near_duplicates(embeddings: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, k: int = NEIGHBOURS) -> DataFrame:
@@ -258,7 +280,8 @@ def near_duplicates(embeddings: DataFrame, key: str = "vec_id", vector: str = "e
     member_of: DataFrame | None = None
     for dims in [r["dims"] for r in reps.select("dims").distinct().orderBy("dims").collect()]:
         here = reps.filter(F.col("dims") == dims)
-        met = stored(met_in_orders(reps, dims, range(ORDERS)), "met")
+        orders = orders_for(here.count())
+        met = stored(met_in_orders(reps, dims, range(orders)), "met")
         for extension in range(EXTENSIONS + 1):
             lists = stored(nearest(met, k), "lists")
             links = met.filter(F.col("cos") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))
@@ -273,9 +296,12 @@ def near_duplicates(embeddings: DataFrame, key: str = "vec_id", vector: str = "e
             roots = linked.select("root").distinct()
             here_of = stored(linked.select(F.col("node").alias("id"), "root").unionByName(roots.select(F.col("root").alias("id"), "root")), "members")
             here_counts = stored(links_within(here, here_of, threshold), "counts")
-            if audit(here, here_counts, dims, threshold) >= RECALL or extension == EXTENSIONS:
+            recall = audit(here, here_counts, dims, threshold)
+            if recall >= RECALL:
                 break
-            more = range(ORDERS * (extension + 1), ORDERS * (extension + 2))
+            if extension == EXTENSIONS:
+                raise RuntimeError(f"recall {recall:.3f} after {orders * (extension + 1)} orders; the target is {RECALL}")
+            more = range(orders * (extension + 1), orders * (extension + 2))
             met = stored(met.unionByName(met_in_orders(reps, dims, more)), "met")
         counts = here_counts if counts is None else counts.unionByName(here_counts)
         member_of = here_of if member_of is None else member_of.unionByName(here_of)

@@ -150,6 +150,24 @@ def test_nn_descent_of_clusters_copies_and_invalid_vectors(spark):
         assert (r.n_links, r.component_id, r.kept) == (degree[r.vec_id], component[r.vec_id], component[r.vec_id] == r.vec_id)
 
 
+def test_audit_sees_lost_pairs_beside_a_large_group(spark):
+    rng = np.random.default_rng(8)
+    left = rng.standard_normal((1200, 24))
+    pairs = np.concatenate([left, left + 0.15 * rng.standard_normal(left.shape)])
+    group = rng.standard_normal(24) + 0.02 * rng.standard_normal((300, 24))
+    rows = [(i, x.tolist(), 24, 1) for i, x in enumerate(np.concatenate([pairs, group]))]
+    reps = spark.createDataFrame(rows, "id long, x array<double>, dims int, copies long")
+    whole = [(i, 299) for i in range(2400, 2700)]
+    lost = spark.createDataFrame(whole + [(i, 1) for i in range(2400) if i % 1200 < 900], "id long, links long")
+    assert 0.6 < nn_descent.audit(reps, lost, 24, 0.95) < 0.85
+    complete = spark.createDataFrame(whole + [(i, 1) for i in range(2400)], "id long, links long")
+    assert nn_descent.audit(reps, complete, 24, 0.95) == 1.0
+
+
+def test_orders_grow_with_the_logarithm_of_the_vectors():
+    assert [nn_descent.orders_for(n) for n in (0, 1000, 30_000, 1_000_000, 10_000_000)] == [10, 10, 10, 21, 28]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_of_paths_stars_and_cliques(spark, seed):
     r = random.Random(seed)
