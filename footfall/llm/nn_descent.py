@@ -39,6 +39,8 @@ RECALL, EXTENSIONS = 0.97, 12
 BLOCK = 512
 
 PAIR = "u long, v long, cos double"
+#: Compared pairs that are links or nearer than a neighbour of one of the two; near says the latter.
+NEWS = f"{PAIR}, near boolean"
 
 
 def _units(batch: pa.RecordBatch) -> np.ndarray:
@@ -55,6 +57,11 @@ def _pairs(u: np.ndarray, v: np.ndarray, cos: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(cos, pa.float64())], names=["u", "v", "cos"])
 
 
+def _news(u: np.ndarray, v: np.ndarray, cos: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
+    pairs = _pairs(u, v, cos)
+    return pa.RecordBatch.from_arrays([*pairs.columns, pa.array(near, pa.bool_())], names=[*pairs.schema.names, "near"])
+
+
 def valid_vectors(embeddings: DataFrame, key: str, vector: str) -> DataFrame:
     """(id, x, dims) of the valid vectors, one per id; x keeps its element type, so tasks are sent no more than the table has."""
     x = F.col("x")
@@ -125,7 +132,7 @@ def nearest(pairs: DataFrame, k: int) -> DataFrame:
     return both.groupBy("u").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("cos")).alias("far"), "v"))), 1, k).alias("list"))
 
 
-def _local_join():
+def _local_join(threshold: float):
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (centre, id, worst, x) sorted by centre: compares the members of each centre with one another."""
         rest: pa.RecordBatch | None = None
@@ -139,15 +146,16 @@ def _local_join():
                 if b - a < 2:
                     continue
                 cos = units[a:b] @ units[a:b].T
-                # a pair is news if it is nearer than the worst neighbour of one of the two
-                i, j = np.nonzero(np.triu(cos > np.minimum(worst[a:b, None], worst[None, a:b]), 1))
+                # a pair is near if it is nearer than the worst neighbour of one of the two; a link is told even if it isn't
+                near = cos > np.minimum(worst[a:b, None], worst[None, a:b])
+                i, j = np.nonzero(np.triu(near | (cos >= threshold), 1))
                 if len(i):
-                    out.append((ids[a + i], ids[a + j], cos[i, j]))
+                    out.append((ids[a + i], ids[a + j], cos[i, j], near[i, j]))
             if not out:
-                return _pairs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-            u, v, c = (np.concatenate(x) for x in zip(*out, strict=True))
+                return _news(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool))
+            u, v, c, near = (np.concatenate(x) for x in zip(*out, strict=True))
             key = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0, return_index=True)[1]
-            return _pairs(u[key], v[key], c[key])
+            return _news(u[key], v[key], c[key], near[key])
 
         for batch in batches:
             if not batch.num_rows:
@@ -165,8 +173,8 @@ def _local_join():
     return join
 
 
-def descend(reps: DataFrame, lists: DataFrame, k: int) -> DataFrame:
-    """One round: the news (u, v, cos) among the forward and reverse neighbours of every vector."""
+def descend(reps: DataFrame, lists: DataFrame, k: int, threshold: float = THRESHOLD) -> DataFrame:
+    """One round: the news (u, v, cos, near) among the forward and reverse neighbours of every vector."""
     forward = lists.select(F.col("u").alias("centre"), F.explode("list.v").alias("id"))
     # up to k reverse neighbours, drawn by hash slots so that a popular vector is never gathered
     drawn = forward.select(F.col("id").alias("centre"), F.col("centre").alias("id"), F.xxhash64("centre", "id").alias("h"))
@@ -175,7 +183,7 @@ def descend(reps: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     members = forward.unionByName(reverse).unionByName(own).distinct()
     worst = lists.select(F.col("u").alias("id"), F.when(F.size("list") >= k, -F.element_at("list", -1)["far"]).otherwise(F.lit(-2.0)).alias("worst"))
     carried = members.join(worst, "id").join(reps.select("id", "x"), "id").select("centre", "id", "worst", "x")
-    return carried.repartition(_sent(reps)[1], "centre").sortWithinPartitions("centre").mapInArrow(_local_join(), PAIR)
+    return carried.repartition(_sent(reps)[1], "centre").sortWithinPartitions("centre").mapInArrow(_local_join(threshold), NEWS)
 
 
 def links_within(reps: DataFrame, member_of: DataFrame, threshold: float) -> DataFrame:
@@ -286,11 +294,12 @@ def near_duplicates(embeddings: DataFrame, key: str = "vec_id", vector: str = "e
             lists = stored(nearest(met, k), "lists")
             links = met.filter(F.col("cos") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))
             for _ in range(ROUNDS):
-                news = stored(descend(here, lists, k), "news")
+                news = stored(descend(here, lists, k, threshold), "news")
                 links = links.unionByName(news.filter(F.col("cos") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b")))
                 old = lists.select("u", F.explode("list").alias("x")).select("u", F.col("x.v").alias("v"), (-F.col("x.far")).alias("cos"))
-                lists = stored(nearest(old.unionByName(news), k), "lists")
-                if news.count() < STILL_CHANGING * k * lists.count():
+                near = news.filter("near").drop("near")
+                lists = stored(nearest(old.unionByName(near), k), "lists")
+                if near.count() < STILL_CHANGING * k * lists.count():
                     break
             linked = components(links)
             roots = linked.select("root").distinct()

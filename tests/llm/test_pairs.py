@@ -150,6 +150,15 @@ def test_nn_descent_of_clusters_copies_and_invalid_vectors(spark):
         assert (r.n_links, r.component_id, r.kept) == (degree[r.vec_id], component[r.vec_id], component[r.vec_id] == r.vec_id)
 
 
+def test_a_compared_link_is_told_though_both_lists_are_full(spark):
+    angle = {1: 0.0, 2: 0.15, 3: 0.3, 5: 0.05, 6: 0.25}
+    reps = spark.createDataFrame([(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in angle.items()], "id long, x array<double>")
+    near = {1: [5, 2], 2: [1, 3], 3: [6, 2], 5: [1, 2], 6: [3, 2]}
+    lists = spark.createDataFrame([(u, [(-float(np.cos(angle[u] - angle[v])), v) for v in vs]) for u, vs in near.items()], "u long, list array<struct<far: double, v: long>>")
+    news = {(min(r.u, r.v), max(r.u, r.v)): r.near for r in nn_descent.descend(reps, lists, 2).collect()}
+    assert news[1, 3] is False
+
+
 def test_audit_sees_lost_pairs_beside_a_large_group(spark):
     rng = np.random.default_rng(8)
     left = rng.standard_normal((1200, 24))
