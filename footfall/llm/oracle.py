@@ -109,6 +109,30 @@ select v.vec_id, coalesce(d.n, 0) as n_links, least(v.vec_id, coalesce(r.other,
 from vectors v left join roots r on r.vec_id = v.vec_id left join degrees d on d.x = v.vec_id
 """
 
+FILL_MIDDLE = r"""
+with texts as (select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+hashed as (
+    select doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as units,
+           cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+           cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4
+    from texts
+),
+cut as (
+    select *, len(units) as n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) as a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) as b,
+           case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50 then 'plain'
+                when h4 % 100 < 80 then 'spm' else 'psm' end as form
+    from hashed
+),
+parts as (
+    select *, array_to_string(units[1:a], '') as p, array_to_string(units[a + 1:b], '') as m, array_to_string(units[b + 1:], '') as s from cut
+)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from parts
+"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -117,4 +141,5 @@ def statements() -> dict[str, str]:
         "op5_suffix_dedup": SUFFIX_DEDUP,
         "op8_nn_descent": NN_DESCENT,
         "op10_warc": WARC,
+        "op11_fill_middle": FILL_MIDDLE,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import mixing, ngram_join, nn_descent, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filter, warc
+from footfall.llm import fill_middle, mixing, ngram_join, nn_descent, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filter, warc
 from footfall.llm.shared import learns_from, table
 
 
@@ -83,6 +83,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return changed.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -95,4 +108,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nn_descent": op8_nn_descent,
         "op9_quality_rules": op9_quality_rules,
         "op10_warc": op10_warc,
+        "op11_fill_middle": op11_fill_middle,
     }
