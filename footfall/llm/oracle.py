@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from footfall.llm import license_scan
+
 URL_FILTER = r"""
 with located as (
     select page_id, url, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
@@ -133,6 +135,65 @@ select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_c
 from parts
 """
 
+LICENSE_SCAN = r"""
+with templates(t, label, base, notice, phrases) as (values {templates}),
+notices as (select *, string_split(notice, ' ') as nw from templates),
+phrase_words as (select t, nw, string_split(unnest(phrases), ' ') as pw from notices),
+placed as (
+    select t, len(pw) as n, list_filter(range(1, len(nw) + 1), lambda i: nw[i:i + len(pw) - 1] = pw)[1] as first from phrase_words
+),
+musts as (
+    select t, label, base, nw,
+           coalesce((select flatten(list(range(first, first + n))) from placed p where p.t = notices.t), range(1, len(nw) + 1)) as must
+    from notices
+),
+docs as (
+    select row_number() over () as r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+),
+held as (select word, count(*) as n from (select unnest(list_distinct(w)) as word from docs) group by word),
+idf as (
+    select word, round(ln(((select count(*) from docs) + 1) / (coalesce(held.n, 0) + 1)), 6) + 1e-6 as weight
+    from (select distinct unnest(nw) as word from notices) left join held using (word)
+),
+weights as (
+    select t, list(weight order by k) as weight
+    from (select t, unnest(nw) as word, unnest(range(1, len(nw) + 1)) as k from notices) join idf using (word) group by t
+),
+positions as (select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from docs),
+begun as (
+    select d.r, m.*, d.w, weight, p.i - m.must[1] as s
+    from musts m join positions p on p.word = m.nw[m.must[1]] join docs d on d.r = p.r join weights using (t)
+),
+places as (
+    select r, label, base, s,
+           round(list_sum(list_transform(range(1, len(nw) + 1), lambda k: case when s + k >= 1 and w[s + k] = nw[k] then weight[k] else 0 end))
+                 / list_sum(weight), 6) as share
+    from begun
+    where len(list_filter(must, lambda k: s + k >= 1 and coalesce(w[s + k], '') = nw[k])) = len(must)
+),
+told as (
+    select r, count(*) filter (base) as n_base, min(s) filter (base) as first_word, max(s) filter (base) as last_word,
+           string_agg(distinct label, ',' order by label) filter (base) as base_labels,
+           string_agg(distinct label, ',' order by label) as labels, max(share) as score
+    from places where base or share >= 0.6 group by r
+)
+select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels,
+       coalesce(labels, '') as labels, coalesce(score, 0.0) as score
+from docs left join told using (r)
+"""
+
+
+def _template_values() -> str:
+    both = [*((t, "true") for t in license_scan.BASE_PHRASES), *((t, "false") for t in license_scan.NOTICES)]
+    rows = []
+    for i, (template, base) in enumerate(both):
+        phrases = ", ".join(f"'{p}'" for p in template.key_phrases)
+        rows.append(f"({i}, '{template.label}', {base}, '{template.notice}', cast([{phrases}] as varchar[]))")
+    return ",\n    ".join(rows)
+
 
 def statements() -> dict[str, str]:
     return {
@@ -142,4 +203,5 @@ def statements() -> dict[str, str]:
         "op8_nn_descent": NN_DESCENT,
         "op10_warc": WARC,
         "op11_fill_middle": FILL_MIDDLE,
+        "op13_license_scan": LICENSE_SCAN.replace("{templates}", _template_values()),
     }
