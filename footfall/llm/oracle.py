@@ -185,6 +185,51 @@ select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, las
 from docs left join told using (r)
 """
 
+SPELLING_VARIANTS = r"""
+with recursive crc_table as (
+    select list(list_reduce(range(8), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, b) order by b) as crc
+    from (select unnest(range(256)) as b)
+),
+runs as (
+    select coalesce(cast(doc_id as varchar), '') as id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as run
+    from documents
+),
+counted as (select id, run, count(*) as n from runs group by id, run),
+hashed as (
+    select run, n, xor(list_reduce(
+               list_transform(regexp_extract_all(hex(encode(id || ':' || run)), '..'), lambda x: cast('0x' || x as bigint)),
+               lambda c, b: xor(c // 256, crc[xor(c % 256, b) + 1]), 4294967295), 4294967295) as h
+    from counted, crc_table
+),
+written as (
+    select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from hashed
+),
+words as (select word, cast(sum(n) as bigint) as n from written where length(word) >= 5 group by word having sum(n) >= 3),
+shorter as (
+    select word, n, length(word) as size, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+    from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+),
+near as (
+    select a.word, b.word as other, b.n as other_n from shorter a join shorter b on a.rest = b.rest and a.i = b.i and a.size = b.size and a.word <> b.word
+    union select a.word, b.word, b.n from shorter a join words b on b.word = a.rest
+    union select b.word, a.word, a.n from shorter a join words b on b.word = a.rest
+),
+best as (
+    select word, count(*) as n_near, first(other order by other_n desc, other) as other, max(other_n) as other_n from near group by word
+),
+formed as (
+    select w.word, w.n, coalesce(b.n_near, 0) as n_near, case when b.other_n >= 2 * w.n then b.other end as form,
+           case when b.other_n >= 2 * w.n then b.other_n end as form_n
+    from words w left join best b on b.word = w.word
+),
+chains(word, root, form) as (
+    select word, word, form from formed
+    union all select c.word, f.word, f.form from chains c join formed f on f.word = c.form
+)
+select f.word, f.form, c.root, f.n, f.n_near, f.form_n from formed f join chains c on c.word = f.word and c.form is null
+"""
+
 
 def _template_values() -> str:
     both = [*((t, "true") for t in license_scan.BASE_PHRASES), *((t, "false") for t in license_scan.NOTICES)]
@@ -203,5 +248,6 @@ def statements() -> dict[str, str]:
         "op8_nn_descent": NN_DESCENT,
         "op10_warc": WARC,
         "op11_fill_middle": FILL_MIDDLE,
+        "op12_spelling_variants": SPELLING_VARIANTS,
         "op13_license_scan": LICENSE_SCAN.replace("{templates}", _template_values()),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import fill_middle, license_scan, mixing, ngram_join, nn_descent, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filter, warc
+from footfall.llm import fill_middle, license_scan, mixing, ngram_join, nn_descent, packing, quality_classifier, quality_rules, spelling_variants, suffix_dedup, toxicity, url_filter, warc
 from footfall.llm.shared import learns_from, table
 
 
@@ -96,6 +96,10 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = license_scan.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -114,5 +118,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_rules": op9_quality_rules,
         "op10_warc": op10_warc,
         "op11_fill_middle": op11_fill_middle,
+        "op12_spelling_variants": op12_spelling_variants,
         "op13_license_scan": op13_license_scan,
     }
