@@ -33,7 +33,7 @@ def _polynomial(z: str, coefficients: Sequence[float]) -> str:
     return reduce(lambda total, c: f"({total} * {z} + {c!r}D)", coefficients[1:], f"{coefficients[0]!r}D")
 
 
-def _lower_tail(z: str) -> str:
+def lower_tail(z: str) -> str:
     """P(Z <= -z) for z >= 0; exactly 0 beyond 37, where it is below 1e-299."""
     density = f"exp(-{z} * {z} / 2)"
     fraction = reduce(lambda below, k: f"({z} + {k} / {below})", (4, 3, 2, 1), f"({z} + 0.65D)")
@@ -48,4 +48,4 @@ def two_sided_p(statistic: str) -> Column:
     """Two-tailed p-value of a z statistic column. NaN stays NaN, infinity gives 0, NULL stays NULL."""
     return F.expr(f"""case
         when isnan({statistic}) then {statistic}
-        when {statistic} is not null then 2 * {_lower_tail(f"abs({statistic})")} end""")
+        when {statistic} is not null then 2 * {lower_tail(f"abs({statistic})")} end""")

@@ -187,17 +187,22 @@ def cumulative_counts(conversions: DataFrame, test: Experiment, as_of: date) ->
         .groupBy(*VARIANT_KEY, "metric_name", "date")
         .agg(F.sum("n").alias("n"), F.sum("flags").alias("flags"), F.sum("x").alias("x"))
     )
+    return running_totals(daily, ("n", "flags", "x"), last)
+
+
+def running_totals(daily: DataFrame, columns: Sequence[str], last: date) -> DataFrame:
+    """Running totals of ``columns`` per variant and metric, with a row for every day from the first through ``last``."""
     in_order = "(partition by testname, variation, metric_name order by date)"
     running = in_order.replace("order by date", "order by date rows between unbounded preceding and current row")
     totals = daily.selectExpr(
         *VARIANT_KEY,
         "metric_name",
         "date",
-        *[f"sum({c}) over {running} as {c}" for c in ("n", "flags", "x")],
+        *[f"sum({c}) over {running} as {c}" for c in columns],
         f"coalesce(date_sub(lead(date) over {in_order}, 1), date '{last}') as until",
     )
     return totals.selectExpr(
-        *VARIANT_KEY, "metric_name", "explode(sequence(date, until)) as reporting_date", "n", "flags", "x"
+        *VARIANT_KEY, "metric_name", "explode(sequence(date, until)) as reporting_date", *columns
     )
 
 
@@ -223,12 +228,17 @@ def variant_n(exposed: DataFrame, test: Experiment, as_of: date) -> DataFrame:
 
 
 def compare_with_control(counts: DataFrame, test: Experiment) -> DataFrame:
+    """Results of the cumulative counts of a 0/1 metric."""
+    return compare_stats(counts.select("*", F.expr(_VARIANCE)), test)
+
+
+def compare_stats(stats: DataFrame, test: Experiment) -> DataFrame:
     """Each treatment beside the control of the same day and metric.
 
-    The control is picked up by a window over the small table of counts. A self join would run the
-    whole upstream plan a second time.
+    ``stats`` has users ``n``, total ``x`` and ``variance`` per variant, metric and day. The control is picked up by a
+    window over this small table. A self join would run the whole upstream plan a second time.
     """
-    stats = counts.select("*", F.expr(_VARIANCE), _is_control(test))
+    stats = stats.select("*", _is_control(test))
     control = "max(if(is_control, {0}, null)) over (partition by testname, reporting_date, metric_name) as {0}_con"
     paired = stats.selectExpr("*", *[control.format(c) for c in ("n", "x", "variance")]).filter(
         "not is_control and variation is not null and n_con is not null"

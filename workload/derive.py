@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow
 from footfall.functions.rules import sql_array, sql_text
-from footfall.operators import classify, experiments, page_insights
+from footfall.operators import classify, experiments, page_insights, user_totals
 
 MAIN = "elizabethwarren.com"
 
@@ -191,6 +191,14 @@ class Logs:
             [p.select("user_id", F.col("time").alias("metric_time"), "metric_event_name") for p in parts]
         )
 
+    def metric_amounts(self) -> DataFrame:
+        """Metric events with the amount of each."""
+        logs = self.convert_logs().filter(F.col("value") >= 30.0)
+        labels = [(F.col("event_type") == kind, name) for kind, name in zip(("purchase", "signup"), METRIC_EVENTS)]
+        return classify.label_events(logs, labels, "metric_event_name").select(
+            "user_id", F.col("time").alias("metric_time"), "metric_event_name", F.col("value").alias("metric_value")
+        )
+
     def conversions(self) -> DataFrame:
         return classify.label_events(self.convert_logs(), convert_labels(), "convert_event")
 
@@ -217,6 +225,12 @@ class Logs:
             self.pageviews(), experiments.first_variant_logs(self.assigned_variation(), TEST), TEST
         )
 
+    def total_results(self, kind: str) -> DataFrame:
+        metrics = [user_totals.UserMetric(name, kind) for name in METRIC_EVENTS]
+        return user_totals.ab_user_total_results(
+            self.pageviews(), self.assigned_variation(), self.metric_amounts(), metrics, TEST, AS_OF
+        )
+
     def conversions_by_user(self) -> DataFrame:
         days = experiments.metric_event_days(self.metric_events(), TEST)
         return experiments.first_conversions(self.exposed(), days, [f"{m} Rate" for m in METRIC_EVENTS])

@@ -193,6 +193,13 @@ def variant_n(logs: Logs) -> DataFrame:
     return experiments.variant_n(logs.exposed(), TEST, AS_OF)
 
 
+def rounded(result: DataFrame, places: int = 6) -> DataFrame:
+    """Doubles to fewer places, for sums that two engines add in different orders."""
+    return result.select(
+        *[F.round(f.name, places).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f.name for f in result.schema]
+    )
+
+
 def ab_inference(logs: Logs) -> DataFrame:
     return inference.ab_variant_inference(logs.ab_results())
 
@@ -369,6 +376,9 @@ QUERIES: dict[str, Callable[[Logs], DataFrame]] = {
     "variant_n": variant_n,
     "ab_variant_results": Logs.ab_results,
     "ab_variant_inference": ab_inference,
+    "ab_sum_per_user": lambda logs: rounded(logs.total_results("Sum")),
+    "ab_count_per_user": lambda logs: rounded(logs.total_results("Count")),
+    "ab_t_inference": lambda logs: rounded(inference.ab_t_inference(logs.total_results("Sum"))),
     "ab_significance": ab_significance,
     "ab_interpretation": ab_interpretation,
     "ab_report_slice": ab_report_slice,
