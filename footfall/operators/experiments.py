@@ -82,6 +82,46 @@ def exposed_users(
     )
 
 
+def _with_identity(rows: DataFrame, identities: Sequence[str]) -> DataFrame:
+    """``identity``: a row for each of the identity columns that has a value, told apart by the column's name."""
+    named = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in identities]
+    identity = named[0] if len(named) == 1 else F.explode(F.array(*named))
+    return rows.select("*", identity.alias("identity")).filter("identity is not null")
+
+
+def exposed_by_identity(
+    pageviews: DataFrame,
+    assigned_variation: DataFrame,
+    test: Experiment,
+    identities: Sequence[str] = ("user_id",),
+    *,
+    where: Column | None = None,
+    through: date | None = None,
+) -> DataFrame:
+    """``exposed_users`` with variants attached by other columns than the session.
+
+    A stable ``user_id`` needs no session step: the first log of a user in a variant serves all the user's views.
+    Several identities attach a view that shares any of them with an earlier log, in one pass: logs and views get a row
+    per identity, and one join and one minimum serve all of them. The logs shrink map-side to one row per identity
+    and variant; the join has a key of its own, so AQE may split an identity that owns much of the views, whose
+    pieces are combined map-side before the second shuffle.
+    """
+    logs = assigned_variation.filter((F.col("testname") == test.testname) & test.window.has_time(F.col("time")))
+    first_logs = _with_identity(logs, identities).groupBy("identity", *VARIANT_KEY).agg(F.min("time").alias("first_log_time"))
+    views = pageviews.filter(F.col("path").isin(*test.exposure_paths) & (F.col("time") >= F.lit(test.start)))
+    if through is not None:
+        views = views.filter(F.col("time") < F.lit(through + timedelta(days=1)))
+    if where is not None:
+        views = views.filter(where)
+    return (
+        _with_identity(views.select(*dict.fromkeys(["user_id", "time", *identities])), identities)
+        .join(first_logs, "identity")
+        .filter(F.col("time") >= F.col("first_log_time"))
+        .groupBy(*USER_KEY)
+        .agg(F.min("time").alias("first_exposure_time"))
+    )
+
+
 def _report_dates(first: Column, test: Experiment, as_of: date) -> Column:
     """Dates from ``first`` to the last reported day; NULL (no rows once exploded) when there are none."""
     last = F.lit(test.last_report(as_of))
@@ -264,6 +304,22 @@ def compare_stats(stats: DataFrame, test: Experiment) -> DataFrame:
     return compared.withColumn("control_description", F.lit(test.control_variation)).select(*RESULT_COLUMNS)
 
 
+def exposures(
+    pageviews: DataFrame,
+    assigned_variation: DataFrame,
+    test: Experiment,
+    as_of: date,
+    *,
+    where: Column | None = None,
+    identities: Sequence[str] | None = None,
+) -> DataFrame:
+    """Exposed users that a report as of a day needs."""
+    through = test.last_report(as_of)
+    if identities is not None:
+        return exposed_by_identity(pageviews, assigned_variation, test, identities, where=where, through=through)
+    return exposed_users(pageviews, first_variant_logs(assigned_variation, test), test, where=where, through=through)
+
+
 def ab_variant_results(
     pageviews: DataFrame,
     assigned_variation: DataFrame,
@@ -273,11 +329,13 @@ def ab_variant_results(
     as_of: date,
     *,
     where: Column | None = None,
+    identities: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Cumulative results of every treatment against the control, from the logs in one plan."""
-    exposed = exposed_users(
-        pageviews, first_variant_logs(assigned_variation, test), test, where=where, through=test.last_report(as_of)
-    )
+    """Cumulative results of every treatment against the control, from the logs in one plan.
+
+    Variants attach to views by session, or by the columns ``identities`` (``exposed_by_identity``).
+    """
+    exposed = exposures(pageviews, assigned_variation, test, as_of, where=where, identities=identities)
     metric_names = [f"{name} Rate" for name in metric_event_names]
     conversions = first_conversions(exposed, metric_event_days(metric_events, test), metric_names)
     return compare_with_control(cumulative_counts(conversions, test, as_of), test)

@@ -106,9 +106,8 @@ def ab_user_total_results(
     as_of: date,
     *,
     where: Column | None = None,
+    identities: Sequence[str] | None = None,
 ) -> DataFrame:
     """Cumulative results of every treatment against the control, with the columns of ``ab_variant_results``."""
-    exposed = experiments.exposed_users(
-        pageviews, experiments.first_variant_logs(assigned_variation, test), test, where=where, through=test.last_report(as_of)
-    )
+    exposed = experiments.exposures(pageviews, assigned_variation, test, as_of, where=where, identities=identities)
     return experiments.compare_stats(user_total_stats(exposed, metric_events, metrics, test, as_of), test)

@@ -147,3 +147,31 @@ def test_dominant_user_is_split_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("identities", [("user_id",), ("user_id", "session_id"), ("session_id",)])
+def test_exposure_by_identities(spark, identities):
+    views, logs, _ = experiment_logs()
+    rng = random.Random(2)
+    logs = [(None if rng.random() < 0.1 else s, None if rng.random() < 0.2 else f"u{rng.randrange(60)}" if rng.random() < 0.7 else "bot", t, n, v) for s, t, n, v in logs]
+    want = {}
+    for user, session, t, path in views:
+        for s, u, logged, name, variation in logs:
+            same = ("user_id" in identities and u is not None and u == user) or ("session_id" in identities and s is not None and s == session)
+            if same and name == "t" and TEST.start <= logged.date() <= TEST.end and logged <= t and path in TEST.exposure_paths:
+                want[user, variation] = min(t, want.get((user, variation), t))
+    pageviews = spark.createDataFrame(views, "user_id string, session_id string, time timestamp_ntz, path string").repartition(4)
+    assigned = spark.createDataFrame(logs, "session_id string, user_id string, time timestamp_ntz, testname string, variation string")
+    exposed = experiments.exposed_by_identity(pageviews, assigned, TEST, identities)
+    assert {(r.user_id, r.variation): r.first_exposure_time for r in exposed.collect()} == want and want
+    if identities == ("session_id",):
+        by_session = experiments.exposed_users(pageviews, experiments.first_variant_logs(assigned.filter("session_id is not null"), TEST), TEST)
+        assert sorted(map(str, by_session.collect())) == sorted(map(str, exposed.collect()))
+    results = experiments.ab_variant_results(pageviews, assigned, spark.createDataFrame([], "user_id string, metric_time timestamp_ntz, metric_event_name string"), ["D"], TEST, AS_OF, identities=identities)
+    assert results.count() > 0
+
+
+def test_exposure_by_identity_reads_each_log_once(spark):
+    for identities in (("user_id",), ("user_id", "session_id")):
+        plan = derive.Logs(spark, DATA).exposed_by(*identities)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 2 and plan.count("Join") == 1

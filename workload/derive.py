@@ -225,6 +225,9 @@ class Logs:
             self.pageviews(), experiments.first_variant_logs(self.assigned_variation(), TEST), TEST
         )
 
+    def exposed_by(self, *identities: str) -> DataFrame:
+        return experiments.exposed_by_identity(self.pageviews(), self.assigned_variation(), TEST, identities)
+
     def total_results(self, kind: str) -> DataFrame:
         metrics = [user_totals.UserMetric(name, kind) for name in METRIC_EVENTS]
         return user_totals.ab_user_total_results(

@@ -368,6 +368,8 @@ QUERIES: dict[str, Callable[[Logs], DataFrame]] = {
     "session_conversion_rate": session_conversion_rate,
     "first_variant_logs": first_variant_logs,
     "exposed_users": Logs.exposed,
+    "exposed_users_by_user": lambda logs: logs.exposed_by("user_id"),
+    "exposed_users_by_either": lambda logs: logs.exposed_by("user_id", "session_id"),
     "experiment_dates": experiment_dates,
     "user_date_pairs": user_date_pairs,
     "user_metric_events": user_metric_events,
