@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow
 from footfall.functions.rules import sql_array, sql_text
-from footfall.operators import classify, experiments, page_insights, user_totals
+from footfall.operators import classify, experiments, page_insights, rule_tables, user_totals
 
 MAIN = "elizabethwarren.com"
 
@@ -225,6 +225,9 @@ class Logs:
             self.pageviews(), experiments.first_variant_logs(self.assigned_variation(), TEST), TEST
         )
 
+    def pages_by_table(self) -> DataFrame:
+        return rule_tables.with_pages_by_table(self.hits(), rule_tables.page_rule_table(self.spark))
+
     def exposed_by(self, *identities: str) -> DataFrame:
         return experiments.exposed_by_identity(self.pageviews(), self.assigned_variation(), TEST, identities)
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from footfall.functions import rules
 from footfall.functions.dates import DateWindow, Years, calendar_columns, reporting_year
 from footfall.functions.urls import traffic_source
-from footfall.operators import classify, experiments, inference, monitoring, page_insights, reports, rollup
+from footfall.operators import classify, experiments, inference, monitoring, page_insights, reports, rollup, rule_tables
 from footfall.plans import jobs
 from footfall.sources import sinks, tables
 from workload.derive import (
@@ -72,6 +72,19 @@ def page_job(logs: Logs) -> DataFrame:
     return classify.with_pages(logs.hits()).select("event_id", "domain", "path", "page_job")
 
 
+def page_name_from_table(logs: Logs) -> DataFrame:
+    return logs.pages_by_table().select("event_id", "domain", "path", "page_name")
+
+
+def page_job_from_table(logs: Logs) -> DataFrame:
+    return logs.pages_by_table().select("event_id", "domain", "path", "page_job")
+
+
+def channel_from_table(logs: Logs) -> DataFrame:
+    rules_of_channels = rule_tables.channel_rule_table(logs.spark)
+    return rule_tables.with_channel_by_table(logs.hits(), rules_of_channels).select("event_id", "channel")
+
+
 def source(logs: Logs) -> DataFrame:
     return logs.hits().select("event_id", "query", traffic_source(F.col("query")).alias("source"))
 
@@ -344,6 +357,9 @@ QUERIES: dict[str, Callable[[Logs], DataFrame]] = {
     "state_group_page": state_group_page,
     "page_name": page_name,
     "page_job": page_job,
+    "page_name_from_table": page_name_from_table,
+    "page_job_from_table": page_job_from_table,
+    "channel_from_table": channel_from_table,
     "traffic_source": source,
     "channel": channel,
     "convert_event": convert_event,
