@@ -82,7 +82,9 @@ def label_events(logs: DataFrame, labels: Sequence[tuple[Column, object]], colum
 
 
 def union_logs(parts: Sequence[DataFrame]) -> DataFrame:
-    """All rows of several logs that have the same columns."""
+    """All rows of several logs (one at least) that have the same columns."""
+    if not parts:
+        raise ValueError("no log is given")
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)

@@ -37,37 +37,27 @@ def page_views(
     return with_channel(rows, channel_rules).select(*PAGE_VIEW_COLUMNS, *keep)
 
 
-# Views of one session in one hour beyond which they are numbered second by second. It picks the plan, not the numbers.
-CROWDED_HOUR = 50_000
-
-
-def with_session_sequence(views: DataFrame, tie_break: Sequence[str] = (), crowded: int = CROWDED_HOUR) -> DataFrame:
+def with_session_sequence(views: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Number the views of each session by time (``session_pv_seq``).
 
-    A session is numbered by units of time: hours, and seconds inside the hours that hold more than
-    ``crowded`` of its views. Counts by unit, pre-aggregated, give each unit its starting number, and rows
-    are sorted only inside their unit. A session that owns much of the traffic, or all views without a
-    session id, is thus spread over many tasks; most sessions have a single hour and no offset.
+    A session is numbered second by second: the views of each second, counted map-side from a narrow scan, give every
+    second its starting number, and rows are sorted only inside their second. A session that owns much of the traffic,
+    or all views without a session id, is thus spread over as many tasks as it has seconds; what is gathered by session
+    is one count for each of its seconds, which the length of the window bounds. No side is broadcast by hint: Spark
+    does so while the counts are few, and a session with a single second has none.
     """
     # A key that is never NULL: views without a session id are numbered together, and a plain equality
     # lets the join reuse the placement of the window.
-    hour = ["session_key", "date", "hour"]
-    unit = [*hour, "second"]
-    rows = views.selectExpr("*", "coalesce(concat('=', session_id), '') as session_key", "hour(time) as hour")
-    hourly = rows.groupBy(*hour).agg(F.count("*").alias("views"))
-    # At most one row for ``crowded`` views, so a broadcast is safe; a shuffled join would gather the very hours that are to be split.
-    full = F.broadcast(hourly.filter(F.col("views") > crowded).select(*hour, F.lit(True).alias("is_full")))
-    second = "if(is_full, minute(time) * 60 + second(time), -1) as second"
-    by_second = rows.join(full, hour).selectExpr(*hour, second).groupBy(*unit).agg(F.count("*").alias("views"))
-    by_unit = hourly.filter(F.col("views") <= crowded).selectExpr(*hour, "-1 as second", "views").unionByName(by_second)
-    offsets = by_unit.selectExpr(
+    unit = ["session_key", "second"]
+    rows = views.selectExpr("*", "coalesce(concat('=', session_id), '') as session_key", "date_trunc('SECOND', time) as second")
+    counts = rows.groupBy(*unit).agg(F.count("*").alias("views"))
+    offsets = counts.selectExpr(
         *unit,
-        """sum(views) over (partition by session_key order by date, hour, second
+        """sum(views) over (partition by session_key order by second
             rows between unbounded preceding and 1 preceding) as offset""",
     ).filter("offset > 0")
-    placed = rows.join(full, hour, "left").selectExpr(*views.columns, *hour, second)
     in_unit = Window.partitionBy(*unit).orderBy("time", *tie_break)
-    numbered = placed.withColumn("seq_in_unit", F.row_number().over(in_unit))
+    numbered = rows.withColumn("seq_in_unit", F.row_number().over(in_unit))
     return numbered.join(offsets, unit, "left").selectExpr(
         *views.columns, "seq_in_unit + coalesce(offset, 0L) as session_pv_seq"
     )
@@ -92,7 +82,9 @@ def page_engagement_events(
         (condition, F.struct(*[F.lit(v).alias(n) for n, v in zip(EVENT_LABELS, values)]))
         for condition, *values in labels
     ]
-    labelled = label_events(rows_in_window(logs, window, page), as_struct, "label")
+    # Without labels nothing is an event; the columns stay.
+    none = [(F.lit(False), F.struct(*[F.lit(None).cast("string").alias(n) for n in EVENT_LABELS]))]
+    labelled = label_events(rows_in_window(logs, window, page), as_struct or none, "label")
     return labelled.select("session_id", "time", "label.*")
 
 
@@ -100,7 +92,8 @@ def core_conversion_events(
     logs: DataFrame, window: DateWindow, labels: Sequence[tuple[Column, str]], *, where: Column | None = None
 ) -> DataFrame:
     """Core conversions anywhere on the site. ``labels`` rows: condition, event name."""
-    labelled = label_events(rows_in_window(logs, window, where), labels, "event_name")
+    none = [(F.lit(False), F.lit(None).cast("string"))]
+    labelled = label_events(rows_in_window(logs, window, where), labels or none, "event_name")
     return labelled.select(
         "session_id",
         "time",
@@ -110,42 +103,44 @@ def core_conversion_events(
     )
 
 
-def attach_events(first: DataFrame, events: DataFrame, *, after_view: bool) -> DataFrame:
+def attach_events(first: DataFrame, events: DataFrame, *, after_view: bool, combined: bool = False) -> DataFrame:
     """One row per session and event; sessions without an event keep one row with NULL event columns.
 
-    The same as ``first LEFT JOIN events``, in two parts, because a left join can split a dominant
-    session only on the side where it has a single row. The inner join has no such limit: AQE splits
-    the events of that session over many tasks. It does so only where both sides arrive straight from
-    a shuffle, hence a join key of its own: the first views may come out of a window that is already
-    placed by session. Sessions without an event are found against one pre-aggregated row per session.
+    The same as ``first LEFT JOIN events``, which could split a dominant session only on the side where it has a single
+    row. An inner join has no such limit: AQE splits the events of that session over many tasks. It does so only where
+    both sides arrive straight from a shuffle, hence a join key of its own: the first views may come out of a window
+    that is already placed by session. What matched is shuffled by session and time, and both the result and the search
+    for sessions that matched nothing read this one shuffle, so each log is read once.
+
+    ``combined`` says that the events are few per session (``latest_per_session``): a plain left join then serves.
     """
-    key = "concat('=', session_id) as join_key"
+    # A key that is never NULL asks for no filter below the sessions, so that both joins share their shuffle.
     sessions = first.selectExpr(
-        "session_id", "date", "time as pv_time", "device_type", "region", "state_group", "channel", "landing_page", key
-    )
-    occurred = events.selectExpr("time as e_time", *EVENT_LABELS, key)
-    matched = sessions.join(occurred, "join_key")
-    latest = events.groupBy("session_id").agg(F.max("time").alias("e_time")).select(
-        F.col("session_id").alias("e_session"), "e_time"
-    )
-    had_event = F.col("session_id") == F.col("e_session")
+        "session_id", "date", "time as pv_time", "device_type", "region", "state_group", "channel", "landing_page",
+        "coalesce(concat('=', session_id), '') as join_key",
+    )
+    occurred = events.selectExpr("time as e_time", *EVENT_LABELS, "concat('=', session_id) as event_key").filter("event_key is not null")
+    met = F.col("join_key") == F.col("event_key")
     if after_view:
-        matched = matched.filter("pv_time <= e_time")
-        had_event = had_event & (F.col("pv_time") <= F.col("e_time"))
-    unmatched = sessions.join(latest, had_event, "left_anti").withColumns(
-        {c: F.lit(None).cast("string") for c in EVENT_LABELS}
-    )
+        met = met & (F.col("pv_time") <= F.col("e_time"))
+    if combined:
+        return sessions.join(occurred, met, "left").select(*FUNNEL_COLUMNS)
+    # The check value makes both readers need the same columns, else each would have a shuffle of its own.
+    matched = sessions.join(occurred, met).select(*FUNNEL_COLUMNS, "join_key", "e_time").repartition("join_key", "e_time")
+    check = F.max(F.xxhash64(*FUNNEL_COLUMNS, "e_time")).alias("check")
+    had_event = matched.groupBy("join_key").agg(check).filter("check is not null").select("join_key")
+    unmatched = sessions.join(had_event, "join_key", "left_anti").withColumns({c: F.lit(None).cast("string") for c in EVENT_LABELS})
     return matched.select(*FUNNEL_COLUMNS).unionByName(unmatched.select(*FUNNEL_COLUMNS))
 
 
-def engagement(first: DataFrame, events: DataFrame) -> DataFrame:
+def engagement(first: DataFrame, events: DataFrame, *, combined: bool = False) -> DataFrame:
     """Sessions of the page with every engagement event of the session, whenever it happened."""
-    return attach_events(first, events, after_view=False)
+    return attach_events(first, events, after_view=False, combined=combined)
 
 
-def conversion(first: DataFrame, events: DataFrame) -> DataFrame:
+def conversion(first: DataFrame, events: DataFrame, *, combined: bool = False) -> DataFrame:
     """Sessions of the page with every core conversion at or after the first view."""
-    return attach_events(first, events, after_view=True)
+    return attach_events(first, events, after_view=True, combined=combined)
 
 
 def latest_per_session(events: DataFrame) -> DataFrame:

@@ -104,6 +104,8 @@ def run_page_insights(
         )
         for log, labels in conversions
     ]
+    # A page may have no log of one kind, or none at all: all its sessions are then without an event.
+    found = found or [views.select("session_id", "time", *[F.lit(None).cast("string").alias(c) for c in (*page_insights.EVENT_LABELS, "funnel")]).limit(0)]
     labelled = classify.union_logs(found).withColumn("date", F.to_date("time"))
     sinks.replace_page(labelled, f"{database}.page_insights_events", page)
 

@@ -3,7 +3,7 @@
 Parquet tables cannot delete rows, so a slice is a set of partitions. Partitions with new rows are
 swapped by dynamic partition overwrite when the whole write job has succeeded; only then are the
 partitions of the slice that received no rows dropped. A run that fails before the commit leaves the old
-slice in place, and repeating a run gives the same table.
+slice in place, and repeating a run gives the same table. Versioned tables (``versions``) change in one step instead.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow
 from footfall.functions.rules import sql_text
+from footfall.sources import versions
 
 
 def _in_table_order(rows: DataFrame, table: str) -> DataFrame:
@@ -95,6 +96,10 @@ def replace_dates(rows: DataFrame, table: str, window: DateWindow, *, rebalance:
     ``rebalance=False`` saves a shuffle when the input already arrives clustered by day.
     """
     in_window = rows.filter(window.has_date(F.col("date")))
+    if versions.is_versioned(rows.sparkSession, table):
+        days = {d.isoformat() for d in window.days()}
+        versions.replace_slice(in_window, table, lambda spec: spec["date"] in days, rebalance=rebalance)
+        return
     written = _swap_partitions(in_window, table, "date", rebalance)
     _drop_partitions(rows, table, [{"date": day} for day in window.days() if day not in written])
 
@@ -121,6 +126,9 @@ def replace_summary(rows: DataFrame, table: str, window: DateWindow, *, touched_
         weeks = [(d + timedelta(days=1)).isocalendar() for d in window.days()]
         scope |= {"weekly": {f"{w.year}-W{w.week:02}" for w in weeks}, "monthly": {f"{d:%Y-%m}" for d in window.days()}}
     chosen = stored.filter(" or ".join(f"grain = '{g}'" + ("" if known is None else f" and period in ({', '.join(map(sql_text, sorted(known)))})") for g, known in scope.items()))
+    if versions.is_versioned(rows.sparkSession, table):
+        versions.replace_slice(chosen, table, lambda spec: scope[spec["grain"]] is None or spec["period"] in scope[spec["grain"]])
+        return
     written = _swap_partitions(chosen.withColumn("mark", F.concat_ws(" ", "grain", "period")), table, "mark", True)
     stale = [
         x for x in _stored_partitions(rows, table)
@@ -131,7 +139,11 @@ def replace_summary(rows: DataFrame, table: str, window: DateWindow, *, touched_
 
 def replace_test(rows: DataFrame, table: str, testname: str) -> None:
     """Replace the rows of one test; other tests stay."""
-    written = _swap_partitions(rows.filter(F.col("testname") == testname), table, "testname", True)
+    of_test = rows.filter(F.col("testname") == testname)
+    if versions.is_versioned(rows.sparkSession, table):
+        versions.replace_slice(of_test, table, lambda spec: spec["testname"] == testname)
+        return
+    written = _swap_partitions(of_test, table, "testname", True)
     if testname not in written:
         _drop_partitions(rows, table, [{"testname": testname}])
 
@@ -141,6 +153,9 @@ def replace_page(rows: DataFrame, table: str, page: str) -> None:
 
     The page's days that are stored but no longer written are dropped.
     """
+    if versions.is_versioned(rows.sparkSession, table):
+        versions.replace_slice(rows.withColumn("page", F.lit(page)), table, lambda spec: spec["page"] == page)
+        return
     keys = [c for c in _partition_columns(rows, table) if c != "page"]
     mark = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION))) for c in keys])
     marked = rows.withColumn("page", F.lit(page)).withColumn("mark", mark)

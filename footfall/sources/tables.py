@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from footfall.sources.versions import create_versioned_table
+
 # Columns that the operators read from each log. Further columns may be present for filters.
 PAGEVIEW_COLUMNS = (
     "user_id", "session_id", "time", "device_type", "region", "domain", "path", "query",
@@ -88,9 +90,13 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, partitio
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitions}")
 
 
-def create_reporting_tables(spark: SparkSession, database: str) -> None:
+def create_reporting_tables(spark: SparkSession, database: str, *, versioned: bool = False) -> None:
+    """``versioned`` makes the partitioned ones views over versions, whose slices change in one step."""
     for name, (schema, partition_by) in PARTITIONS.items():
-        create_table(spark, f"{database}.{name}", schema, partition_by)
+        if versioned and partition_by:
+            create_versioned_table(spark, f"{database}.{name}", schema, partition_by)
+        else:
+            create_table(spark, f"{database}.{name}", schema, partition_by)
 
 
 def read_summary(spark: SparkSession, table: str) -> DataFrame:

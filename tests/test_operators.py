@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta
 from statistics import variance
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow, Years
@@ -128,8 +129,9 @@ def test_first_views(views):
     assert got == {k for k, n in expected_sequence().items() if n == 1}
 
 
+@pytest.mark.parametrize("combined", [False, True])
 @pytest.mark.parametrize("after_view", [True, False])
-def test_attached_events_equal_a_left_join(spark, views, after_view):
+def test_attached_events_equal_a_left_join(spark, views, after_view, combined):
     rng = random.Random(5)
     start = datetime(2021, 1, 1, 20)
     rows = [
@@ -143,7 +145,7 @@ def test_attached_events_equal_a_left_join(spark, views, after_view):
     first = page_insights.first_views(views, ["event_id"])
     got = Counter(
         (r.session_id, r.pv_time, r.event_name)
-        for r in page_insights.attach_events(first, events, after_view=after_view).collect()
+        for r in page_insights.attach_events(first, events, after_view=after_view, combined=combined).collect()
     )
     expected = Counter()
     for view in first.collect():
@@ -284,13 +286,23 @@ def test_no_report_before_the_test_starts(spark):
     assert experiments.experiment_dates(spark, limited, date(2022, 1, 1)).count() == 128
 
 
-@pytest.mark.parametrize("crowded", [0, 1, 3, 1000])
-def test_session_numbers_do_not_depend_on_the_crowd_limit(spark, crowded):
+def test_session_numbers_equal_a_plain_window(spark):
     logs = derive.Logs(spark, DATA)
     views = page_insights.page_views(logs.partly_anonymous_views(), derive.WINDOW, derive.home_page(), keep=["event_id"])
-    plain = {r.event_id: r.session_pv_seq for r in page_insights.with_session_sequence(views, ["event_id"]).collect()}
-    units = {r.event_id: r.session_pv_seq for r in page_insights.with_session_sequence(views, ["event_id"], crowded).collect()}
-    assert plain == units and max(plain.values()) > 10
+    in_session = Window.partitionBy("session_id").orderBy("time", "event_id")
+    plain = {r.event_id: r.n for r in views.select("event_id", F.row_number().over(in_session).alias("n")).collect()}
+    numbered = {r.event_id: r.session_pv_seq for r in page_insights.with_session_sequence(views, ["event_id"]).collect()}
+    assert plain == numbered and max(plain.values()) > 10
+
+
+def test_session_numbers_with_a_hot_second(spark):
+    views = spark.range(0, 30_000, 1, 6).selectExpr(
+        "if(id % 3 = 0, 'hot', if(id % 7 = 0, null, string(id % 400))) as session_id", "id as event_id",
+        "timestamp_ntz'2021-01-02 23:59:50' + make_dt_interval(0, 0, 0, if(id % 2 = 0, 0, (id * 7919) % 40) + (id % 5) / 10) as time",
+    )
+    in_session = Window.partitionBy("session_id").orderBy("time", "event_id")
+    both = page_insights.with_session_sequence(views, ["event_id"]).withColumn("plain", F.row_number().over(in_session))
+    assert both.filter("session_pv_seq <> plain").count() == 0 and both.count() == 30_000
 
 
 def test_years_are_not_merged_unless_asked(spark):

@@ -251,3 +251,17 @@ def test_scratch_tables_use_the_shared_folder(spark):
     table = scratch_table(spark, "probe", tables.REACH_EVENTS, ["date"])
     location = spark.sql(f"describe extended {table}").filter("col_name = 'Location'").first().data_type
     assert folder in location
+
+
+@pytest.mark.parametrize("kind", ["no logs", "no labels"])
+def test_page_without_events(spark, database, kind):
+    logs = derive.Logs(spark, SMALL)
+    given = [] if kind == "no logs" else [(logs.convert_logs(), [])]
+    jobs.run_page_insights(
+        logs.pageviews(), "home", derive.home_page(), given, given, database, derive.AS_OF, derive.BEGIN_OFFSET, derive.END_OFFSET,
+        tie_break=["event_id"],
+    )
+    sessions = logs.home_sessions().count()
+    for funnel in ("engagement", "conversion"):
+        stored = spark.table(f"{database}.page_insights_{funnel}")
+        assert stored.count() == sessions > 0 and stored.filter("event_type is not null").count() == 0

@@ -17,7 +17,7 @@ from footfall.functions.dates import DateWindow, Years, calendar_columns, report
 from footfall.functions.urls import traffic_source
 from footfall.operators import classify, experiments, inference, monitoring, page_insights, reports, rollup, rule_tables
 from footfall.plans import jobs
-from footfall.sources import sinks, tables
+from footfall.sources import sinks, tables, versions
 from workload.derive import (
     AS_OF,
     BEGIN_OFFSET,
@@ -33,7 +33,7 @@ from workload.derive import (
     home_page,
     issues_page,
 )
-from workload.scratch import scratch_reporting, scratch_table
+from workload.scratch import scratch_reporting, scratch_table, scratch_versioned
 
 # The years that the report of old covers; other queries leave them open.
 YEARS = Years(2018, 2021)
@@ -166,8 +166,8 @@ def page_engagement_convert(logs: Logs) -> DataFrame:
 
 def session_conversion_rate(logs: Logs) -> DataFrame:
     first = logs.home_sessions()
-    engaged = page_insights.engagement(first, page_insights.latest_per_session(logs.engagement_events()))
-    converted = page_insights.conversion(first, page_insights.latest_per_session(logs.core_events()))
+    engaged = page_insights.engagement(first, page_insights.latest_per_session(logs.engagement_events()), combined=True)
+    converted = page_insights.conversion(first, page_insights.latest_per_session(logs.core_events()), combined=True)
     return page_insights.session_conversion_rate(engaged.unionByName(converted))
 
 
@@ -244,6 +244,15 @@ def _without_one_day(logs: Logs) -> DataFrame:
     return logs.reach_events().filter(F.col("date") != F.date_sub(F.lit(AS_OF), 2))
 
 
+def versioned_window_replace(logs: Logs) -> DataFrame:
+    """The same on a versioned table, whose window changes in one step; old versions are removed."""
+    table = scratch_versioned(logs.spark, "versioned_window", tables.REACH_EVENTS, ["date"])
+    versions.replace_slice(logs.reach_events(None).withColumn("channel", F.lit("old")), table, lambda spec: True)
+    sinks.replace_dates(_without_one_day(logs), table, WINDOW)
+    versions.remove_old_versions(logs.spark, table)
+    return logs.spark.table(table)
+
+
 def window_replace(logs: Logs) -> DataFrame:
     """An old load of the whole month, then a re-run of the window."""
     table = scratch_table(logs.spark, "window_replace", tables.REACH_EVENTS, ["date"])
@@ -295,9 +304,9 @@ def reach_anonymous(logs: Logs) -> DataFrame:
 
 
 def session_pv_seq_anonymous(logs: Logs) -> DataFrame:
-    """Views without a session id are one crowd; a low limit numbers its hours by seconds."""
+    """Views without a session id are one crowd, numbered as one session."""
     views = page_insights.page_views(logs.partly_anonymous_views(), WINDOW, home_page(), keep=["event_id"])
-    return page_insights.with_session_sequence(views, ["event_id"], crowded=2)
+    return page_insights.with_session_sequence(views, ["event_id"])
 
 
 def reach_job_summary(logs: Logs) -> DataFrame:
@@ -403,6 +412,7 @@ QUERIES: dict[str, Callable[[Logs], DataFrame]] = {
     "ab_variant_counts": ab_variant_counts,
     "ab_daily_series": ab_daily_series,
     "window_replace": window_replace,
+    "versioned_window_replace": versioned_window_replace,
     "summary_replace": summary_replace,
     "ab_results_replace": ab_results_replace,
     "reach_weekly_total_open_years": open_years("Weekly"),

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from footfall.sources.tables import PARTITIONS, create_reporting_tables, create_table
+from footfall.sources.versions import create_versioned_table
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -38,6 +39,15 @@ def scratch_table(spark: SparkSession, name: str, schema: T.StructType, partitio
     return table
 
 
+def scratch_versioned(spark: SparkSession, name: str, schema: T.StructType, partition_by: Sequence[str]) -> str:
+    """As ``scratch_table``, a versioned one."""
+    table = scratch_table(spark, f"{name}_versions", schema, partition_by).removesuffix("_versions")
+    spark.sql(f"DROP TABLE {table}_versions")
+    spark.sql(f"DROP VIEW IF EXISTS {table}")
+    create_versioned_table(spark, table, schema, partition_by)
+    return table
+
+
 def scratch_reporting(spark: SparkSession, name: str) -> str:
     """A database with the reporting tables, empty, replacing the one of an earlier call in this application."""
     application = spark.sparkContext.applicationId
