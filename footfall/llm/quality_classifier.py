@@ -206,16 +206,15 @@ def score(features: DataFrame, model: Discriminant) -> DataFrame:
 
 
 def accepted(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of `documents` that score the threshold or more, each judged in its own row."""
+    """The rows of `documents` that score the threshold or more, each judged in its own row; only texts go through Python."""
     model = fit(stored(with_statistics(documents, key, text), "statistics"), labels)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [model.score(statistics(data, starts)) for _, data, starts in text_slices(batch, text)]
-            if scores:
-                yield batch.filter(pa.array(np.concatenate(scores) >= threshold))
+    def judged(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        scores = [model.score(statistics(data, starts)) for _, data, starts in text_slices(batch, "text")]
+        return pa.array(np.concatenate(scores) >= threshold if scores else np.zeros(0, bool))
 
-    return documents.mapInArrow(rows, documents.schema)
+    return documents.filter(F.arrow_udf(judged, "boolean")(F.col(text).cast("string")))
 
 
 def classify(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
