@@ -139,7 +139,8 @@ def first_match(rules: Iterable[tuple[Column, object]], otherwise: object = None
 
 def any_of(conditions: Iterable[Column]) -> Column:
     """Whether one of the conditions holds; none does if there are none."""
-    return reduce(or_, conditions, F.lit(False))
+    held = list(conditions)
+    return reduce(or_, held) if held else F.lit(False)
 
 
 def sql_text(value: str | None) -> str:

@@ -62,16 +62,21 @@ def _sentence(template: str, values: dict[str, str]) -> str:
 
 
 def with_interpretation(inference: DataFrame) -> DataFrame:
-    """Sentence that explains each result; NULL when significance is unknown."""
-    values = {
-        "lower": plain_number("confidence_interval_lower", 4),
-        "upper": plain_number("confidence_interval_upper", 4),
-        "diff": plain_number("diff", 4),
-        "percent": plain_number("diff_pct * 100", 2),
-        "mde": plain_number("mde_80", 4),
-    }
-    return with_significance(inference).selectExpr(
+    """Sentence that explains each result; NULL when significance is unknown.
+
+    The numbers are written once, before the sentence is chosen: both sentences name the interval, and a method that
+    formats all numbers twice would outgrow what the JVM compiles.
+    """
+    four = ("confidence_interval_lower", "confidence_interval_upper", "diff", "mde_80")
+    judged = with_significance(inference)
+    written = judged.selectExpr(
         "*",
+        f"transform(array({', '.join(four)}), number -> {plain_number('number', 4)}) as said_",
+        f"{plain_number('diff_pct * 100', 2)} as percent_",
+    )
+    values = {name: f"said_[{i}]" for i, name in enumerate(("lower", "upper", "diff", "mde"))} | {"percent": "percent_"}
+    return written.selectExpr(
+        *judged.columns,
         f"""case
             when is_significant then {_sentence(SIGNIFICANT_TEXT, values)}
             when not is_significant then {_sentence(NOT_SIGNIFICANT_TEXT, values)} end as interpretation""",

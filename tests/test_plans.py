@@ -2,7 +2,7 @@
 
 import pytest
 
-from footfall.operators import page_insights
+from footfall.operators import classify, inference, page_insights, reports
 from tests.conftest import DATA
 from workload import derive
 from workload.queries import registered
@@ -110,3 +110,23 @@ def test_dominant_session_is_split_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_generated_methods_stay_below_the_compilers_limit(spark, tmp_path):
+    """HotSpot interprets methods of more than 8000 bytes. Logs are stored first, as those of a site are."""
+    logs = derive.Logs(spark, DATA)
+    for name in ("pageviews", "conversions"):
+        getattr(logs, name)().write.parquet(str(tmp_path / name))
+    views, conversions = (spark.read.parquet(str(tmp_path / name)) for name in ("pageviews", "conversions"))
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$").__getattr__("MODULE$")
+    frames = {
+        "reach": classify.classify_pageviews(views, derive.WINDOW),
+        "conversions": classify.classify_conversions(conversions, derive.WINDOW, logs.ads_metadata()),
+        "interpretation": reports.with_interpretation(inference.ab_variant_inference(logs.ab_results())),
+        "t-test": inference.ab_t_inference(logs.total_results("Sum")),
+        "tables": logs.pages_by_table(),
+    }
+    for name, frame in frames.items():
+        frame.collect()
+        stages = debug.codegenStringSeq(frame._jdf.queryExecution().executedPlan())
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000, name
