@@ -1,7 +1,7 @@
 """N-gram Jaccard join of documents on sets of word shingles.
 
-Shingles are hashed to tokens whose leading byte is their rarity: a corpus-wide count, kept in a table of fixed size, of
-all shingles with the same hash prefix. Tokens in their natural order are therefore rare first. Two sets of Jaccard
+Shingles are hashed to tokens whose leading byte is their rarity: a corpus-wide count of all shingles with the same hash
+prefix, kept in a table that grows with the corpus (up to `MOST_RARITY_BITS`). Tokens in their natural order are therefore rare first. Two sets of Jaccard
 similarity t share a token among the first n - ceil(t n) + 1 of each, so only these prefixes are joined; length,
 positional and suffix filters drop most pairs, and each remaining pair is verified once on its whole sets.
 
@@ -25,13 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components
-from footfall.llm.shared import COUNT_BLOCKS, COUNTS, count_batch, dense_rows, merged_counts, mixed, stored, text_slices, word_hashes
+from footfall.llm.shared import COUNT_BLOCKS, COUNTS, byte_counts, count_batch, merged_counts, mixed, read_bytes, stored, text_slices, word_hashes
 
 SHINGLE = 5
 #: Similarity as a percentage.
 PERCENT = 80
-#: Entries of the rarity table; it is broadcast as one byte an entry.
-RARITY_BITS = 20
+#: Entries of the rarity table, as powers of 2: enough for `CELL_CHARS` characters of text an entry, within these limits.
+#: It is broadcast as one byte an entry, and each task sends one byte an entry.
+LEAST_RARITY_BITS, MOST_RARITY_BITS, CELL_CHARS = 14, 22, 24
 #: Parts of the token space, 64 to a word; the suffix filter compares which of them two sets occupy.
 PART_WORDS = 16
 PARTS = 64 * PART_WORDS
@@ -62,29 +63,37 @@ def shingles(data: np.ndarray, starts: np.ndarray, size: int = SHINGLE) -> tuple
     return np.concatenate([codes[whole], code]), np.concatenate([docs[: len(codes)][whole], short])
 
 
+def rarity_bits(chars: int) -> int:
+    return min(MOST_RARITY_BITS, max(LEAST_RARITY_BITS, (chars // CELL_CHARS).bit_length()))
+
+
 def rarity(documents: DataFrame, text: str = "text") -> np.ndarray:
-    """A byte for each hash prefix: the higher, the more shingles of the corpus have it."""
+    """A byte for each hash prefix: the higher, the more shingles of the corpus have it; a task counts up to 255 of each."""
     source = documents.select(F.col(text).cast("string").alias("text"))
+    bits = rarity_bits(source.agg(F.sum(F.length("text"))).first()[0] or 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << RARITY_BITS, np.int64)
+        total = np.zeros(1 << bits, np.uint8)
         for batch in batches:
             for _, data, starts in text_slices(batch, "text"):
-                total += np.bincount((shingles(data, starts)[0] >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(total))
-        rows = list(dense_rows("sum", TaskContext.get().partitionId(), total))
-        if rows:
+                cells, times = np.unique(shingles(data, starts)[0] >> np.uint64(64 - bits), return_counts=True)
+                cells = cells.astype(np.int64)
+                total[cells] = np.minimum(total[cells] + times, 255)
+        if rows := list(byte_counts("low", TaskContext.get().partitionId(), total)):
             yield count_batch(rows)
 
-    total, size = np.zeros(1 << RARITY_BITS), (1 << RARITY_BITS) // COUNT_BLOCKS
-    for r in merged_counts(source.mapInArrow(count, COUNTS), max(1, source.rdd.getNumPartitions())).collect():
-        total[r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(r["data"], np.uint32)
-    return np.minimum(np.round(np.log2(total + 1) * 6), 127).astype(np.uint8)
+    rare, size = np.zeros(1 << bits, np.uint8), (1 << bits) // COUNT_BLOCKS
+    parts = max(1, source.rdd.getNumPartitions())
+    for r in merged_counts(source.mapInArrow(count, COUNTS), parts).toLocalIterator():
+        rare[r["block"] * size : (r["block"] + 1) * size] = np.minimum(np.round(np.log2(read_bytes(r["data"]) + 1.0) * 6), 127)
+    return rare
 
 
 def token_sets(data: np.ndarray, starts: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct tokens of each text, rare first, and where each text's start (with the end)."""
     hashes, docs = shingles(data, starts)
-    tokens = (rare[(hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (hashes >> np.uint64(8))
+    bits = len(rare).bit_length() - 1
+    tokens = (rare[(hashes >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (hashes >> np.uint64(8))
     order = np.lexsort((tokens, docs))
     tokens, docs = tokens[order].astype(np.int64), docs[order]
     if len(tokens):

@@ -153,13 +153,18 @@ def count_rows(kind: str, part: int, cells: np.ndarray, counts: np.ndarray, bloc
             yield kind, b, part, sparse_counts(cells[at] - b * block_cells, counts[at])
 
 
-def dense_rows(kind: str, part: int, counts: np.ndarray) -> Iterator[tuple]:
-    """COUNTS rows of a table of counts; kind sum."""
-    for b, block in enumerate(counts.astype(np.uint32).reshape(COUNT_BLOCKS, -1)):
+def byte_counts(kind: str, part: int, counts: np.ndarray) -> Iterator[tuple]:
+    """COUNTS rows of a table of counts up to 255; kind low."""
+    for b, block in enumerate(counts.astype(np.uint8).reshape(COUNT_BLOCKS, -1)):
         if block.any():
             yield kind, b, part, block.tobytes()
 
 
+def read_bytes(data: bytes) -> np.ndarray:
+    """The counts of a part of kind low: a byte each, or two behind an odd first byte in sums of parts."""
+    return np.frombuffer(data, np.uint16, offset=1) if len(data) % 2 else np.frombuffer(data, np.uint8)
+
+
 def count_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["kind", "block", "part", "data"])
@@ -168,8 +173,11 @@ def count_batch(rows: list[tuple]) -> pa.RecordBatch:
 def _merged(kind: str, parts: list[bytes]) -> bytes:
     if kind.startswith("any"):  # bits
         return np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in parts]).tobytes()
-    if kind.startswith("sum"):  # dense counts
-        return np.sum([np.frombuffer(x, np.uint32) for x in parts], axis=0, dtype=np.uint64).clip(max=2**32 - 1).astype(np.uint32).tobytes()
+    if kind.startswith("low"):  # small counts, added up one part at a time
+        total = np.zeros(len(read_bytes(parts[0])), np.uint32)
+        for x in parts:
+            total += read_bytes(x)
+        return b"\0" + total.clip(max=2**16 - 1).astype(np.uint16).tobytes()
     pairs = [read_sparse(x) for x in parts]
     cells, counts = counted(np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]))
     return sparse_counts(cells, counts.clip(max=2**32 - 1))
@@ -178,7 +186,7 @@ def _merged(kind: str, parts: list[bytes]) -> bytes:
 def merged_counts(parts: DataFrame, partitions: int) -> DataFrame:
     """COUNTS rows of `partitions` tasks -> one row per kind and block; merged in levels of MERGED_PARTS parts.
 
-    The kind's prefix says how: any (bits), sum (dense unsigned 32-bit counts), few (sparse counts).
+    The kind's prefix says how: any (bits), low (dense counts), few (sparse counts).
     """
     import pandas as pd
 
