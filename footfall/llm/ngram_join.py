@@ -180,15 +180,15 @@ def room_in_parts(x: str, y: str, n: Column, m: Column, percent: int) -> Column:
 def _as_side(sets: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """n and bits of one side's documents, named after it; only of documents that it has."""
     wanted = few_or_all(stored(ids.select(F.col(name).alias("doc")).distinct(), "side"))
-    held = sets.join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
+    held = sets.join(wanted, "doc", "left_semi").select("doc", "n", *BITS).distinct()
     return held.select(F.col("doc").alias(name), F.col("n").alias(f"n_{name}"), *[F.col(b).alias(f"{name}_{b}") for b in BITS])
 
 
 def suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose parts leave room for enough common tokens; with their needed_ intersection."""
+    """Pairs (a, b) whose parts leave room for enough common tokens."""
     joined = pairs.join(_as_side(sets, pairs, "a"), "a").join(_as_side(sets, pairs, "b"), "b")
     kept = joined.filter(room_in_parts("a_bits", "b_bits", F.col("n_a"), F.col("n_b"), percent))
-    return kept.select("a", "b", needed(F.col("n_a"), F.col("n_b"), percent).alias("needed_"))
+    return kept.select("a", "b").distinct()
 
 
 def few_or_all(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
@@ -196,8 +196,8 @@ def few_or_all(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= most else ids
 
 
-def verified(pairs: DataFrame, documents: DataFrame, rare, key: str, text: str) -> DataFrame:
-    """Of the pairs (a, b, needed_) those whose whole sets share enough tokens."""
+def verified(pairs: DataFrame, documents: DataFrame, rare, key: str, text: str, percent: int) -> DataFrame:
+    """Of the pairs (a, b) those whose whole sets share enough tokens; an id with several texts links by any of them."""
     wanted = stored(pairs.selectExpr("explode(array(a, b)) as doc").distinct(), "wanted")
     source = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).join(few_or_all(wanted), "doc", "left_semi")
 
@@ -212,7 +212,8 @@ def verified(pairs: DataFrame, documents: DataFrame, rare, key: str, text: str)
     left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("tokens_a"))
     right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tokens_b"))
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.filter(F.size(F.array_intersect("tokens_a", "tokens_b")) >= F.col("needed_")).select("a", "b")
+    enough = needed(F.size("tokens_a"), F.size("tokens_b"), percent)
+    return joined.filter(F.size(F.array_intersect("tokens_a", "tokens_b")) >= enough).select("a", "b")
 
 
 def first_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -232,12 +233,12 @@ def first_pairs(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def crossing_pairs(lists: DataFrame, linked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, needed_) of documents that share a prefix token, pass all filters and are in different components."""
+    """Pairs (a, b) of documents that share a prefix token, pass all filters and are in different components."""
     labelled = lists.join(linked.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
     several = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token")
     open_rows = stored(labelled.join(several, "token"), "open")
     docs = few_or_all(stored(open_rows.select("doc").distinct(), "docs"))
-    held = sets.join(docs, "doc", "left_semi").dropDuplicates(["doc"]).select("doc", *BITS)
+    held = sets.join(docs, "doc", "left_semi").select("doc", *BITS).distinct()
     open_lists = open_rows.join(held, "doc")
 
     def side(name: str) -> DataFrame:
@@ -250,7 +251,7 @@ def crossing_pairs(lists: DataFrame, linked: DataFrame, sets: DataFrame, percent
     met = side("x").join(side("y"), "token").filter(
         apart & may_link(n, F.col("at_x"), m, F.col("at_y"), percent) & room_in_parts("x_bits", "y_bits", n, m, percent)
     )
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), needed(n, m, percent).alias("needed_")).distinct()
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicate_groups(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -263,26 +264,37 @@ def near_duplicate_groups(documents: DataFrame, key: str = "doc_id", text: str =
     copies = classes.filter("rows > 1").select(*same, "class_id")
     # one row a class: those of classes of one document, and the first of the others
     sets = every.filter("n > 0 and doc is not null")
-    spare = stored(sets.select("doc", *same).join(copies, list(same)).filter("doc > class_id").select("doc").distinct(), "spare")
-    reps = sets.join(few_or_all(spare), "doc", "left_anti")
+    spare = stored(sets.select("doc", *same).join(copies, list(same)).filter("doc > class_id").select("doc", *same).distinct(), "spare")
+    reps = sets.join(few_or_all(spare), ["doc", *same], "left_anti")
     lists = stored(postings(reps), "postings")
-    links = stored(verified(stored(suffix_filter(stored(first_pairs(lists, percent), "first"), sets, percent), "pairs"), documents, rare, key, text), "links")
+    links = stored(verified(stored(suffix_filter(stored(first_pairs(lists, percent), "first"), sets, percent), "pairs"), documents, rare, key, text, percent), "links")
     linked = components(links.distinct())
     crossing = stored(crossing_pairs(lists, linked, sets, percent), "pairs")
     if crossing.take(1):
-        links = links.unionByName(stored(verified(crossing, documents, rare, key, text), "links"))
+        links = links.unionByName(stored(verified(crossing, documents, rare, key, text, percent), "links"))
         linked = components(links.distinct())
     of_class = linked.select(F.col("node").alias("class_id"), F.col("root"))
     named = classes.select(*same, "class_id").join(of_class, "class_id", "left")
-    joined = every.select("doc", *same).join(named, list(same), "left")
-    return joined.select(
+    joined = every.select("doc", *same).join(named, list(same), "left").select("doc", "n", "class_id", F.coalesce("root", "class_id", "doc").alias("root"))
+    rows = stored(one_node_an_id(stored(joined, "rows")), "groups")
+    return rows.select(
         F.col("doc").alias(key),
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc").isNotNull(), F.coalesce("class_id", "doc")).alias("class_id"),
-        F.when(F.col("doc").isNotNull(), F.coalesce("root", "class_id", "doc")).alias("component_id"),
+        F.when(F.col("doc").isNotNull(), F.col("root")).alias("component_id"),
     )
 
 
+def one_node_an_id(rows: DataFrame) -> DataFrame:
+    """`rows` with the components joined that an id with several texts belongs to."""
+    ids = rows.filter("doc is not null").groupBy("doc").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    bridges = stored(rows.join(ids.filter("low < high"), "doc").filter("root > low").select(F.col("root").alias("a"), F.col("low").alias("b")).distinct(), "bridges")
+    if not bridges.take(1):
+        return rows
+    moved = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("moved"))
+    return rows.join(moved, "root", "left").withColumn("root", F.coalesce("moved", "root")).drop("moved")
+
+
 def one_of_each_group(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """`documents` with the one of the smallest id of each component; rows without an id stay."""
     groups = stored(near_duplicate_groups(documents, key, text, percent).select(F.col(key).alias("id"), "component_id"), "groups")

@@ -63,6 +63,28 @@ def test_ngram_join_of_groups_chains_and_borders(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == component
 
 
+def test_an_id_with_several_texts_is_one_node(spark):
+    a, b, c, d = (prose(30 + k, 60) for k in range(4))
+    near = " ".join(b.split(" ")[:-2])
+    rows = [(1, a), (5, a), (5, b), (9, near), (7, c), (7, d), (8, d), (3, c), (2, prose(40, 60)), (2, prose(41, 60)), (6, None), (6, prose(41, 60))]
+    component, _ = joined_by_hand(rows)
+    assert {component[i] for i in (1, 5, 9)} == {1} and component[8] == 3 and component[6] == 2
+    got = ngram_join.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.component_id, r.n_shingles) in {(component[r.doc_id], len(shingle_set(t))) for i, t in rows if i == r.doc_id}
+
+
+def test_rarity_table_grows_with_the_text(spark):
+    assert [ngram_join.rarity_bits(n) for n in (0, 10_000, 10_000_000, 10**12)] == [14, 14, 19, 22]
+    docs = spark.createDataFrame([(i, "one two three four five " * (1 + i % 2) + prose(i, 40)) for i in range(300)], "doc_id long, text string").repartition(3)
+    rare = ngram_join.rarity(docs)
+    code = ngram_join.shingles(np.frombuffer(b"one two three four five", np.uint8), np.array([0, 23]))[0]
+    assert len(rare) == 1 << 14
+    # log2 of the 450 places, up to 255 of a task, times 6
+    assert rare[int(code[0] >> np.uint64(50))] == round(float(np.log2(451)) * 6) and int(np.median(rare)) < 15
+
+
 def test_one_of_each_group_keeps_the_smallest_id_and_all_columns(spark):
     docs = edge_documents(spark)
     component, _ = joined_by_hand([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
