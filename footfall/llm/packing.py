@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.shared import stored
+from footfall.llm.shared import give_back, stored
 
 LENGTH = 1024
 OPEN_WINDOWS = 64
@@ -246,6 +246,7 @@ def _partition_packer(tokenizer_path: str, length: int, open_windows: int, schem
         windows.close()
         if rows.rows:
             yield batch()
+        give_back()
 
     return pack_partition
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,6 +18,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: Text handled at once by the numpy kernels; one longer document is handled alone.
 SLICE_BYTES = 1 << 20
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _local_folder: list[str] = []
 
 
@@ -61,7 +63,8 @@ def let(value: Column, body) -> Column:
 def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """For runs of rows of about SLICE_BYTES: the rows, their UTF-8 bytes, and where each text starts in these (with the end).
 
-    Null is empty.
+    Null is empty. What the slices took is given back to the system when the batch is done: Python workers are reused,
+    and what they keep is missing to the tasks and stages that follow.
     """
     texts = batch.column(column).fill_null("").cast(pa.large_string())
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -71,6 +74,15 @@ def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[slice, np.
         last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE_BYTES, "right")) - 1)
         yield slice(first, last), data[ends[first] : ends[last]], ends[first : last + 1] - ends[first]
         first = last
+    del texts, ends, data
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
