@@ -52,7 +52,9 @@ def test_ngram_join_of_edge_cases(spark):
             assert r.component_id is None
 
 
-def test_ngram_join_of_groups_chains_and_borders(spark):
+@pytest.mark.parametrize("border", [0, ngram_join.BORDER, 1 << 20])
+def test_ngram_join_of_groups_chains_and_borders(spark, monkeypatch, border):
+    monkeypatch.setattr(ngram_join, "BORDER", border)
     texts = near_copies(11, 60) + near_copies(12, 25, 200, 20) + [prose(13, 9)] * 3
     base = prose(14, 104).split(" ")  # 100 shingles; a chain in which only neighbours link
     texts += [" ".join(base[k : k + 84]) for k in range(0, 21, 3)]
