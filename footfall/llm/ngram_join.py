@@ -7,7 +7,8 @@ positional and suffix filters drop most pairs, and each remaining pair is verifi
 
 Equal sets are one class and are joined once. A group of near copies does not become all its pairs: each document of
 a posting list is first verified against the list's centre, and after that only pairs of documents that are not
-yet connected are verified. No link between different components is lost, and none inside one is needed.
+yet connected are verified; tokens with the same documents meet them once. No link between different components is
+lost, and none inside one is needed.
 
 Defined results: a text of fewer words than a shingle is its whole word sequence as one shingle; null and blank texts
 have no shingle and link with nothing; rows that repeat an id are one node; rows without an id link with nothing; an empty
@@ -33,7 +34,7 @@ PERCENT = 80
 #: Entries of the rarity table, as powers of 2: enough for `CELL_CHARS` characters of text an entry, within these limits.
 #: It is broadcast as one byte an entry, and each task sends one byte an entry.
 LEAST_RARITY_BITS, MOST_RARITY_BITS, CELL_CHARS = 14, 22, 24
-#: Parts of the token space, 64 to a word; the suffix filter compares which of them two sets occupy.
+#: Parts of the token space, 64 to a word; the suffix filter compares in which of them two sets have an odd number of tokens.
 PART_WORDS = 16
 PARTS = 64 * PART_WORDS
 BITS = [f"bits{i}" for i in range(PART_WORDS)]
@@ -106,8 +107,17 @@ def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
 
 
+def odd_parts(tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """PART_WORDS words a set, of the tokens of sets of n each: the bits of parts that have an odd number of its tokens."""
+    words = np.zeros(len(n) * PART_WORDS, np.uint64)
+    part = tokens.astype(np.uint64) & np.uint64(PARTS - 1)
+    place = np.repeat(np.arange(len(n)) * PART_WORDS, n) + (part >> np.uint64(6)).astype(np.int64)
+    np.bitwise_xor.at(words, place, np.uint64(1) << (part & np.uint64(63)))
+    return words.view(np.int64).reshape(-1, PART_WORDS)
+
+
 def signed(documents: DataFrame, rare, key: str, text: str, percent: int) -> DataFrame:
-    """(doc, n, sign1, sign2, prefix, bits..) of every document: set size, a 128-bit sum over the set, its prefix, the parts it occupies."""
+    """(doc, n, sign1, sign2, prefix, bits..) of every document: set size, a 128-bit sum over the set, its prefix, the parts with an odd number of its tokens."""
     source = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +131,7 @@ def signed(documents: DataFrame, rare, key: str, text: str, percent: int) -> Dat
                 size = prefix_sizes(n, percent)
                 place = np.arange(len(tokens)) - np.repeat(at[:-1], n)
                 prefix = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), tokens[place < np.repeat(size, n)])
-                held = np.zeros(len(n) * PARTS, np.uint8)
-                held[np.repeat(np.arange(len(n)), n) * PARTS + (tokens & (PARTS - 1))] = 1
-                words = np.packbits(held, bitorder="little").view(np.int64).reshape(-1, PART_WORDS)
+                words = odd_parts(tokens, n)
                 columns = [batch.column("doc").slice(part.start, part.stop - part.start), pa.array(n), *map(pa.array, signs), prefix]
                 columns += [pa.array(np.ascontiguousarray(words[:, i])) for i in range(PART_WORDS)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", "n", "sign1", "sign2", "prefix", *BITS])
@@ -170,7 +178,7 @@ def may_link(n: Column, at: Column, m: Column, to: Column, percent: int) -> Colu
 
 
 def room_in_parts(x: str, y: str, n: Column, m: Column, percent: int) -> Column:
-    """Suffix filter: a part that one set occupies and the other doesn't is a token that they don't share."""
+    """Suffix filter: where one set has an odd number of tokens and the other an even one, there is a token that they don't share."""
     apart = F.bit_count(F.col(f"{x}0").bitwiseXOR(F.col(f"{y}0")))
     for i in range(1, PART_WORDS):
         apart = apart + F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}")))
@@ -252,11 +260,30 @@ def first_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return best.select(F.least("doc", other).alias("a"), F.greatest("doc", other).alias("b")).distinct()
 
 
+def distinct_lists(labelled: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One token of each list of documents (token, doc, n, root) of several components.
+
+    Near copies share many tokens, and most of these have the same documents. The filters hold for a linked pair at
+    every token that it shares, so one of them tells as much as all. A list is known by its size and 128 bits
+    of sums over its documents. `repeated`: ids of several texts; their lists are kept one by one, as the
+    text that a row stands for is not known.
+    """
+    marked = labelled.join(repeated.select("doc", F.lit(True).alias("twice")), "doc", "left")
+    halves = []
+    for code in (F.xxhash64("doc"), F.xxhash64(F.lit(SHINGLE), "doc")):
+        halves += [code.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(code, 32)]
+    sums = [F.sum(h).alias(f"sum{i}") for i, h in enumerate(halves)]
+    found = marked.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), F.max("twice").alias("twice"), *sums)
+    own = F.when(F.col("twice"), F.col("token")).alias("own")
+    return found.filter("low < high").groupBy("size", *[f"sum{i}" for i in range(len(sums))], own).agg(F.min("token").alias("token")).select("token")
+
+
 def crossing_pairs(lists: DataFrame, linked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of documents that share a prefix token, pass all filters and are in different components."""
     labelled = lists.join(linked.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-    several = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token")
-    open_rows = stored(labelled.join(several, "token"), "open")
+    repeated = stored(sets.select("doc", "n", "sign1", "sign2").distinct().groupBy("doc").count().filter("count > 1").select("doc"), "repeated")
+    several = stored(distinct_lists(labelled, few_or_all(repeated)), "lists")
+    open_rows = stored(labelled.join(few_or_all(several), "token"), "open")
     docs = few_or_all(stored(open_rows.select("doc").distinct(), "docs"))
     held = sets.join(docs, "doc", "left_semi").select("doc", *BITS).distinct()
     open_lists = open_rows.join(held, "doc")

@@ -77,6 +77,31 @@ def test_an_id_with_several_texts_is_one_node(spark):
         assert (r.component_id, r.n_shingles) in {(component[r.doc_id], len(shingle_set(t))) for i, t in rows if i == r.doc_id}
 
 
+def test_tokens_with_the_same_documents_meet_once(spark):
+    rows = [(t, d, 9, 1) for t in range(40) for d in (1, 2)]  # one list 40 times
+    rows += [(t, d, 9, d) for t in range(100, 110) for d in (1, 2, 3)] + [(t, d, 9, d) for t in range(200, 220) for d in (2, 3)]
+    rows += [(t, d, 9, d) for t in range(300, 305) for d in (3, 4)]  # 4 has several texts
+    lists = spark.createDataFrame(rows, "token long, doc long, n long, root long")
+    got = ngram_join.distinct_lists(lists, spark.createDataFrame([(4,)], "doc long"))
+    assert sorted(r.token for r in got.collect()) == [100, 200, 300, 301, 302, 303, 304]
+
+
+def test_parts_tell_large_sets_apart(spark):
+    r = np.random.default_rng(3)
+    own, common = r.integers(0, 1 << 62, (2, 600)), r.integers(0, 1 << 62, 1400)  # of 2000 tokens 1400 in common: 54 %, not 80 %
+    sets = [np.concatenate([common, x]) for x in own] + [np.concatenate([common, own[0][:500], own[1][:100]])]
+    words = ngram_join.odd_parts(np.concatenate(sets), np.array([2000, 2000, 2000]))
+    by_hand = np.zeros((3, ngram_join.PARTS), int)
+    for i, s in enumerate(sets):
+        np.add.at(by_hand[i], s & (ngram_join.PARTS - 1), 1)
+    assert np.array_equal(np.unpackbits(words.view(np.uint8), axis=1, bitorder="little"), by_hand % 2)
+    names = [f"{side}{i}" for side in "ab" for i in range(ngram_join.PART_WORDS)]
+    pairs = spark.createDataFrame([[int(x) for k in p for x in words[k]] for p in ((0, 1), (0, 2), (1, 1))], ", ".join(f"{c} long" for c in names))
+    n = F.lit(2000)
+    kept = pairs.select(ngram_join.room_in_parts("a", "b", n, n, 80).alias("kept")).collect()
+    assert [x.kept for x in kept] == [False, True, True]
+
+
 def test_rarity_table_grows_with_the_text(spark):
     assert [ngram_join.rarity_bits(n) for n in (0, 10_000, 10_000_000, 10**12)] == [14, 14, 19, 22]
     docs = spark.createDataFrame([(i, "one two three four five " * (1 + i % 2) + prose(i, 40)) for i in range(300)], "doc_id long, text string").repartition(3)
