@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from datetime import date, timedelta
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.dates import DateWindow
@@ -51,14 +51,26 @@ def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def _swap_partitions(rows: DataFrame, table: str, column: str, rebalance: bool) -> set:
-    """Overwrite the partitions that ``rows`` fill; return the values of ``column`` that were written.
+def _after_its_plan(rows: DataFrame, written: Observation, values: Column, where: Column) -> DataFrame:
+    """``rows`` that pass ``where``, of which the distinct ``values`` are observed.
+
+    The filter follows the observation, and Spark moves none below one. A filter on the columns that a roll-up names its
+    groups by would else be moved below its aggregation, to every row of the fan-out.
+    """
+    return rows.observe(written, F.collect_set(F.when(where, values)).alias("values")).filter(where)
+
+
+def _swap_partitions(rows: DataFrame, table: str, column: str, rebalance: bool, where: Column | None = None) -> set:
+    """Overwrite the partitions that ``rows`` (those that pass ``where``) fill; return the values of ``column`` that were written.
 
     The values are collected by the write job itself. They are partition values of one slice: days of
     a window, grains or tests.
     """
     written = Observation()
-    observed = rows.observe(written, F.collect_set(F.col(column)).alias("values"))
+    if where is None:
+        observed = rows.observe(written, F.collect_set(F.col(column)).alias("values"))
+    else:
+        observed = _after_its_plan(rows, written, F.col(column), where)
     if rebalance:
         observed = _rebalanced(observed, _partition_columns(rows, table))
     with _overwrite_mode(rows.sparkSession, "dynamic"):
@@ -67,7 +79,8 @@ def _swap_partitions(rows: DataFrame, table: str, column: str, rebalance: bool)
         return set(written.get["values"])
     except Py4JJavaError:
         # Spark keeps no metrics of a plan that it finds to be empty. Ask the rows instead of assuming so.
-        return {r[0] for r in rows.select(column).distinct().collect()}
+        asked = rows if where is None else rows.filter(where)
+        return {r[0] for r in asked.select(column).distinct().collect()}
 
 
 def _partition_columns(rows: DataFrame, table: str) -> list[str]:
@@ -125,11 +138,12 @@ def replace_summary(rows: DataFrame, table: str, window: DateWindow, *, touched_
     if touched_only:
         weeks = [(d + timedelta(days=1)).isocalendar() for d in window.days()]
         scope |= {"weekly": {f"{w.year}-W{w.week:02}" for w in weeks}, "monthly": {f"{d:%Y-%m}" for d in window.days()}}
-    chosen = stored.filter(" or ".join(f"grain = '{g}'" + ("" if known is None else f" and period in ({', '.join(map(sql_text, sorted(known)))})") for g, known in scope.items()))
+    chosen = F.expr(" or ".join(f"grain = '{g}'" + ("" if known is None else f" and period in ({', '.join(map(sql_text, sorted(known)))})") for g, known in scope.items()))
     if versions.is_versioned(rows.sparkSession, table):
-        versions.replace_slice(chosen, table, lambda spec: scope[spec["grain"]] is None or spec["period"] in scope[spec["grain"]])
+        kept = _after_its_plan(stored, Observation(), F.col("period"), chosen)
+        versions.replace_slice(kept, table, lambda spec: scope[spec["grain"]] is None or spec["period"] in scope[spec["grain"]])
         return
-    written = _swap_partitions(chosen.withColumn("mark", F.concat_ws(" ", "grain", "period")), table, "mark", True)
+    written = _swap_partitions(stored.withColumn("mark", F.concat_ws(" ", "grain", "period")), table, "mark", True, chosen)
     stale = [
         x for x in _stored_partitions(rows, table)
         if f"{x['grain']} {x['period']}" not in written and (scope[x["grain"]] is None or x["period"] in scope[x["grain"]])

@@ -106,6 +106,25 @@ def test_replace_summary(spark, database):
     assert got == {("Daily Grand Total", before, 1), ("Daily Grand Total", window.first, 2), ("Weekly Grand Total", None, 2)}
 
 
+@pytest.mark.parametrize("touched_only", [False, True])
+def test_the_writer_filters_a_summary_behind_its_aggregation(spark, database, monkeypatch, touched_only):
+    plans = []
+
+    def seen(rows, table, ordered=sinks._in_table_order):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return ordered(rows, table)
+
+    monkeypatch.setattr(sinks, "_in_table_order", seen)
+    window = DateWindow(date(2024, 1, 29), date(2024, 1, 30))
+    summary = rollup.summarize(derive.Logs(spark, SMALL).reach_events(None), window)
+    sinks.replace_summary(summary, f"{database}.reach_overview_summary", window, touched_only=touched_only)
+    above, below = plans[0].split("Aggregate", 1)
+    assert "Filter" in above and "Weekly" in above
+    assert "Weekly" not in below  # a group's name is not made for every row that the roll-up counts
+    got = {r.grain for r in spark.table(f"{database}.reach_overview_summary").select("grain").distinct().collect()}
+    assert got == ({"daily", "weekly"} if touched_only else {"daily", "weekly", "monthly"})
+
+
 def test_replace_table_ignores_dynamic_mode(spark, database):
     table = f"{database}.convert_overview_summary"
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
