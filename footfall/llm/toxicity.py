@@ -33,8 +33,9 @@ from footfall.llm.ngram_join import few_or_all
 from footfall.llm.quality_classifier import logistic
 from footfall.llm.shared import mixed, stored, text_slices, word_hashes
 
-#: Tokens that a task gathers before it adds up equal n-grams.
-GATHERED = 1 << 22
+#: N-grams that a task gathers before it adds up equal ones (48 bytes each, and as much again while they are sorted); few
+#: are equal, and the aggregation that follows adds up what is left.
+GATHERED = 1 << 19
 #: The statistic at which evidence counts half; the spread of log frequencies between languages and subjects. Chosen on
 #: rows that may be learnt from alone: of (4, 7, 10, 14) x (0.1, 0.3, 0.6) the pair under which each half of 2,636 labelled
 #: rows is best scored by the model of the other half (AUC 0.972, log loss 0.059).

@@ -160,6 +160,16 @@ def test_toxicity_counts_every_bigram_of_whole_words(spark):
     assert alone[code("a")].tolist() == [4, 0, 1, 1, 3] and alone[code("b")].tolist() == [4, 0, 1, 1, 2]
 
 
+def test_toxicity_passes_counts_on_in_parts():
+    r = np.random.default_rng(8)
+    texts = [" ".join(map(str, r.integers(0, 100_000, 20_000))) for _ in range(70)]
+    batch = toxicity.pa.RecordBatch.from_arrays([toxicity.pa.array([-1] * len(texts)), toxicity.pa.array(texts)], names=["role", "text"])
+    parts = list(toxicity._count(iter([batch])))
+    assert len(parts) > 1 and max(p.num_rows for p in parts) < 1_000_000
+    pairs = {(p, w) for x in parts for p, w in zip(x.column("prev").to_pylist(), x.column("word").to_pylist(), strict=True)}
+    assert len(pairs) == len({("", x[0]) for x in map(str.split, texts)} | {y for x in map(str.split, texts) for y in zip(x[:-1], x[1:], strict=True)})
+
+
 def test_toxicity_that_only_neighbours_tell(spark):
     r = np.random.default_rng(5)
 
