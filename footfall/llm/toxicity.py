@@ -36,6 +36,8 @@ from footfall.llm.shared import mixed, stored, text_slices, word_hashes
 #: N-grams that a task gathers before it adds up equal ones (48 bytes each, and as much again while they are sorted); few
 #: are equal, and the aggregation that follows adds up what is left.
 GATHERED = 1 << 19
+#: Left neighbours that a task gathers before it counts them by word (8 bytes each): every part repeats its words.
+NEIGHBOURS = 1 << 22
 #: The statistic at which evidence counts half; the spread of log frequencies between languages and subjects. Chosen on
 #: rows that may be learnt from alone: of (4, 7, 10, 14) x (0.1, 0.3, 0.6) the pair under which each half of 2,636 labelled
 #: rows is best scored by the model of the other half (AUC 0.972, log loss 0.059).
@@ -132,7 +134,7 @@ def _continued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size += batch.num_rows
         known = batch.filter(pa.array((batch.column("d01").to_numpy() | batch.column("d23").to_numpy()) != 0))
         yield pa.RecordBatch.from_arrays([*known.columns, pa.array(np.zeros(known.num_rows, np.int64))], names=["prev", "word", *PACKS, "cont"])
-        if size > GATHERED:
+        if size > NEIGHBOURS:
             yield neighbours()
             waiting, size = [], 0
     if waiting:
