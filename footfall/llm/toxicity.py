@@ -20,7 +20,7 @@ one class the score is 1 or 0 for all, without any 0.5; columns other than key a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,13 +31,21 @@ from pyspark.sql import functions as F
 
 from footfall.llm.ngram_join import few_or_all
 from footfall.llm.quality_classifier import logistic
-from footfall.llm.shared import mixed, stored, text_slices, word_hashes
+from footfall.llm.shared import give_back, mixed, stored, text_slices, word_hashes
 
 #: N-grams that a task gathers before it adds up equal ones (48 bytes each, and as much again while they are sorted); few
 #: are equal, and the aggregation that follows adds up what is left.
 GATHERED = 1 << 19
-#: Left neighbours that a task gathers before it counts them by word (8 bytes each): every part repeats its words.
-NEIGHBOURS = 1 << 22
+#: Distinct n-grams of those that a task gathers before it shortens them (17 bytes each, and some times as much while they are sorted).
+SHORTENED = 3 << 19
+#: N-grams are dealt to a bucket for each so many words of all texts, or one a partition; a task adds up one bucket at a time.
+BUCKET_WORDS = 1 << 21
+#: Occurrences in a run of BUCKET_WORDS words from which a word may get a short number; the number of words that have none.
+OFTEN, RARE = 4, (1 << 16) - 1
+#: So many of the most frequent words are dealt to up to SIDES buckets each, by left neighbour.
+OFTENEST, SIDES = 1 << 8, 64
+#: N-grams that a task passes on at once.
+EMITTED = 1 << 16
 #: The statistic at which evidence counts half; the spread of log frequencies between languages and subjects. Chosen on
 #: rows that may be learnt from alone: of (4, 7, 10, 14) x (0.1, 0.3, 0.6) the pair under which each half of 2,636 labelled
 #: rows is best scored by the model of the other half (AUC 0.972, log loss 0.059).
@@ -48,11 +56,16 @@ LEAST_WEIGHT = 0.01
 START, ALONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0)
 #: Bits of the key map for each key of the evidence.
 MAP_BITS = 16
+#: Bits that a key sets in the map: of other n-grams, 0.25 % at most have all of them set.
+KEY_PLACES = 4
 #: Roles (label + 2 * half) of the ordinary and the toxic texts that a model learns from: all, those of each half.
 MODELS = (((0, 2), (1, 3)), ((0,), (1,)), ((2,), (3,)))
 
 _MARK = ~((_c := np.arange(256)) >= 128) & ~np.isin(_c, list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 PACKS = ("n01", "n23", "d01", "d23")
+#: Counts of an n-gram that a text of each role has once; the kind of all others.
+_ONE = np.array([[1, 0, 1, 0], [1 << 32, 0, 1 << 32, 0], [0, 1, 0, 1], [0, 1 << 32, 0, 1 << 32]], np.int64)
+MORE = 255
 COUNTED = "prev long, word long, " + ", ".join(f"{p} long" for p in PACKS)
 
 
@@ -116,35 +129,199 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _added(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
 
 
-def _continued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counted n-grams, each once -> those of labelled texts with cont 0, and rows (ALONE, word) with the number of left neighbours as cont."""
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text): the words that a run of texts has OFTEN times or more, and a row ALONE with the number of its words."""
     waiting: list[np.ndarray] = []
     size = 0
 
-    def neighbours() -> pa.RecordBatch:
-        words, cont = np.unique(np.concatenate(waiting), return_counts=True)
-        none = pa.array(np.zeros(len(words), np.int64))
-        return pa.RecordBatch.from_arrays([none, pa.array(words), none, none, none, none, pa.array(cont.astype(np.int64))], names=["prev", "word", *PACKS, "cont"])
+    def found() -> pa.RecordBatch:
+        words, times = np.unique(np.concatenate(waiting), return_counts=True)
+        some = times >= OFTEN
+        words, times = np.append(words[some], ALONE), np.append(times[some], size)
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(times.astype(np.int64))], names=["word", "n"])
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        pairs = batch.column("prev").to_numpy() != 0
-        waiting.append(batch.column("word").to_numpy()[pairs])
+        for _, data, starts in text_slices(batch, "text"):
+            waiting.append(tokens(data, starts)[0])
+            size += len(waiting[-1])
+            if size > BUCKET_WORDS:
+                yield found()
+                waiting, size = [], 0
+    if waiting:
+        yield found()
+
+
+@dataclass
+class Short:
+    """Two-byte numbers of frequent words, the most frequent first; other words are RARE and keep their hashes."""
+
+    words: np.ndarray
+
+    def __post_init__(self):
+        self.order = np.argsort(self.words)
+        self.sorted = self.words[self.order]
+
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.sorted, words), len(self.sorted) - 1)
+        return np.where(self.sorted[at] == words, self.order[at], RARE).astype(np.uint16)
+
+
+def frequent(texts: DataFrame) -> tuple[Short, int]:
+    """The frequent words, and the number of all words. How well they are chosen changes what is shuffled, not what is counted."""
+    words = texts.mapInArrow(_often, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # no word is more frequent than all words together
+    first = words.orderBy(F.desc("n"), F.col("word") != 0, "word").limit(RARE - 1).toArrow()
+    if not first.num_rows:
+        return Short(np.array([ALONE, START])), 0
+    often = first.column("word").to_numpy()[1:].view(np.uint64)
+    return Short(np.concatenate([[ALONE, START], often[often != START]])), first.column("n")[0].as_py()
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second bytes, and so on."""
+    return np.frombuffer(x.tobytes(), np.uint8).reshape(len(x), x.nbytes // max(1, len(x))).T.tobytes()
+
+
+def _from_planes(data: np.ndarray, kind: type, width: int = 1) -> np.ndarray:
+    size = np.dtype(kind).itemsize * width
+    return np.ascontiguousarray(data.reshape(size, -1).T).view(kind).reshape((-1, width) if width > 1 else -1)
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences to the number before, modulo their range."""
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
+def _kinds(packs: np.ndarray) -> np.ndarray:
+    """0 without labels, 1 + role for one occurrence in a text of this role, MORE for other counts."""
+    kinds = np.where(packs.any(axis=1), MORE, 0).astype(np.uint8)
+    for r, one in enumerate(_ONE):
+        kinds[(packs == one).all(axis=1)] = 1 + r
+    return kinds
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """prev, word, kind and counts of kind MORE of several parts -> prev and word of distinct n-grams, by word; which of them have labels, and their counts."""
+    prev, word, kinds, more = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
+    order = np.lexsort((prev, word))
+    prev, word, kinds = prev[order], word[order], kinds[order]
+    new = np.concatenate([[True], (word[1:] != word[:-1]) | (prev[1:] != prev[:-1])])[: len(word)]
+    known = np.flatnonzero(kinds)
+    packs = _ONE[np.minimum(kinds[known] - 1, len(_ONE) - 1)]
+    # the counts of kind MORE are in the order of the rows
+    several = order[known[kinds[known] == MORE]]
+    packs[kinds[known] == MORE] = more[np.argsort(np.argsort(several))]
+    gram = np.cumsum(new)[known] - 1
+    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])[: len(gram)])
+    return prev[new], word[new], gram[first], np.add.reduceat(packs, first, axis=0) if len(first) else packs
+
+
+def _short_rows(parts: list[tuple[np.ndarray, ...]], short: Short, buckets: int) -> pa.RecordBatch:
+    prev, word, known, counts = _summed(parts)
+    kinds = np.zeros(len(word), np.uint8)
+    kinds[known] = _kinds(counts)
+    place = np.zeros(len(word), np.int64)
+    place[known] = np.arange(len(known))
+    left, own = short.numbers(prev), short.numbers(word)
+    side = np.where(own < OFTENEST, mixed(prev) % np.uint64(SIDES), np.uint64(0))
+    bucket = (mixed(word + mixed(side + np.uint64(1))) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((left, word, bucket << 16 | own))
+    prev, word, kinds, left, own, bucket, place = prev[order], word[order], kinds[order], left[order], own[order], bucket[order], place[order]
+    new = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (bucket[1:] != bucket[:-1])])[: len(word)])
+    found, starts = np.unique(bucket, return_index=True)
+    rows = []
+    for first, end in zip(starts, np.append(starts[1:], len(word)), strict=True):
+        heads = new[np.searchsorted(new, first) : np.searchsorted(new, end)]
+        here = slice(first, end)
+        rare_words, rare_left = word[heads][own[heads] == RARE], prev[here][left[here] == RARE]
+        more = counts[place[here][kinds[here] == MORE]]
+        sizes = np.array([len(heads), end - first, len(rare_words), len(rare_left), len(more)], np.uint32)
+        data = [sizes.tobytes(), _planes(_steps(own[heads])), _planes(np.diff(np.append(heads, end)).astype(np.uint32)), _planes(_steps(rare_words))]
+        data += [_planes(_steps(left[here])), _planes(rare_left), kinds[here].tobytes(), _planes(more)]
+        raw = b"".join(data)
+        rows.append(len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True))
+    return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(rows, pa.binary())], names=["bucket", "data"])
+
+
+def shortened(grams: Iterable[pa.RecordBatch], short: Short, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Counted n-grams -> (bucket, data): those of a bucket, by word. Equal n-grams have the same bucket.
+
+    The n-grams of a word are in one bucket, those of the most frequent ones in up to SIDES buckets.
+    """
+    waiting: list[tuple] = []
+    size = 0
+    for batch in grams:
+        packs = np.column_stack([batch.column(x).to_numpy() for x in PACKS])
+        kinds = _kinds(packs)
+        waiting.append((*(batch.column(x).to_numpy().view(np.uint64) for x in ("prev", "word")), kinds, packs[kinds == MORE]))
         size += batch.num_rows
-        known = batch.filter(pa.array((batch.column("d01").to_numpy() | batch.column("d23").to_numpy()) != 0))
-        yield pa.RecordBatch.from_arrays([*known.columns, pa.array(np.zeros(known.num_rows, np.int64))], names=["prev", "word", *PACKS, "cont"])
-        if size > NEIGHBOURS:
-            yield neighbours()
+        if size > SHORTENED:
+            yield _short_rows(waiting, short, buckets)
             waiting, size = [], 0
+    if size:
+        yield _short_rows(waiting, short, buckets)
+    give_back()
+
+
+def lengthened(data: bytes, short: Short) -> tuple[np.ndarray, ...]:
+    """prev, word and kind of the n-grams of a row of `shortened`, and the counts of those of kind MORE."""
+    raw = np.frombuffer(pa.decompress(data[4:], decompressed_size=int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True), np.uint8)
+    n_heads, n, n_words, n_left, n_more = (int(x) for x in raw[:20].view(np.uint32))
+    ends = np.cumsum([20, 2 * n_heads, 4 * n_heads, 8 * n_words, 2 * n, 8 * n_left, n, 8 * len(PACKS) * n_more])
+    part = [raw[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
+
+    def hashes(steps: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        numbers = np.cumsum(_from_planes(steps, np.uint16), dtype=np.uint16)
+        out = short.words[np.minimum(numbers, len(short.words) - 1)]
+        out[numbers == RARE] = rare
+        return out
+
+    heads = hashes(part[0], np.cumsum(_from_planes(part[2], np.uint64), dtype=np.uint64))
+    words = np.repeat(heads, _from_planes(part[1], np.uint32))
+    return hashes(part[3], _from_planes(part[4], np.uint64)), words, part[5], _from_planes(part[6], np.int64, len(PACKS))
+
+
+def _together(rows: list[bytes], short: Short) -> Iterator[pa.RecordBatch]:
+    """All rows of a bucket -> n-grams of labelled texts with cont 0, and rows (ALONE, word) with the number of left neighbours as cont."""
+    prev, word, known, counts = _summed([lengthened(r, short) for r in rows])
+    pairs = word[prev != ALONE]
+    starts = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])[: len(pairs)])
+    cont = np.diff(np.append(starts, len(pairs)))
+    labelled = [prev[known], word[known], *counts.T, np.zeros(len(known), np.int64)]
+    neighbours = [np.zeros(len(starts), np.int64), pairs[starts], *np.zeros((len(PACKS), len(starts)), np.int64), cont]
+    for columns in (labelled, neighbours):
+        whole = pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns], names=["prev", "word", *PACKS, "cont"])
+        for at in range(0, whole.num_rows, EMITTED):
+            yield whole.slice(at, EMITTED)
+
+
+def _merged(batches: Iterator[pa.RecordBatch], short: Short) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, data), sorted: `_together` of each bucket."""
+    waiting: list[bytes] = []
+    now = None
+    for batch in batches:
+        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
+            if bucket != now and waiting:
+                yield from _together(waiting, short)
+                waiting = []
+            now = bucket
+            waiting.append(data)
     if waiting:
-        yield neighbours()
+        yield from _together(waiting, short)
+    give_back()
 
 
 def counts(marked: DataFrame) -> DataFrame:
     """(prev, word, n0 .. n3, d0 .. d3, cont) of the n-grams of labelled texts: occurrences and documents by role; rows with cont add up by word."""
-    added = marked.mapInArrow(_count, COUNTED).groupBy("prev", "word").agg(*[F.sum(p).alias(p) for p in PACKS])
-    split = stored(added.mapInArrow(_continued, f"{COUNTED}, cont long"), "counts")
+    spark = marked.sparkSession
+    short, n_words = frequent(marked.select("text"))
+    sent = spark.sparkContext.broadcast(short)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(parts, n_words // BUCKET_WORDS)
+    rows = marked.mapInArrow(lambda batches: shortened(_count(batches), sent.value, buckets), "bucket int, data binary")
+    dealt = rows.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
+    split = stored(dealt.mapInArrow(lambda batches: _merged(batches, sent.value), f"{COUNTED}, cont long"), "counts")
     unpacked = [F.expr(f"{p}{k} & 4294967295L" if not r % 2 else f"shiftrightunsigned({p}{k}, 32)").alias(f"{p}{r}") for p in "nd" for r, k in enumerate(("01", "01", "23", "23"))]
     return split.select("prev", "word", *unpacked, "cont")
 
@@ -246,17 +423,27 @@ class Model:
     constant: float | None = None
 
 
+def _places(grams: np.ndarray, bits: int, turn: int) -> np.ndarray:
+    """The place of each key in a map of 2**bits bits, another one in each turn."""
+    return ((mixed(grams + np.array([turn], np.uint64) * START) if turn else grams) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def key_map(grams: np.ndarray) -> np.ndarray:
-    """A bit map that has each key's place; its size grows with the number of keys. Used to join few n-grams only."""
+    """A bit map that has KEY_PLACES places of each key; its size grows with the number of keys. Used to join few n-grams only."""
     bits = max(10, int(np.ceil(np.log2(max(1, len(grams)) * MAP_BITS))))
     out = np.zeros(1 << bits, bool)
-    out[(grams.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)] = True
+    for turn in range(KEY_PLACES):
+        out[_places(grams.view(np.uint64), bits, turn)] = True
     return np.packbits(out, bitorder="little")
 
 
 def _held(key_bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    at = grams >> np.uint64(64 - (len(key_bits) * 8).bit_length() + 1)
-    return (key_bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    """Where the n-grams are that may have evidence: all that have, and a few others."""
+    bits, held = (len(key_bits) * 8).bit_length() - 1, np.arange(len(grams))
+    for turn in range(KEY_PLACES):
+        at = _places(grams[held], bits, turn)
+        held = held[(key_bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
+    return held
 
 
 def differences(source: DataFrame, model: Model, carried: str) -> DataFrame:
@@ -271,7 +458,7 @@ def differences(source: DataFrame, model: Model, carried: str) -> DataFrame:
                 length = np.bincount(docs, minlength=len(starts) - 1)
                 grams = np.concatenate([gram_keys(np.full(len(words), ALONE), words), gram_keys(before, words)])
                 docs = np.concatenate([docs, docs])
-                may = np.flatnonzero(_held(sent.value, grams))
+                may = _held(sent.value, grams)
                 may = may[np.argsort(docs[may], kind="stable")]
                 ends = np.searchsorted(docs[may], np.arange(len(starts)))
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(grams[may].view(np.int64)))

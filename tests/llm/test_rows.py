@@ -170,6 +170,58 @@ def test_toxicity_passes_counts_on_in_parts():
     assert len(pairs) == len({("", x[0]) for x in map(str.split, texts)} | {y for x in map(str.split, texts) for y in zip(x[:-1], x[1:], strict=True)})
 
 
+@pytest.mark.parametrize(("buckets", "gathered"), [(1, 1 << 20), (7, 1 << 20), (7, 1000)])
+def test_toxicity_sends_few_bytes_and_every_count(monkeypatch, buckets, gathered):
+    monkeypatch.setattr(toxicity, "SHORTENED", gathered)
+    monkeypatch.setattr(toxicity, "GATHERED", gathered)
+    r = np.random.default_rng(9)
+    texts = [" ".join(f"w{min(x, 10**9)}" for x in r.zipf(1.3, 400)) for _ in range(120)] + ["", None, "one one one one", "one"]
+    roles = [int(x) for x in r.integers(-1, 4, len(texts))]
+    want, neighbours = {}, {}
+    for role, text in zip(roles, texts, strict=True):
+        words = (text or "").split()
+        grams = list(zip(["", *words], words)) + ([(None, w) for w in words] if role >= 0 else [])
+        for n, g in enumerate(grams):
+            at = want.setdefault(g, [0] * 8)
+            if role >= 0:
+                at[role] += 1
+                at[4 + role] += g not in grams[:n]
+            if g[0] is not None:
+                neighbours.setdefault(g[1], set()).add(g[0])
+    names = sorted({w for g in want for w in g if w})
+    data = " ".join(names).encode()
+    codes = dict(zip(names, map(int, toxicity.word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0]), strict=True)) | {"": int(toxicity.START), None: 0}
+    batches = [toxicity.pa.RecordBatch.from_arrays([toxicity.pa.array(roles[i : i + 31]), toxicity.pa.array(texts[i : i + 31], toxicity.pa.string())], names=["role", "text"]) for i in range(0, len(texts), 31)]
+    often = toxicity.pa.Table.from_batches(list(toxicity._often(iter(b.select(["text"]) for b in batches)))).to_pydict()
+    assert sum(n for w, n in zip(often["word"], often["n"], strict=True) if not w) == sum(len((t or "").split()) for t in texts)
+    frequent = np.array([w for w in often["word"] if w], np.int64).view(np.uint64)
+    short = toxicity.Short(np.concatenate([[toxicity.ALONE, toxicity.START], frequent[:200]]))
+    rows = toxicity.pa.Table.from_batches(list(toxicity.shortened(toxicity._count(iter(batches)), short, buckets))).sort_by("bucket")
+    if gathered > 1000:
+        assert sum(map(len, rows["data"].to_pylist())) < 8 * len(want)
+    got, cont = {}, {}
+    back = {c: w for w, c in codes.items()}
+    for part in toxicity._merged(iter(rows.to_batches(max_chunksize=2)), short):
+        for prev, word, *packs, c in zip(*(x.to_numpy() for x in part.columns), strict=True):
+            word, prev = back[int(word) % 2**64], back[int(prev) % 2**64]
+            if c:
+                cont[word] = cont.get(word, 0) + int(c)
+            else:
+                assert (prev, word) not in got
+                got[prev, word] = [int(x) for p in packs for x in (p & 0xFFFFFFFF, p >> 32)]
+    assert got == {g: n for g, n in want.items() if any(n)}
+    assert cont == {w: len(x) for w, x in neighbours.items()}
+
+
+def test_toxicity_joins_few_ngrams_without_evidence():
+    r = np.random.default_rng(10)
+    for n in (1, 1000, 60_000):
+        grams, others = r.integers(-(2**63), 2**63 - 1, n), r.integers(0, 2**64 - 1, 100_000, np.uint64)
+        held = toxicity.key_map(grams)
+        assert toxicity._held(held, grams.view(np.uint64)).tolist() == list(range(n))
+        assert len(toxicity._held(held, others)) < 1000
+
+
 def test_toxicity_that_only_neighbours_tell(spark):
     r = np.random.default_rng(5)
 
