@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.shared import give_back, stored
+from footfall.llm.shared import FORGET, give_back, stored
 
 LENGTH = 1024
 OPEN_WINDOWS = 64
@@ -36,6 +36,8 @@ END_TOKEN = 0
 CACHED_WORDS = 800_000
 #: Documents that are encoded together, so that their new words are encoded in one go.
 ENCODED = 256
+#: Documents after which freed memory goes back to the system.
+GIVEN_BACK = 4 * ENCODED
 _EMIT_BYTES = 1 << 22
 
 PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
@@ -139,6 +141,10 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+# packing's tasks share the encoder, those of other operators need its memory
+FORGET.append(_encoder.cache_clear)
+
+
 class _Rows:
     """Finished pieces of sequences, and the next sequence's id."""
 
@@ -243,6 +249,8 @@ def _partition_packer(tokenizer_path: str, length: int, open_windows: int, schem
                     windows.add((key, 0, size, ids + end, size))
                     if rows.bytes > _EMIT_BYTES:
                         yield batch()
+                if not first % GIVEN_BACK:
+                    give_back()
         windows.close()
         if rows.rows:
             yield batch()

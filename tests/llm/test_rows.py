@@ -283,6 +283,28 @@ def test_packing_round_trip(spark, length, windows, parts):
             assert pieces.length.sum() == sum(len(x) // 4 for x in whole)
 
 
+def test_texts_of_another_operator_free_the_encoder():
+    path = queries.tokenizer_path()
+    packing._encoder(path).encode(["some words to remember"])
+    held = packing._encoder(path)
+    assert packing._encoder(path) is held and len(held.known) > 1
+    batch = toxicity.pa.RecordBatch.from_arrays([toxicity.pa.array(["a text"])], names=["text"])
+    list(toxicity._often(iter([batch])))
+    assert packing._encoder.cache_info().currsize == 0
+
+
+def test_packing_gives_memory_back_while_it_encodes(monkeypatch):
+    given = []
+    monkeypatch.setattr(packing, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(packing, "TaskContext", type("Context", (), {"get": staticmethod(lambda: type("Of", (), {"partitionId": staticmethod(lambda: 0)}))}))
+    names = ["key_", *(x.split()[0] for x in packing.PIECES.split(", ")), "loose"]
+    kinds = [packing.pa.bool_() if n == "loose" else packing.pa.binary() if n == "ids" else packing.pa.int64() for n in names]
+    schema = packing.pa.schema(list(zip(names, kinds, strict=True)))
+    batch = packing.pa.RecordBatch.from_arrays([packing.pa.array(range(3000)), packing.pa.array([f"word{i} and more" for i in range(3000)])], names=["key_", "text_"])
+    rows = packing.pa.Table.from_batches(list(packing._partition_packer(queries.tokenizer_path(), 64, 4, schema)(iter([batch]))))
+    assert set(rows["key_"].to_pylist()) == set(range(3000)) and len(given) > 3
+
+
 def test_packing_is_stable_and_empty(spark):
     docs = edge_documents(spark)
     a, b = (packing.pack(docs, queries.tokenizer_path()).orderBy("sequence_id", "offset").toPandas() for _ in range(2))
