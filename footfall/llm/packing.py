@@ -21,6 +21,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,30 +33,34 @@ OPEN_WINDOWS = 64
 #: Partitions whose last windows are merged by one task.
 MERGED_PARTITIONS = 64
 END_TOKEN = 0
-#: Words whose tokens a Python worker remembers, at most.
-CACHED_WORDS = 800_000
-#: Documents that are encoded together, so that their new words are encoded in one go.
-ENCODED = 256
-#: Documents after which freed memory goes back to the system.
-GIVEN_BACK = 4 * ENCODED
+#: Documents that are encoded together, and bytes of these unless one is larger; freed memory then goes back to the system.
+ENCODED, ENCODED_BYTES = 2048, 1 << 23
+#: Different words that are encoded in one go.
+MERGED_WORDS = 1 << 16
 _EMIT_BYTES = 1 << 22
 
 PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 #: White space that the fast path does not handle: runs of it, and any but spaces and line feeds.
 _ODD_BLANKS = re.compile(r"\s\s|[^\S\n ]")
 #: Fixed value: how byte-level BPE vocabularies of this kind cut a text before merging.
-_CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Without their rule for runs of blanks, which are never given.
+_CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"""
+#: What a byte says: a space or line feed, the first one of a character that may be other white space, or other white space.
+_BLANK, _PERHAPS, _ODD = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[[10, 32]] = _BLANK
+_KIND[[0xC2, 0xE1, 0xE2, 0xE3]] = _PERHAPS
+_KIND[[9, 11, 12, 13, 28, 29, 30, 31]] = _ODD
 
 
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    A byte-level BPE vocabulary of this kind starts a new token at each single space or line feed before a visible character, and where
-    letters end and marks begin. So the tokens of a text are those of its words, each with the blank before it, one
-    after the other, and a word is encoded once and remembered. Words are merged by tiktoken, which is given the
-    file's own vocabulary and is several times faster; this needs ids in the order of the merges, which is checked.
-    Texts with other white space or special tokens, and files that fail the check, are encoded by tokenizers.
+    A byte-level BPE vocabulary of this kind starts a new token at each single space or line feed before a visible character. So the
+    tokens of a text are those of its words, each with the blank before it, one after the other. The words of many texts are told apart
+    by Arrow, each different one is encoded once, and its tokens are put in its places; nothing is remembered from one call to the next.
+    Words are merged by tiktoken, which is given the file's own vocabulary and is several times faster; this needs ids in the order of the
+    merges, which is checked. Texts with other white space or special tokens, and files that fail the check, are encoded by tokenizers.
     """
 
     def __init__(self, path: str):
@@ -67,8 +72,9 @@ class Encoder:
         self.opens[[i for t, i in pieces.items() if t.startswith("\u0120") or t == "\u010a"]] = True
         self.merged = self._by_rank(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {"": self._whole(" ")}
-        self.feed = len(self._whole("\n"))
+        #: Tokens of the blanks that no word follows.
+        self.known = {x: self._whole(x) for x in (" ", "\n")}
+        self.feed = len(self.known["\n"])
 
     @staticmethod
     def _by_rank(path: str):
@@ -93,47 +99,75 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Remembers words (of no white space but a leading line feed) that are not known, encoding them in one go."""
-        text = "".join([x if x[0] == "\n" else " " + x for x in words])
-        ids = np.array(self.merged.encode_ordinary(text) if self.merged else self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def _merge(self, words: pa.Array) -> pa.Array:
+        """Tokens of each word, which is a space or line feed and what is visible behind it."""
+        text, _ = _bytes_of(words)
+        text = text.tobytes().decode()
+        ids = self.merged.encode_to_numpy(text, disallowed_special=()) if self.merged else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         starts = np.flatnonzero(self.opens[ids])
         if len(starts) != len(words):
-            self.known.update((x, self._whole(x if x[0] == "\n" else " " + x)) for x in words)
-            return
-        data, edges = ids.tobytes(), [*(starts * 4).tolist(), len(ids) * 4]
-        self.known.update(zip(words, (data[i:j] for i, j in zip(edges[:-1], edges[1:], strict=True)), strict=True))
-
-    def _missing(self, words: set[str]) -> None:
-        known, bare, marked = self.known, set(), []
-        for word in words:
-            stem = word.rstrip(_MARKS)
-            if stem and len(stem) < len(word) and stem[-1].isalpha():
-                marked.append((word, stem, "\0" + word[len(stem) :]))
-                if stem not in known:
-                    bare.add(stem)
-            else:
-                bare.add(word)
-        if bare:
-            self._learn(list(bare))
-        for word, stem, tail in marked:
-            if tail not in known:
-                known[tail] = self._whole(tail[1:])
-            known[word] = known[stem] + known[tail]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [not _ODD_BLANKS.search(x) and "\0" not in x and not any(t in x for t in self.special) for x in texts]
-        split = [("\n" + x).replace("\n", " \n")[1:].split(" ") if ok else [] for x, ok in zip(texts, plain, strict=True)]
-        known = self.known
-        if len(known) > CACHED_WORDS:
-            self.known = known = {"": known[""]}
-        found = [list(map(known.get, x)) for x in split]
-        missing = {w for words, got in zip(split, found, strict=True) if None in got for w, v in zip(words, got, strict=True) if v is None}
-        if missing:
-            self._missing(missing)
-            found = [list(map(known.get, x)) if None in got else got for x, got in zip(split, found, strict=True)]
+            return pa.array([self._whole(x.decode()) for x in words.to_pylist()], pa.large_binary())
+        return _as_array(ids.astype(np.uint32).view(np.uint8), np.append(starts, len(ids)) * 4)
+
+    def _tokens(self, words: pa.Array) -> pa.Array:
+        """Tokens of different words, in their order."""
+        lone = [pc.equal(words, x.encode()) for x in self.known]
+        followed = pc.invert(pc.or_(*lone))
+        rest = words.filter(followed)
+        merged = [self._merge(rest.slice(i, MERGED_WORDS)) for i in range(0, len(rest), MERGED_WORDS)]
+        held = pa.concat_arrays([pa.array(self.known.values(), pa.large_binary()), *merged])
+        place = np.cumsum(followed.to_numpy(zero_copy_only=False)) + len(lone) - 1
+        for i, found in enumerate(lone):
+            place[found.to_numpy(zero_copy_only=False)] = i
+        return held.take(pa.array(place))
+
+    def _odd(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Whether a text is to be encoded whole; each starts with a line feed of its own."""
+        kind, raw = _KIND[data], data.tobytes()
+        twice = kind == _BLANK
+        twice[1:] &= kind[:-1] == _BLANK
+        twice[starts[:-1]] = False
+        twice[starts[:-1][starts[:-1] + 1 < len(data)] + 1] = False
+        most = np.maximum.reduceat(kind, starts[:-1])
+        odd = np.logical_or.reduceat(twice, starts[:-1]) | (most == _ODD)
+        special = any(t.encode() in raw for t in self.special)
+        for i in np.flatnonzero(~odd & ((most == _PERHAPS) | special)):
+            text = raw[starts[i] + 1 : starts[i + 1]].decode()
+            odd[i] = bool(_ODD_BLANKS.search(text)) or any(t in text for t in self.special)
+        return odd
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        if not len(texts):
+            return []
+        data, starts = _joined(texts)
+        odd = self._odd(data, starts)
+        if odd.any():
+            plain = iter(self.encode(texts.filter(pa.array(~odd))))
+            return [self._whole(texts[i].as_py()) if whole else next(plain) for i, whole in enumerate(odd)]
+        at = np.flatnonzero(_KIND[data] == _BLANK)
+        offsets = np.concatenate([at, [len(data)]])
+        words = _as_array(data, offsets).dictionary_encode()
+        ids, ends = _bytes_of(self._tokens(words.dictionary).take(words.indices))
+        edges = ends[np.searchsorted(offsets, starts)]
         # the first word was given a line feed of its own
-        return [b"".join(got)[self.feed :] if ok else self._whole(x) for x, ok, got in zip(texts, plain, found, strict=True)]
+        return [ids[i + self.feed : j].tobytes() for i, j in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def _bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array of large texts or binaries, and where each value starts in these (with the end)."""
+    ends = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(values.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _as_array(data: np.ndarray, starts: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)])
+
+
+def _joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts, a line feed before each, and where these start (with the end)."""
+    data, starts = _bytes_of(texts)
+    return np.insert(data, starts[:-1], 10), starts + np.arange(len(starts))
 
 
 @lru_cache(maxsize=2)
@@ -230,6 +264,17 @@ class OpenWindows:
         merge_windows((p for n in order for p in self.windows[n]), self.length, self.rows, True)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Keys and texts of the rows that are encoded together."""
+    texts = batch.column(1).fill_null("")
+    ends, first = np.cumsum(pc.binary_length(texts).to_numpy()), 0
+    while first < len(texts):
+        before = ends[first - 1] if first else 0
+        last = min(first + ENCODED, max(first + 1, int(np.searchsorted(ends, before + ENCODED_BYTES, "right"))))
+        yield batch.column(0).slice(first, last - first), texts.slice(first, last - first)
+        first = last
+
+
 def _partition_packer(tokenizer_path: str, length: int, open_windows: int, schema: pa.Schema):
     def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(tokenizer_path), np.array([END_TOKEN], np.uint32).tobytes()
@@ -241,16 +286,16 @@ def _partition_packer(tokenizer_path: str, length: int, open_windows: int, schem
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
         for got in batches:
-            for first in range(0, got.num_rows, ENCODED):
-                part = got.slice(first, ENCODED)
-                keys, texts = part.column(0).to_pylist(), part.column(1).fill_null("").to_pylist()
-                for key, ids in zip(keys, encoder.encode(texts), strict=True):
+            for keys, texts in _parts(got):
+                encoded = encoder.encode(texts)
+                give_back()
+                for key, ids in zip(keys.to_pylist(), encoded, strict=True):
                     size = len(ids) // 4 + 1
                     windows.add((key, 0, size, ids + end, size))
                     if rows.bytes > _EMIT_BYTES:
                         yield batch()
-                if not first % GIVEN_BACK:
-                    give_back()
+                del encoded
+                give_back()
         windows.close()
         if rows.rows:
             yield batch()

@@ -293,6 +293,18 @@ def test_texts_of_another_operator_free_the_encoder():
     assert packing._encoder.cache_info().currsize == 0
 
 
+def test_encoder_merges_different_words_once_and_remembers_none():
+    encoder, merged = packing.Encoder(queries.tokenizer_path()), []
+    whole = encoder.merged.encode_to_numpy
+    encoder.merged.encode_to_numpy = lambda text, **kw: merged.append(text) or whole(text, **kw)
+    odd = ["", " ", "\n", "  ", "a\tb", "a\x1cb", "a\u00a0b", "\u3000", "<|endoftext|> a", "\0 a", "it's 42中文 é.\n\nno", " a ", "a\n", "\na"]
+    texts = [*odd, *(f"word{i % 50} it's word{i} more-{i % 7}.\nend" for i in range(300))]
+    got = encoder.encode(texts)
+    assert [[*np.frombuffer(x, np.uint32), 0] for x in got] == tokens_by_hand(texts)
+    words = "".join(merged).split(" ")
+    assert len(words) == len(set(words)) and set(encoder.known) == {" ", "\n"}
+
+
 def test_packing_gives_memory_back_while_it_encodes(monkeypatch):
     given = []
     monkeypatch.setattr(packing, "give_back", lambda: given.append(1))
