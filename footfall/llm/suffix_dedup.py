@@ -451,11 +451,14 @@ def _equal_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield _batch({"rid": pa.int64(), "place": pa.int32()}, batch.column("rid").to_numpy()[again], batch.column("place").to_numpy()[again])
 
 
-RESULT = "n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, kept binary"
+RESULT = "n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, kept"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
 
-def _removal(length: int, carried: list[str]):
+def _removal(length: int, carried: list[str], as_text: bool):
+    """Result rows; as text, the remaining bytes are without characters that a cut goes through."""
+    kinds = (pa.int64(), pa.int64(), _SPANS, pa.string() if as_text else pa.binary())
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             twin = batch.column("twin").to_numpy(zero_copy_only=False).astype(bool)
@@ -479,16 +482,17 @@ def _removal(length: int, carried: list[str]):
                         own = np.ones(len(own), bool)
                     change = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
                     spans = [{"start": int(x), "length": int(y - x)} for x, y in zip(change[::2], change[1::2], strict=True)]
-                    rows.append((len(own), int(own.sum()), spans, bytes_[~own].tobytes() if spans else bytes_.tobytes()))
+                    left = bytes_[~own].tobytes() if spans else bytes_.tobytes()
+                    rows.append((len(own), int(own.sum()), spans, left.decode("utf-8", "ignore") if as_text else left))
                 kept = [batch.column(c).slice(part.start, part.stop - part.start) for c in carried]
-                made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), _SPANS, pa.binary()), strict=True)]
+                made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=[*carried, "n_bytes", "n_removed", "spans", "kept"])
 
     return emit
 
 
-def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, carry: list[str] | None = None) -> DataFrame:
-    """The carried columns (the key unless named), n_bytes, n_removed, spans and kept: removed spans and remaining bytes."""
+def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
+    """The carried columns (the key unless named), n_bytes, n_removed, spans and kept: removed spans and remaining bytes or text."""
     carry = [key] if carry is None else carry
     names = [f"column_{i}" for i in range(len(carry))]
     source = documents.select(
@@ -503,20 +507,12 @@ def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", lengt
     places = equal.groupBy("rid").agg(F.collect_set("place").alias("places"))
     whole = marked.join(places, "rid", "left").join(twins, "rid", "left").withColumn("twin", F.coalesce("twin", F.lit(False)))
     kinds = [f"{n} {source.schema[n].dataType.simpleString()}" for n in names]
-    out = whole.mapInArrow(_removal(length, names), ", ".join([*kinds, RESULT]))
+    out = whole.mapInArrow(_removal(length, names, as_text), ", ".join([*kinds, f"{RESULT} {'string' if as_text else 'binary'}"]))
     return out.withColumnsRenamed(dict(zip(names, carry, strict=True)))
 
 
 def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """`documents` with the repeated bytes removed from the text; a character that a cut goes through is dropped."""
     carry = [c for c in documents.columns if c != text]
-    kept = removed(documents, key, text, length, carry)
-    return kept.withColumn(text, _whole_characters(F.col("kept"))).select(*documents.columns)
-
-
-def _whole_characters(data):
-    @F.pandas_udf("string")
-    def decoded(values):
-        return values.map(lambda x: x.decode("utf-8", "ignore"))
-
-    return decoded(data)
+    # the task that removes also decodes: a second Python worker beside it would hold the texts once more
+    return removed(documents, key, text, length, carry, as_text=True).withColumnRenamed("kept", text).select(*documents.columns)

@@ -161,6 +161,15 @@ def test_suffix_dedup_of_shifted_periodic_and_low_entropy_texts(spark):
     compared(spark, list(enumerate(texts)))
 
 
+def test_deduplicated_decodes_in_the_task_that_removes(spark):
+    shared = prose(31, 60)
+    docs = spark.createDataFrame([(1, "aé" + shared), (2, "cũ" + shared), (3, None)], "doc_id long, text string")
+    kept = suffix_dedup.deduplicated(docs)
+    assert "EvalPython" not in kept._jdf.queryExecution().toString()
+    # the characters before the passage have their last byte in common; what is left of them is dropped
+    assert {r.doc_id: r.text for r in kept.collect()} == {1: "a", 2: "c", 3: ""}
+
+
 def test_deduplicated_keeps_columns_and_whole_characters(spark):
     docs = edge_documents(spark)
     kept = suffix_dedup.deduplicated(docs)

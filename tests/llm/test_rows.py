@@ -9,7 +9,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from footfall.llm import mixing, packing, quality_classifier, quality_rules, queries, toxicity, url_filter, warc
+from footfall.llm import mixing, packing, quality_classifier, quality_rules, queries, shared, toxicity, url_filter, warc
 from tests.conftest import DATA
 from tests.llm.data import edge_documents, edge_texts, no_documents, prose, words_of
 
@@ -293,6 +293,14 @@ def test_texts_of_another_operator_free_the_encoder():
     assert packing._encoder.cache_info().currsize == 0
 
 
+def test_slices_take_little_text_and_every_row():
+    texts = [*["x" * 10_000] * 100, "y" * 300_000, None, "z"]
+    batch = packing.pa.RecordBatch.from_arrays([packing.pa.array(texts)], names=["text"])
+    got = [(rows, data.tobytes().decode(), starts) for rows, data, starts in shared.text_slices(batch, "text")]
+    assert all(len(data) <= 1 << 18 or rows.stop - rows.start == 1 for rows, data, _ in got)
+    assert [data[i:j] for _, data, starts in got for i, j in zip(starts[:-1], starts[1:], strict=True)] == [x or "" for x in texts]
+
+
 def test_encoder_merges_different_words_once_and_remembers_none():
     encoder, merged = packing.Encoder(queries.tokenizer_path()), []
     whole = encoder.merged.encode_to_numpy
